@@ -1,0 +1,304 @@
+"""Cleaning policies, time handling and exact means on small inputs."""
+
+import math
+from collections import Counter
+from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidewatt import ELECTRICITY, Metric, ReadingSpec
+from tidewatt.functions.exact import half_up, interpolated, mean, mean_of_billionths, to_billionths
+from tidewatt.ingest import ingest, ingest_report, read_raw
+from tidewatt.operators.rankings import ranked_extremes
+from tidewatt.operators.stats import period_means, period_stats
+from tidewatt.plans import df, rdd, sql
+from tidewatt.sources.readings import as_readings, read_readings, register_readings, union_readings
+
+HEADER = "datetime,country_code,carbon_intensity_direct,cfe_percent"
+
+# line, what strict_row keeps, what per_metric keeps (None: refused)
+LINES = [
+    ("2021-01-01 00:00:00,IT,10.0,5.0", (0, "IT", 10.0, 5.0), (0, "IT", 10.0, 5.0)),
+    ("2021-01-01 01:00:00,IT,,6.0", None, (1, "IT", None, 6.0)),
+    ("2021-01-01 02:00:00,IT,abc,7.0", None, (2, "IT", None, 7.0)),
+    ("bad,IT,30.0,8.0", None, None),
+    ("2021-01-01 03:00:00,IT,40.0", None, (3, "IT", 40.0, None)),
+    ("2021-01-01 04:00:00,IT,50.0,9.0,extra", (4, "IT", 50.0, 9.0), (4, "IT", 50.0, 9.0)),
+    ("2021-01-01T05:00:00,IT,60.0,1.0", None, None),
+    ("2021-01-01 06:00:00,IT,nan,2.0", None, (6, "IT", None, 2.0)),
+    ("2021-01-01 07:00:00,IT,Infinity,2.0", None, (7, "IT", None, 2.0)),
+    ("2021-01-01 08:00:00,IT,1e999,2.0", None, (8, "IT", None, 2.0)),
+    ("2021-01-01 09:00:00,IT,10.0d,2.0", None, (9, "IT", None, 2.0)),
+    ("2021-02-30 10:00:00,IT,10.0,2.0", None, None),
+    ("2021,IT,10.0,2.0", None, None),
+    ("2021-01-01 11:00:00Z,IT,10.0,2.0", None, None),
+    ("2021-1-1 12:0:0,IT,1.5e1, 2.0 ", (12, "IT", 15.0, 2.0), (12, "IT", 15.0, 2.0)),
+    ("2021-03-28 02:30:00,IT,70.0,3.0", (2, "IT", 70.0, 3.0), (2, "IT", 70.0, 3.0)),
+    ('2021-01-01 13:00:00,"I,T",-1.25,0', (13, "I,T", -1.25, 0.0), (13, "I,T", -1.25, 0.0)),
+    ("2021-01-01 14:00:00,,1.0,2.0", (14, None, 1.0, 2.0), (14, None, 1.0, 2.0)),
+]
+KEPT = {"strict_row": 1, "per_metric": 2}
+
+
+@pytest.fixture()
+def csv_file(tmp_path):
+    path = tmp_path / "readings.csv"
+    path.write_text("\n".join([HEADER, *(line for line, _, _ in LINES)]) + "\n")
+    return str(path)
+
+
+@pytest.mark.parametrize("policy", KEPT)
+def test_csv_policies(spark, csv_file, policy):
+    expected = Counter(case[KEPT[policy]] for case in LINES if case[KEPT[policy]])
+    readings = read_readings(spark, csv_file, "csv", ELECTRICITY, policy)
+    shown = readings.select(F.hour("time"), "country", "carbon", "cfe").collect()
+    assert Counter(tuple(r) for r in shown) == expected
+    assert readings.count() == sum(expected.values())
+    text = rdd.from_text(spark, [csv_file], ELECTRICITY, policy).collect()
+    assert Counter((when[2], who, *values) for when, who, values in text) == expected
+
+
+@pytest.mark.parametrize("policy", KEPT)
+def test_faces_agree_on_dirty_input(spark, csv_file, policy):
+    readings = read_readings(spark, csv_file, "csv", ELECTRICITY, policy)
+    text = rdd.from_text(spark, [csv_file], ELECTRICITY, policy)
+    view = register_readings(readings, "dirty")
+    expected = df.yearly(readings, ELECTRICITY).collect()
+    assert sql.yearly(spark, view, ELECTRICITY).collect() == expected
+    assert rdd.yearly(spark, text, ELECTRICITY).collect() == expected
+    assert rdd.yearly(spark, rdd.from_readings(readings, ELECTRICITY), ELECTRICITY).collect() == expected
+
+
+def test_hour_is_as_written_in_any_session_zone(spark, csv_file):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Rome")
+    try:
+        readings = read_readings(spark, csv_file, "csv", ELECTRICITY)
+        hours = df.hourly(readings.filter("carbon = 70"), ELECTRICITY)
+        assert hours.first()["hour"] == 2
+        assert df.monthly(readings, ELECTRICITY, "IT").orderBy("date").first()["date"] == "2021-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_parquet_with_text_or_typed_columns(spark, tmp_path):
+    rows = [("2021-01-01 05:00:00", "IT", "1.5", "2"), ("no time", "IT", "1", "2")]
+    text = spark.createDataFrame(rows, "datetime string, country_code string, "
+                                       "carbon_intensity_direct string, cfe_percent string")
+    text.write.parquet(str(tmp_path / "text"))
+    typed = spark.createDataFrame(
+        [(datetime(2021, 1, 1, 6), "SE", 3, float("nan"))],
+        "datetime timestamp_ntz, country_code string, carbon_intensity_direct int, cfe_percent double",
+    )
+    typed.write.parquet(str(tmp_path / "typed"))
+    parts = [read_readings(spark, str(tmp_path / p), "parquet", ELECTRICITY) for p in ("text", "typed")]
+    found = union_readings(parts).orderBy("time").collect()
+    assert [tuple(r) for r in found] == [
+        (datetime(2021, 1, 1, 5), "IT", 1.5, 2.0),
+        (datetime(2021, 1, 1, 6), "SE", 3.0, None),
+    ]
+
+
+def test_entity_from_a_literal(spark):
+    source = spark.createDataFrame(
+        [("2021-01-01 05:00:00", 1.5, 2.0)],
+        "datetime string, carbon_intensity_direct double, cfe_percent double",
+    )
+    assert as_readings(source, ELECTRICITY, entity="IT").first()["country"] == "IT"
+
+
+def test_wrong_choices(spark, csv_file):
+    with pytest.raises(ValueError):
+        read_readings(spark, csv_file, "orc", ELECTRICITY)
+    with pytest.raises(ValueError):
+        read_readings(spark, csv_file, "csv", ELECTRICITY, "lenient")
+    with pytest.raises(ValueError):
+        ReadingSpec("t", "e", (Metric("a", "x"), Metric("a", "y")))
+    with pytest.raises(ValueError):
+        Metric("a; drop", "x")
+
+
+ONE = ReadingSpec("time", "country", (Metric("x", "x"),))
+
+
+def readings_of(spark, values, parts=4):
+    rows = [(datetime(2021, 1, 1), "IT", v) for v in values]
+    source = spark.createDataFrame(rows, "time timestamp_ntz, country string, x double")
+    return as_readings(source.repartition(parts), ONE)
+
+
+def exact(values, places=6):
+    total = sum((Fraction(repr(v)) for v in values), Fraction(0)) / len(values)
+    scaled = Decimal(total.numerator) / Decimal(total.denominator)
+    return float(scaled.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP))
+
+
+def face_means(spark, readings):
+    view = register_readings(readings, "one_metric")
+    return {
+        "df": df.yearly(readings, ONE).first()["x-mean"],
+        "sql": sql.yearly(spark, view, ONE).first()["x-mean"],
+        "rdd": rdd.yearly(spark, rdd.from_readings(readings, ONE), ONE).first()["x-mean"],
+    }
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.decimals(-(10**6), 10**6, places=2).map(float), min_size=1, max_size=40))
+def test_means_are_exact(spark, values):
+    means = face_means(spark, readings_of(spark, values))
+    assert set(means.values()) == {exact(values)}
+
+
+def test_mean_on_a_rounding_tie(spark):
+    values = [48.03] * 25 + [48.04] * 7  # 48.0321875
+    assert set(face_means(spark, readings_of(spark, values)).values()) == {48.032188}
+
+
+def test_mean_of_huge_values_and_of_none(spark):
+    assert set(face_means(spark, readings_of(spark, [1e18] * 20)).values()) == {1e18}
+    assert face_means(spark, readings_of(spark, [1e300, 3e300]))["df"] == 2e300
+    assert face_means(spark, readings_of(spark, [1e300, 3e300]))["rdd"] == 2e300
+    assert set(face_means(spark, readings_of(spark, [float("nan")])).values()) == {None}
+
+
+def test_mean_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert face_means(spark, readings_of(spark, [9e18, 9e18]))["df"] == 9e18
+        source = spark.createDataFrame([("bad", "IT", "abc", "1")], "datetime string, country_code "
+                                       "string, carbon_intensity_direct string, cfe_percent string")
+        assert as_readings(source, ELECTRICITY).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@given(st.floats(-1e9, 1e9, allow_nan=False))
+def test_python_rounding_is_half_up(value):
+    expected = float(Decimal(repr(value)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    assert half_up(value, 2) == expected
+    assert math.isclose(mean_of_billionths(to_billionths(value), 1, 9), value, abs_tol=1e-6)
+
+
+def test_interpolation():
+    assert interpolated([4.284784, 4.302491], 0.5) == 4.293638
+    assert [interpolated([7.0], p) for p in (0.0, 0.25, 1.0)] == [7.0, 7.0, 7.0]
+    assert interpolated([1.0, 2.0, 3.0, 4.0], 0.25) == 1.75
+
+
+def test_mean_skips_nulls(spark):
+    found = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double").agg(mean("x")).first()[0]
+    assert found == 1.5
+
+
+def test_rounding_of_extremes(spark):
+    found = period_stats(readings_of(spark, [2.675, -2.675]), ONE).first()
+    assert (found["x-min"], found["x-max"]) == (-2.68, 2.68)
+
+
+def test_empty_input(spark):
+    empty = readings_of(spark, [])
+    assert df.yearly(empty, ONE).collect() == []
+    assert df.hourly_stats(df.hourly(empty, ONE), ONE).collect() == []
+    rows = rdd.from_readings(empty, ONE)
+    assert rdd.yearly(spark, rows, ONE).collect() == []
+    assert rdd.monthly_top(spark, rdd.month_rows(rows, ONE, "IT"), ONE).collect() == []
+
+
+def months_of(spark, rows):
+    return spark.createDataFrame(rows, "date string, x double")
+
+
+RANKED = [("2021-03", 1.0), ("2021-01", 1.0), ("2021-02", 1.0), ("2021-04", None), ("2021-05", 0.5)]
+
+
+def test_rank_ties_go_to_the_earlier_month_and_nulls_have_no_rank(spark):
+    months = months_of(spark, RANKED)
+    found = [
+        df.monthly_top(months, ONE, 3).collect(),
+        sql.monthly_top(spark, register_readings(months, "ties"), ONE, 3).collect(),
+        rdd.monthly_top(spark, spark.sparkContext.parallelize(RANKED), ONE, 3).collect(),
+    ]
+    assert [(r.order_type, r["rank"], r.date) for r in found[0]] == [
+        ("x_desc", 1, "2021-01"), ("x_desc", 2, "2021-02"), ("x_desc", 3, "2021-03"),
+        ("x_asc", 1, "2021-05"), ("x_asc", 2, "2021-01"), ("x_asc", 3, "2021-02"),
+    ]
+    assert found[1] == found[0] and found[2] == found[0]
+
+
+def test_more_ranks_than_months(spark):
+    assert df.monthly_top(months_of(spark, RANKED), ONE, 50).count() == 8
+    with pytest.raises(ValueError):
+        ranked_extremes(months_of(spark, RANKED), ONE, "date", 0)
+
+
+def test_profile_with_missing_hours(spark):
+    rows = [(datetime(2021, 1, d, h), "IT", float(d * h)) for d in (1, 2) for h in (3, 9)]
+    source = spark.createDataFrame(rows, "time timestamp_ntz, country string, x double")
+    profile = df.hourly(as_readings(source, ONE), ONE)
+    assert [(r.hour, r.x) for r in profile.orderBy("hour").collect()] == [(3, 4.5), (9, 13.5)]
+    assert tuple(df.hourly_stats(profile, ONE).first())[2:] == (4.5, 6.75, 9.0, 11.25, 13.5)
+
+
+def test_unknown_grain(spark):
+    with pytest.raises(ValueError):
+        period_means(readings_of(spark, [1.0]), ONE, "week")
+
+
+# --- ingest of raw yearly files ----------------------------------------------
+
+RAW = {"datetime": "When (UTC)", "carbon_intensity_direct": "Carbon (direct)", "cfe_percent": "CFE%"}
+
+
+def write_raw(folder, name, lines, header="When (UTC),Zone,CFE%,Carbon (direct)"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join([header, *lines]) + "\n")
+
+
+@pytest.fixture()
+def raw_folder(tmp_path):
+    folder = tmp_path / "raw"
+    write_raw(folder, "IT_2021_hourly.csv", ["2021-01-01 00:00:00,z,46.3,280.1", "bad,z,1,2"])
+    write_raw(folder, "IT_2022_hourly.csv", ["2022-01-01 00:00:00,z,,290.1"])
+    write_raw(folder, "SE_2021_hourly.csv", ["2021-01-01 00:00:00,z,99.1,4.5"])
+    return folder
+
+
+@pytest.mark.parametrize("policy,kept,refused", [("per_metric", 3, 1), ("strict_row", 2, 2)])
+def test_ingest(spark, raw_folder, tmp_path, policy, kept, refused):
+    raw = read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY, RAW)
+    data = ingest(raw, ELECTRICITY, str(tmp_path / "clean"), policy)
+    clean = data.clean(spark)
+    assert clean.columns == ELECTRICITY.source_columns
+    assert (clean.count(), data.rejects(spark).count()) == (kept, refused)
+    assert raw.count() == kept + refused
+    from_csv = read_readings(spark, f"{data.text}/*", "csv", ELECTRICITY, policy)
+    as_rows = lambda frame: sorted(map(tuple, frame.collect()), key=repr)
+    assert as_rows(from_csv) == as_rows(as_readings(clean, ELECTRICITY))
+    report = ingest_report(spark, data)
+    assert sum(r["rows"] for r in report.collect()) == kept + refused
+
+
+def test_ingest_writes_one_file_per_country_and_format(spark, raw_folder, tmp_path):
+    raw = read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY, RAW)
+    ingest(raw.filter("datetime <> 'bad'"), ELECTRICITY, str(tmp_path / "clean"))
+    for kind in ("parquet", "csv"):
+        files = sorted(p.parent.name for p in (tmp_path / "clean").rglob(f"part-*.{kind}"))
+        files += sorted(p.parent.name for p in (tmp_path / "clean").rglob(f"part-*.snappy.{kind}"))
+        assert sorted({f.split("=")[1] for f in files}) == ["IT", "SE"] and len(set(files)) == 2
+
+
+def test_raw_files_with_another_header_are_refused(spark, raw_folder):
+    write_raw(raw_folder, "SE_2022_hourly.csv", ["x,y,z,w"], "When (UTC),Zone,Carbon (direct),CFE%")
+    raw = read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY, RAW)
+    with pytest.raises(Exception, match="header"):
+        raw.collect()
+
+
+def test_raw_files_without_a_column(spark, raw_folder):
+    with pytest.raises(ValueError, match="no column"):
+        read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY)

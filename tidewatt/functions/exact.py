@@ -10,6 +10,7 @@ whole-stage codegen and about as fast as ``avg``.
 
 from __future__ import annotations
 
+import math
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 from pyspark.sql import Column
@@ -47,19 +48,16 @@ def mean(column: str, places: int = MEAN_PLACES) -> Column:
     return F.expr(mean_sql(column, places))
 
 
-def tie_safe_round_sql(value: str, digits: int, places: int = MEAN_PLACES) -> str:
-    """HALF_UP rounding of a double known to have at most ``digits`` decimals.
-
-    Going through a decimal of that many digits removes the binary noise first,
-    so 4.2936375 rounds to 4.293638 whatever its last bit is.
-    """
-    return f"CAST(round(CAST({value} AS DECIMAL(38,{digits})), {places}) AS DOUBLE)"
-
-
 # The same arithmetic on plain Python numbers, for the RDD face.
 
 _CONTEXT = Context(prec=60, rounding=ROUND_HALF_UP)
-_WIDE = 2.0**53
+_WIDE = 2**53  # from here on doubles have no decimals
+
+
+def _rounded(exact: Decimal, places: int) -> float:
+    if abs(exact) >= _WIDE:
+        return float(exact)
+    return float(exact.quantize(Decimal(1).scaleb(-places), context=_CONTEXT))
 
 
 def to_billionths(value: float) -> int:
@@ -70,24 +68,21 @@ def to_billionths(value: float) -> int:
 def mean_of_billionths(total: int, count: int, places: int = MEAN_PLACES) -> float | None:
     if not count:
         return None
-    plain = total / (count * BILLION)
-    if abs(plain) >= _WIDE:
-        return plain
-    exact = _CONTEXT.divide(Decimal(total), Decimal(count * BILLION))
-    return float(exact.quantize(Decimal(1).scaleb(-places), context=_CONTEXT))
+    return _rounded(_CONTEXT.divide(Decimal(total), Decimal(count * BILLION)), places)
 
 
-def half_up(value: float | None, places: int) -> float | None:
-    if value is None or abs(value) >= _WIDE:
-        return value
-    return float(Decimal(repr(value)).quantize(Decimal(1).scaleb(-places), context=_CONTEXT))
+def half_up(value: float, places: int) -> float:
+    return _rounded(Decimal(repr(value)), places)
 
 
 def interpolated(ordered: list[float], prob: float, places: int = MEAN_PLACES) -> float:
-    """Percentile of sorted values at position ``prob * (n - 1)`` (FN-12, UDF-5)."""
-    position = Decimal(repr(prob)) * (len(ordered) - 1)
-    below = int(position)
-    above = min(below + 1, len(ordered) - 1)
-    lower, upper = Decimal(repr(ordered[below])), Decimal(repr(ordered[above]))
-    exact = _CONTEXT.add(lower, _CONTEXT.multiply(upper - lower, position - below))
-    return float(exact.quantize(Decimal(1).scaleb(-places), context=_CONTEXT))
+    """Percentile of sorted values at position ``prob * (n - 1)`` (FN-12, UDF-5).
+
+    Double arithmetic as in ``percentile``, so both give the same last digit.
+    """
+    position = prob * (len(ordered) - 1)
+    below, above = math.floor(position), math.ceil(position)
+    if below == above:
+        return half_up(ordered[below], places)
+    value = (above - position) * ordered[below] + (position - below) * ordered[above]
+    return half_up(value, places)

@@ -135,17 +135,17 @@ def ingest(raw: DataFrame, spec: ReadingSpec, path: str, policy: str = "per_metr
     """Write the clean dataset as Parquet and CSV (ING-2..6, SNK-3).
 
     The raw text is parsed once: accepted and refused rows go to one Parquet
-    table, split by verdict and entity.  The CSV copy is made from that table, so
-    nothing of the input's size is held in memory, and losing an executor only
-    repeats its tasks.
+    table, split by verdict and entity.  The CSV copy is made from that table,
+    file by file and without another shuffle.  Nothing of the input's size is
+    cached, and losing an executor only repeats its tasks.
     """
     spark = raw.sparkSession
     data = Dataset(path.rstrip("/"), spec)
     rows = compacted(judged(raw, spec, policy), "verdict", spec.entity_col)
     rows.write.partitionBy("verdict", spec.entity_col).parquet(data.table)
-    lines = compacted(data.clean(spark), spec.entity_col)
     (
-        lines.withColumn("entity", F.col(quoted(spec.entity_col)))
+        data.clean(spark)
+        .withColumn("entity", F.col(quoted(spec.entity_col)))
         .write.partitionBy("entity")
         .option("header", True)
         .option("timestampNTZFormat", TIME_FORMAT)

@@ -24,7 +24,7 @@ from tidewatt.sinks.records import (
 )
 from tidewatt.sinks.results import new_run_id, write_result, write_single_csv
 from tidewatt.sources.files import latest_result, read_result
-from tidewatt.sources.readings import as_readings, register_readings
+from tidewatt.sources.readings import as_readings, for_entity, register_readings
 from tidewatt.spec import ReadingSpec
 
 
@@ -67,6 +67,8 @@ def run_query(
     if query == "q2" and entity is None:
         raise ValueError("q2 ranks the months of one entity; give its name")
     if face == "rdd":
+        if query == "q2" and isinstance(readings, DataFrame):
+            readings = for_entity(readings, spec, entity)
         rows = rdd.from_readings(readings, spec) if isinstance(readings, DataFrame) else readings
         return _run_rdd(spark, query, rows, spec, entity, k)
     if face == "sql":
@@ -198,7 +200,8 @@ def run_pipeline(
     out = out.rstrip("/")
     data = ingest(read_raw(spark, sources, spec, columns), spec, f"{out}/data/{run_id}", policy)
     paths = {"data": data.path}
-    paths["report"] = write_single_csv(ingest_report(spark, data), f"{out}/report/{run_id}")
+    paths["report"] = f"{out}/report/{run_id}"
+    ingest_report(spark, data).write.option("header", True).csv(paths["report"])
     view = f"tidewatt_{run_id}"
     tables = run_query(
         spark, query, face, _input(spark, face, data, policy), spec, entity, view=view

@@ -1,6 +1,6 @@
 """RDD face of the queries (QRY-1c, QRY-2c, QRY-3c, AGG-5, UDF-1..5).
 
-Readings are tuples (time, entity, [metric, ...]).  Every group is reduced to a
+Readings are tuples ((year, month, hour), entity, (metric, ...)).  Every group is reduced to a
 small running state inside each task before the shuffle and nothing is collected
 on the driver.  Rows pass through Python one at a time, so this face is for those
 who need the RDD interface; the others do the same work inside the JVM.
@@ -18,6 +18,7 @@ from functools import partial
 
 from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatt.functions.exact import (
@@ -27,7 +28,7 @@ from tidewatt.functions.exact import (
     mean_of_billionths,
     to_billionths,
 )
-from tidewatt.functions.parsing import NUMBER_PATTERN
+from tidewatt.functions.parsing import NUMBER_PATTERN, TIME_PATTERN
 from tidewatt.operators.profiles import PROBABILITIES
 from tidewatt.operators.rankings import rankings
 from tidewatt.sources.readings import check_policy
@@ -37,28 +38,35 @@ from tidewatt.spec import ReadingSpec
 QUOTING = {"quotechar": '"', "escapechar": "\\", "doublequote": False}
 
 _number = re.compile(NUMBER_PATTERN, re.ASCII)
+_time = re.compile(TIME_PATTERN, re.ASCII)
+_separator = re.compile("[- :]")
 
 
 # --- input -----------------------------------------------------------------
 
 
 def from_readings(readings: DataFrame, spec: ReadingSpec) -> RDD:
-    columns = ["time", spec.entity_name, *spec.metric_names]
-    return readings.select(*columns).rdd.map(lambda row: (row[0], row[1], row[2:]))
+    """Rows of a DataFrame; timestamps are taken apart before they reach Python."""
+    when = [F.year("time"), F.month("time"), F.hour("time")]
+    rows = readings.select(*when, spec.entity_name, *spec.metric_names).rdd
+    return rows.map(lambda row: (row[:3], row[3], row[4:]))
 
 
 def parse_line(line: str, metrics: int, policy: str) -> tuple | None:
     """One CSV line by position; None if the policy refuses it (UDF-1, FN-5, FN-9)."""
     fields = line.split(",") if '"' not in line else next(csv.reader([line], **QUOTING), [""])
+    if not _time.match(fields[0]):
+        return None
     try:
-        time = datetime.strptime(fields[0], "%Y-%m-%d %H:%M:%S")
+        time = datetime(*map(int, _separator.split(fields[0])))  # refuses February 30
     except ValueError:
         return None
     values = [_value(text) for text in fields[2 : 2 + metrics]]
     values += [None] * (metrics - len(values))
     if policy == "strict_row" and None in values:
         return None
-    return time, (fields[1] if len(fields) > 1 else "") or None, values
+    entity = fields[1] if len(fields) > 1 else ""
+    return (time.year, time.month, time.hour), entity or None, values
 
 
 def _value(text: str) -> float | None:
@@ -99,7 +107,7 @@ def _merge(state: list, other: list) -> list:
 
 
 def _grouped(readings: RDD, spec: ReadingSpec, key: Callable) -> RDD:
-    """Running states by ``key(time, entity)``; tasks combine before the shuffle."""
+    """Running states by ``key(when, entity)``; tasks combine before the shuffle."""
     empty = [[0, 0, math.inf, -math.inf] for _ in spec.metrics]
     return readings.map(lambda r: (key(r[0], r[1]), r[2])).aggregateByKey(empty, _add, _merge)
 
@@ -130,7 +138,7 @@ def _doubles(names: Sequence[str]) -> list[tuple[str, T.DataType]]:
 
 def yearly(spark: SparkSession, readings: RDD, spec: ReadingSpec) -> DataFrame:
     """Q1: mean, min and max per year and entity (SRT-2)."""
-    rows = _grouped(readings, spec, lambda time, entity: (time.year, entity)).map(
+    rows = _grouped(readings, spec, lambda when, entity: (when[0], entity)).map(
         lambda group: (*group[0], *_stats(group[1]))
     )
     measures = [f"{n}-{what}" for n in spec.metric_names for what in ("mean", "min", "max")]
@@ -141,8 +149,8 @@ def yearly(spark: SparkSession, readings: RDD, spec: ReadingSpec) -> DataFrame:
 def month_rows(readings: RDD, spec: ReadingSpec, entity: str) -> RDD:
     """(month, mean, ...) of one entity (AGG-2, AGG-6)."""
     own = readings.filter(lambda r: r[1] == entity)
-    return _grouped(own, spec, lambda time, _: f"{time.year:04d}-{time.month:02d}").map(
-        lambda group: (group[0], *_means(group[1]))
+    return _grouped(own, spec, lambda when, _: when[:2]).map(
+        lambda group: ("{:04d}-{:02d}".format(*group[0]), *_means(group[1]))
     )
 
 
@@ -186,7 +194,7 @@ def monthly_top(spark: SparkSession, months: RDD, spec: ReadingSpec, k: int = 5)
 
 def hour_rows(readings: RDD, spec: ReadingSpec) -> RDD:
     """(hour, entity, mean, ...) (AGG-3, AGG-6)."""
-    return _grouped(readings, spec, lambda time, entity: (time.hour, entity)).map(
+    return _grouped(readings, spec, lambda when, entity: (when[2], entity)).map(
         lambda group: (*group[0], *_means(group[1]))
     )
 

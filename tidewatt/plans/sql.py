@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.functions.exact import EXTREME_PLACES, mean_sql, tie_safe_round_sql
+from tidewatt.functions.exact import EXTREME_PLACES, MEAN_PLACES, mean_sql
 from tidewatt.functions.grains import grain
-from tidewatt.operators.profiles import PROBABILITIES, interpolated_digits
+from tidewatt.operators.profiles import PROBABILITIES
 from tidewatt.operators.rankings import rankings
 from tidewatt.spec import ReadingSpec, quoted
 
@@ -99,10 +99,8 @@ def hourly(spark: SparkSession, readings: str, spec: ReadingSpec) -> DataFrame:
 def hourly_stats(spark: SparkSession, profile: str, spec: ReadingSpec) -> DataFrame:
     """Q3, percentiles of the profile: one grouped ``percentile`` for all of them."""
     probs = ", ".join(str(p) for p in PROBABILITIES.values())
-    digits = interpolated_digits()
     outputs = ", ".join(
-        f"{tie_safe_round_sql(f'p[{i}]', digits)} AS {quoted(name)}"
-        for i, name in enumerate(PROBABILITIES)
+        f"round(p[{i}], {MEAN_PLACES}) AS {quoted(name)}" for i, name in enumerate(PROBABILITIES)
     )
     return spark.sql(f"""
         WITH long AS (

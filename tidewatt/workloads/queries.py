@@ -17,7 +17,7 @@ from tidewatt.plans import df, rdd, sql
 from tidewatt.scratch import scratch_dir
 from tidewatt.sinks.records import flat_records, hash_records, upsert_records
 from tidewatt.sinks.results import write_result, write_single_csv
-from tidewatt.sources.files import discover_sources, latest_result, read_result
+from tidewatt.sources.files import discover_sources, latest_result, list_files, read_result
 from tidewatt.sources.readings import as_readings, read_readings, register_readings, union_readings
 from tidewatt.spec import ReadingSpec
 from tidewatt.workloads.tables import (
@@ -165,7 +165,7 @@ def dual_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- written results ---------------------------------------------------------
 
-KEYS = {"result": ["status", "year"], "top": ["order_type", "rank"], "stats": ["kind", "data"]}
+KEYS = {"result": ["status", "year"], "all": ["date"], "top": ["order_type", "rank"], "stats": ["kind", "data"]}
 
 
 def written(spark: SparkSession, sf_dir: str, query: str, kind: str) -> DataFrame:
@@ -189,12 +189,12 @@ def newest_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A result in one CSV file, read back with the number of files."""
-    months = answer(spark, sf_dir, "q2", "df", "all")
+    """A written result brought into one CSV file, read back with the number of files."""
+    months = written(spark, sf_dir, "q2", "all").orderBy("date")
     path = write_single_csv(months, scratch_dir(spark, "single"))
     rows = spark.read.schema(months.schema).option("header", True).csv(path)
-    files = spark.read.format("binaryFile").load(path).agg(F.count("path").alias("files"))
-    return rows.join(F.broadcast(files)).orderBy("date")
+    files = F.lit(list_files(spark, path).count())
+    return rows.withColumn("files", files).orderBy("date")
 
 
 # --- records -----------------------------------------------------------------
