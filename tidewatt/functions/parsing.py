@@ -19,11 +19,11 @@ def strict_time(text: Column) -> Column:
     return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp_ntz"))
 
 
+def strict_double(text: Column) -> Column:
+    """Decimal text as a double (FN-9, PRJ-6); ``nan``, ``inf`` and suffixes are not numbers."""
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
 def finite(number: Column) -> Column:
     """NULL for NaN and the infinities (FLT-5): NaN sorts above everything."""
     return F.when(F.abs(number) < float("inf"), number)
-
-
-def strict_double(text: Column) -> Column:
-    """Decimal text as a finite double (FN-9, PRJ-6)."""
-    return finite(F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double")))

@@ -76,16 +76,17 @@ def reject_reason(spec: ReadingSpec, policy: str) -> Column:
 def judged(raw: DataFrame, spec: ReadingSpec, policy: str = "per_metric") -> DataFrame:
     """Raw rows in clean column names and types, with ``verdict`` and, for refused
     rows, ``reason`` and the raw fields as JSON text (ING-2, FLT-4, FLT-5)."""
-    fields = [F.col(quoted(c)) for c in spec.source_columns]
+    fields = [*spec.source_columns, "source"]
+    kept = F.struct(*[F.col(quoted(c)) for c in fields]).alias("raw")
+    reason = reject_reason(spec, policy).alias("reason")
     names = ["time", spec.entity_name, *spec.metric_names]
-    shaped = raw.select(
-        *typed(raw, spec), F.to_json(F.struct(*fields, "source")).alias("raw")
-    ).withColumn("reason", reject_reason(spec, policy))
-    return shaped.select(
-        *[F.col(n).alias(c) for n, c in zip(names, spec.source_columns, strict=True)],
-        "reason",
-        F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
-        F.when(F.col("reason").isNull(), "clean").otherwise("rejected").alias("verdict"),
+    clean = [F.col(n).alias(c) for n, c in zip(names, spec.source_columns, strict=True)]
+    refused = F.col("reason").isNotNull()
+    return (
+        typed(raw, spec, keep=[kept])
+        .select(*clean, reason, "raw")
+        .withColumn("raw", F.when(refused, F.to_json("raw")))
+        .withColumn("verdict", F.when(refused, "rejected").otherwise("clean"))
     )
 
 

@@ -16,11 +16,12 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import partial
 
-from pyspark import RDD
+from pyspark import RDD, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tidewatt
 from tidewatt.functions.exact import (
     EXTREME_PLACES,
     half_up,
@@ -34,6 +35,9 @@ from tidewatt.operators.rankings import rankings
 from tidewatt.sources.readings import check_policy
 from tidewatt.spec import ReadingSpec
 
+# Functions travel to the executors with the tasks; nothing need be installed there.
+cloudpickle.register_pickle_by_value(tidewatt)
+
 # Fixed value: how the CSV writer quotes.
 QUOTING = {"quotechar": '"', "escapechar": "\\", "doublequote": False}
 

@@ -83,6 +83,7 @@ def read_result(spark: SparkSession, path: str, schema: T.StructType, keys: list
         spark.read.schema(read_as)
         .option("header", True)
         .option("columnNameOfCorruptRecord", corrupt)
+        .option("columnPruning", False)
         .csv(path)
     )
     has_keys = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
