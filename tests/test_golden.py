@@ -6,8 +6,9 @@ import pytest
 
 from tests import golden
 from tidewatt import ELECTRICITY
-from tidewatt.operators.timing import run_times, timing_summary
+from tidewatt.operators.timing import recorded_runs, run_times, timing_summary
 from tidewatt.plans import df, rdd, sql
+from tidewatt.sinks.results import write_timing_report
 from tidewatt.sources.readings import register_readings
 
 MONTHS = golden.rows(golden.MONTHLY, str, float, float)
@@ -64,10 +65,7 @@ def test_months_average_to_years():
 
 
 def test_timing_summary(spark):
-    runs = spark.createDataFrame(
-        [(*key, n, s) for key, times in golden.RUNS.items() for n, s in enumerate(times, start=1)],
-        "query string, api string, run_no int, seconds double",
-    )
+    runs = recorded_runs(spark, golden.RUNS)
     for row in timing_summary(runs).collect():
         mean, deviation = golden.RUN_SUMMARY[row.query, row.api]
         assert row.runs == 10
@@ -77,8 +75,12 @@ def test_timing_summary(spark):
     assert [r.seconds for r in listed] == golden.RUNS["q1", "df"]
 
 
-def test_timing_of_a_single_run(spark):
-    runs = spark.createDataFrame(
-        [("q1", "df", 1, 3.5)], "query string, api string, run_no int, seconds double"
-    )
-    assert timing_summary(runs).first()["stdev_seconds"] == 0.0
+def test_timing_of_a_single_run_and_its_report(spark, tmp_path):
+    runs = recorded_runs(spark, {("q1", "df"): [3.456]})
+    summary, times = write_timing_report(runs, str(tmp_path), "20250101000000")
+    assert [(tmp_path / p).name for p in (summary, times)] == [
+        "performance_summary_20250101000000", "performance_runs_20250101000000",
+    ]
+    read = lambda path: [tuple(r) for r in spark.read.option("header", True).csv(path).collect()]
+    assert read(summary) == [("q1", "df", "1", "3.46", "0.0")]
+    assert read(times) == [("q1", "df", "1", "3.46")]

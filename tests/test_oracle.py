@@ -37,3 +37,14 @@ def test_query_matches_sql(spark, duck, name):
     found = by_name(result.columns, [tuple(r) for r in result.collect()])
     assert found == by_name(columns, expected.fetchall())
     assert found
+
+
+def test_a_later_call_does_not_change_an_earlier_frame(spark):
+    small = QUERIES["q2_top_sql"](spark, str(SF))
+    expected = QUERIES["q2_top_df"](spark, str(SF)).collect()
+    QUERIES["q2_top_sql"](spark, "/root/testdata/sf0.01")
+    assert small.collect() == expected
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns[:2] == ["year", "status"]

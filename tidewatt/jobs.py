@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import RDD
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatt.ingest import Dataset, ingest, ingest_report, read_raw
@@ -117,20 +117,21 @@ def _run_rdd(spark, query, readings, spec, entity, k) -> Tables:
 def kept(spark: SparkSession, shared: DataFrame | str | None):
     """Keep the aggregate that both of a query's outputs need, then let it go (PER-1, PER-2).
 
-    It has one row per month, or per hour and entity.  A view is cached by name.
-    The RDD face needs nothing: its second job finds the shuffled groups of the
-    first.
+    It has one row per month, or per hour and entity, so a second copy costs
+    nothing and spares a new scan when an executor is lost.  A view is cached by
+    name.  The RDD face needs nothing: its second job finds the shuffled groups of
+    the first.
     """
     if shared is None:
         yield
     elif isinstance(shared, str):
-        spark.catalog.cacheTable(shared)
+        spark.catalog.cacheTable(shared, StorageLevel.MEMORY_AND_DISK_2)
         try:
             yield
         finally:
             spark.catalog.uncacheTable(shared)
     else:
-        shared.persist()
+        shared.persist(StorageLevel.MEMORY_AND_DISK_2)
         try:
             yield
         finally:

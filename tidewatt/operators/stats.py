@@ -11,7 +11,7 @@ from tidewatt.spec import ReadingSpec
 
 
 def period_stats(readings: DataFrame, spec: ReadingSpec, by: str = "year") -> DataFrame:
-    """Mean, minimum and maximum of every metric per period and entity (AGG-1, AGG-6).
+    """Mean, minimum and maximum of every metric per period and entity (AGG-1, AGG-6, PRJ-3).
 
     One shuffle of one partial row per task and group, whatever the input size.
     """

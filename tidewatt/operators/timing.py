@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatt.functions.exact import mean
@@ -10,6 +12,18 @@ from tidewatt.functions.exact import mean
 TIMING_PLACES = 2
 
 
+def recorded_runs(
+    spark: SparkSession, seconds: Mapping[tuple[str, str], Sequence[float]]
+) -> DataFrame:
+    """A table of runs from measured times by (query, face), in run order (SRC-4)."""
+    rows = [
+        (query, api, run_no, value)
+        for (query, api), values in seconds.items()
+        for run_no, value in enumerate(values, start=1)
+    ]
+    return spark.createDataFrame(rows, "query string, api string, run_no int, seconds double")
+
+
 def timing_summary(runs: DataFrame) -> DataFrame:
     """Number, mean and sample deviation of run times per query and face (AGG-8).
 

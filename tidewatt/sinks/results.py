@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from tidewatt.operators.timing import run_times, timing_summary
 from tidewatt.sources.files import result_name
 
 # Fixed value: longest result that is brought together in one file.
@@ -43,3 +44,11 @@ def write_single_csv(result: DataFrame, path: str, single_file_rows: int = SINGL
         result = result.coalesce(1)
     result.write.option("header", True).csv(path)
     return path
+
+
+def write_timing_report(runs: DataFrame, base: str, run_id: str) -> tuple[str, str]:
+    """Write the summary of measured runs and the list of their times (SNK-6)."""
+    return (
+        write_result(timing_summary(runs), base, "performance", "summary", run_id),
+        write_result(run_times(runs), base, "performance", "runs", run_id),
+    )

@@ -91,7 +91,7 @@ def read_readings(
 
 
 def union_readings(parts: Sequence[DataFrame]) -> DataFrame:
-    """All rows of several sources, matched by column name (SET-1)."""
+    """All rows of several sources, duplicates kept, matched by column name (SET-1, SET-2)."""
     return reduce(DataFrame.unionByName, parts)
 
 
