@@ -146,6 +146,22 @@ def test_scratch_dir_is_under_the_shared_folder(spark):
     assert first.startswith(f"{base}/x-") and first != second and not Path(first).exists()
 
 
+def test_no_machine_local_scratch_on_a_cluster():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+            getConf = Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster, "x")
+
+
 def test_kept_tables_are_released(spark, raw_files):
     source = spark.read.option("header", True).csv(str(raw_files))
     readings = as_readings(source, ELECTRICITY)

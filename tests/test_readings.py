@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatt import ELECTRICITY, Metric, ReadingSpec
 from tidewatt.functions.exact import half_up, interpolated, mean, mean_of_billionths, to_billionths
-from tidewatt.ingest import ingest, ingest_report, read_raw
+from tidewatt.ingest import compacted, ingest, ingest_report, read_raw
 from tidewatt.operators.rankings import ranked_extremes
 from tidewatt.operators.stats import period_means, period_stats
 from tidewatt.plans import df, rdd, sql
@@ -154,6 +154,14 @@ def test_means_are_exact(spark, values):
     assert set(means.values()) == {exact(values)}
 
 
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40))
+def test_means_of_any_doubles(spark, values):
+    means = set(face_means(spark, readings_of(spark, values)).values())
+    assert len(means) == 1
+    assert means.pop() == pytest.approx(math.fsum(values) / len(values), abs=5.02e-7)
+
+
 def test_mean_on_a_rounding_tie(spark):
     values = [48.03] * 25 + [48.04] * 7  # 48.0321875
     assert set(face_means(spark, readings_of(spark, values)).values()) == {48.032188}
@@ -292,6 +300,17 @@ def test_ingest_writes_one_file_per_country_and_format(spark, raw_folder, tmp_pa
         assert sorted({f.split("=")[1] for f in files}) == ["IT", "SE"] and len(set(files)) == 2
 
 
+def test_rows_stay_in_place_without_adaptive_execution(spark):
+    frame = spark.range(3).withColumn("who", F.lit("IT"))
+    rebalanced = compacted(frame, "who")
+    assert "RebalancePartitions" in rebalanced._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert compacted(frame, "who") is frame
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_raw_files_with_another_header_are_refused(spark, raw_folder):
     write_raw(raw_folder, "SE_2022_hourly.csv", ["x,y,z,w"], "When (UTC),Zone,Carbon (direct),CFE%")
     raw = read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY, RAW)

@@ -3,9 +3,9 @@
 ``avg`` over doubles adds in whatever order tasks finish, so its last digits may
 change from run to run and a mean that lies on a rounding tie may flip.  Summing
 decimals is exact but about six times slower (it goes through text and
-BigDecimal for every value).  Here each value is split into whole units and
-billionths, both bigint, and those are summed: exact, order-free, inside
-whole-stage codegen and about as fast as ``avg``.
+BigDecimal for every value).  Here each value becomes a whole number of
+billionths, and the upper and lower bits of those are summed as bigints: exact,
+order-free, and inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidewatt.spec import quoted
 
 BILLION = 1_000_000_000
+LOWER_BITS = 20
 MEAN_PLACES = 6
 EXTREME_PLACES = 2
 
@@ -26,21 +27,20 @@ EXTREME_PLACES = 2
 def mean_sql(column: str, places: int = MEAN_PLACES) -> str:
     """SQL text of the mean of a double column, rounded HALF_UP (AGG-1..3, AGG-6, FN-6).
 
-    NULLs are skipped.  Billionths are summed in two parts of 15 bits each, so a
-    group may hold 2**48 rows before a sum overflows.  Where a value does not fit
-    a bigint, or the sum of whole units does not, the plain double mean is used.
+    NULLs are skipped.  The sums hold for 2**43 rows per group and values that add
+    up to 9e15.  Beyond that, or where billionths of a value exceed a bigint, the
+    plain double mean is used.
     """
     x = quoted(column)
-    whole = f"try_cast({x} AS BIGINT)"
-    billionths = f"try_cast(rint(({x} - {whole}) * 1e9) AS BIGINT)"
-    high = f"CAST(try_sum(shiftright({billionths}, 15)) AS DECIMAL(19,0)) * 32768"
-    low = f"CAST(try_sum({billionths} & 32767) AS DECIMAL(19,0))"
-    total = f"CAST(try_sum({whole}) AS DECIMAL(19,0)) + ({high} + {low}) * 0.000000001"
-    exact = f"CAST({total} AS DECIMAL(28,9)) / CAST(count({x}) AS DECIMAL(20,0))"
+    billionths = f"try_cast(rint({x} * 1e9) AS BIGINT)"
+    upper = f"try_sum(shiftright({billionths}, {LOWER_BITS}))"
+    lower = f"try_sum({billionths} & {2**LOWER_BITS - 1})"
+    total = f"CAST({upper} AS DECIMAL(19,0)) * {2**LOWER_BITS} + CAST({lower} AS DECIMAL(19,0))"
+    exact = f"CAST(({total}) * 0.000000001 AS DECIMAL(28,9)) / CAST(count({x}) AS DECIMAL(20,0))"
     return (
-        f"CASE WHEN count({billionths}) = count({x}) AND try_sum({whole}) IS NOT NULL"
+        f"CASE WHEN count({billionths}) = count({x}) AND {upper} IS NOT NULL"
         f" THEN CAST(round({exact}, {places}) AS DOUBLE)"
-        f" ELSE round(avg({x}), {places}) END"
+        f" ELSE round(try_divide(sum({x}), count({x})), {places}) END"
     )
 
 
@@ -61,8 +61,7 @@ def _rounded(exact: Decimal, places: int) -> float:
 
 
 def to_billionths(value: float) -> int:
-    whole = int(value)
-    return whole * BILLION + round((value - whole) * BILLION)
+    return round(value * 1e9) if abs(value) < _WIDE else int(value) * BILLION
 
 
 def mean_of_billionths(total: int, count: int, places: int = MEAN_PLACES) -> float | None:

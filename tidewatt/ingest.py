@@ -135,6 +135,7 @@ class Dataset:
 def ingest(raw: DataFrame, spec: ReadingSpec, path: str, policy: str = "per_metric") -> Dataset:
     """Write the clean dataset as Parquet and CSV (ING-2..6, SNK-3).
 
+    Entities become folders, so there should be few of them (countries, not meters).
     The raw text is parsed once: accepted and refused rows go to one Parquet
     table, split by verdict and entity.  The CSV copy is made from that table,
     file by file and without another shuffle.  Nothing of the input's size is

@@ -128,11 +128,11 @@ REJECTS = f"""
         CASE WHEN {GOOD_K} THEN CAST(k AS VARCHAR) END AS k, {REASON} AS reason
     FROM ({EVENT_READINGS}) WHERE {REASON} IS NOT NULL"""
 REPORT = f"""
-    SELECT 'clean' AS verdict, event_type AS kind, CAST(year(ts) AS INTEGER) AS year,
-        CAST(NULL AS VARCHAR) AS reason, count(*) AS rows
+    SELECT 'clean' AS verdict, event_type AS kind, CAST(year(ts) AS VARCHAR) AS year,
+        '' AS reason, count(*) AS rows
     FROM ({STRICT}) GROUP BY event_type, year(ts)
     UNION ALL
-    SELECT 'rejected', NULL, NULL, reason, count(*) FROM ({REJECTS}) GROUP BY reason"""
+    SELECT 'rejected', '', '', reason, count(*) FROM ({REJECTS}) GROUP BY reason"""
 
 
 def ingested(source: str) -> str:

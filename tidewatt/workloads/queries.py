@@ -117,7 +117,9 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest_report(spark, ingested_events(spark, sf_dir, "strict_row"))
+    """Kept rows per entity and year, refused rows per reason; empty text where not given."""
+    report = ingest_report(spark, ingested_events(spark, sf_dir, "strict_row"))
+    return report.withColumn("year", F.col("year").cast("string")).fillna("")
 
 
 def csv_answer(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
