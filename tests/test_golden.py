@@ -64,6 +64,15 @@ def test_months_average_to_years():
         assert sum(f * days[m] for m, _, f in own) / total == pytest.approx(cfe, abs=2e-6)
 
 
+def test_hours_average_to_years():
+    years = golden.rows(golden.YEARLY_ITALY, int, float, float)
+    days = [366 if calendar.isleap(year) else 365 for year, _, _ in years]
+    for column in (1, 2):
+        overall = sum(row[column] * d for row, d in zip(years, days, strict=True)) / sum(days)
+        own = [row[column + 1] for row in HOURS if row[1] == "IT"]
+        assert sum(own) / 24 == pytest.approx(overall, abs=2e-6)
+
+
 def test_timing_summary(spark):
     runs = recorded_runs(spark, golden.RUNS)
     for row in timing_summary(runs).collect():

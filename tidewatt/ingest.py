@@ -97,7 +97,7 @@ def compacted(df: DataFrame, *columns: str) -> DataFrame:
     tasks and packs small ones together.  Without it a hot value would land in
     one task, so the rows are then left where they are.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
         return df
     return df.hint("rebalance", *columns)
 

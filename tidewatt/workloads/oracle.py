@@ -63,7 +63,7 @@ def top(source: str, k: int, within: str = "") -> str:
 
 
 EVENT_READINGS = """
-    SELECT event_id, ts, event_type, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
+    SELECT ts, event_type, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
     FROM events"""
 
 
