@@ -166,16 +166,31 @@ def test_kept_tables_are_released(spark, raw_files):
     source = spark.read.option("header", True).csv(str(raw_files))
     readings = as_readings(source, ELECTRICITY)
     frame = run_query(spark, "q2", "df", readings, ELECTRICITY, "IT").shared
-    view = run_query(spark, "q3", "sql", readings, ELECTRICITY, view="release").shared
+    tables = run_query(spark, "q3", "sql", readings, ELECTRICITY, view="release")
+    view = tables.shared
     with kept(spark, frame), kept(spark, view):
         assert frame.storageLevel.useMemory and spark.catalog.isCached(view)
-        assert "InMemoryTableScan" in frame.orderBy("date")._jdf.queryExecution().executedPlan().toString()
+        for cached in (frame.orderBy("date"), tables.outputs["stats"], tables.outputs["hourly"]):
+            plan = cached._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan or "Scan In-memory table" in plan
     assert not frame.storageLevel.useMemory and not spark.catalog.isCached(view)
     with pytest.raises(RuntimeError), kept(spark, frame):
         raise RuntimeError
     assert not frame.storageLevel.useMemory
 
 
+def test_readings_without_an_entity_stay(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(f"{HEADER}\n2021-01-01 00:00:00,,1.0,2.0\n")
+    for query, kind in (("q1", "result"), ("q3", "stats")):
+        paths = run_pipeline(
+            spark, query, "df", str(tmp_path / "raw.csv"), ELECTRICITY, str(tmp_path / query), LABELS
+        )
+        text = spark.read.option("header", True).csv(paths[f"csv_{kind}"])
+        assert text.filter("country IS NULL").count() == (1 if query == "q1" else 2)
+        keys = {r.key for r in spark.read.parquet(paths["records"]).select("key").collect()}
+        assert keys == ({"Q1::2021"} if query == "q1" else {"Q3::carbon-intensity", "Q3::cfe"})
+
+
 @pytest.mark.parametrize("query", ["q1", "q2", "q3"])
 def test_whole_run_is_the_same_by_every_face(spark, raw_files, tmp_path, query):
     seen = {}

@@ -28,6 +28,10 @@ from tidewatt.sources.readings import as_readings, for_entity, register_readings
 from tidewatt.spec import ReadingSpec
 
 
+# The column every row of an output has; an entity may be missing.
+REQUIRED = {"result": "year", "all": "date", "top": "rank", "hourly": "hour", "stats": "data"}
+
+
 def check_choice(query: str, face: str) -> None:
     if query not in QUERIES:
         raise ValueError(f"unknown query {query!r}, use one of {QUERIES}")
@@ -212,12 +216,13 @@ def run_pipeline(
             name = None if kind == "result" else kind
             paths[kind] = write_result(table, f"{out}/output", query, face, run_id, name)
     results = {
-        kind: read_result(spark, paths[kind], table.schema, _keys(query, kind, spec))
+        kind: read_result(spark, paths[kind], table.schema, [REQUIRED[kind]])
         for kind, table in tables.outputs.items()
     }
     for kind, result in results.items():
         name = f"{query}_{kind}"
-        order = [ranking_order(spec), "rank"] if kind == "top" else _keys(query, kind, spec)
+        group = [] if kind == "all" else [ranking_order(spec) if kind == "top" else spec.entity_name]
+        order = [*group, REQUIRED[kind]]
         path = f"{out}/csv/{run_id}/{name}"
         paths[f"csv_{kind}"] = write_single_csv(result.orderBy(*order), path)
     kind, layout = record_layout(query, spec, entity)
@@ -233,13 +238,3 @@ def _input(spark: SparkSession, face: str, data: Dataset, policy: str) -> DataFr
     if face == "rdd":
         return rdd.from_text(spark, [f"{data.text}/*"], data.spec, policy)
     return as_readings(data.clean(spark), data.spec, policy)
-
-
-def _keys(query: str, kind: str, spec: ReadingSpec) -> list[str]:
-    return {
-        "result": [spec.entity_name, "year"],
-        "all": ["date"],
-        "top": ["order_type", "rank"],
-        "hourly": [spec.entity_name, "hour"],
-        "stats": [spec.entity_name, "data"],
-    }[kind]

@@ -1,8 +1,8 @@
 """RDD face of the queries (QRY-1c, QRY-2c, QRY-3c, AGG-5, UDF-1..5).
 
-Readings are tuples ((year, month, hour), entity, (metric, ...)).  Every group is reduced to a
-small running state inside each task before the shuffle and nothing is collected
-on the driver.  Rows pass through Python one at a time, so this face is for those
+Readings are tuples ((year, month, hour), entity, [metric, ...]).  Every group is
+reduced to a small running state inside each task before the shuffle and nothing
+is collected on the driver.  Rows pass through Python one at a time, so this face is for those
 who need the RDD interface; the others do the same work inside the JVM.
 """
 
@@ -12,7 +12,7 @@ import csv
 import heapq
 import math
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime
 from functools import partial
 
@@ -53,7 +53,12 @@ def from_readings(readings: DataFrame, spec: ReadingSpec) -> RDD:
     """Rows of a DataFrame; timestamps are taken apart before they reach Python."""
     when = [F.year("time"), F.month("time"), F.hour("time")]
     rows = readings.select(*when, spec.entity_name, *spec.metric_names).rdd
-    return rows.map(lambda row: (row[:3], row[3], row[4:]))
+    return rows.mapPartitions(_unpacked)
+
+
+def _unpacked(rows: Iterable) -> Iterator[tuple]:
+    for year, month, hour, entity, *values in rows:  # quicker than indexing a Row
+        yield (year, month, hour), entity, values
 
 
 def parse_line(line: str, metrics: int, policy: str) -> tuple | None:
@@ -96,8 +101,10 @@ def _add(state: list, values: Sequence[float | None]) -> list:
         if value is not None:
             measure[0] += 1
             measure[1] += to_billionths(value)
-            measure[2] = value if value < measure[2] else measure[2]
-            measure[3] = value if value > measure[3] else measure[3]
+            if value < measure[2]:
+                measure[2] = value
+            if value > measure[3]:
+                measure[3] = value
     return state
 
 

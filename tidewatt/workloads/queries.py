@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatt.ingest import ingest, ingest_report, read_raw, source_inventory
-from tidewatt.jobs import Tables, chart_series, record_layout, run_pipeline, run_query
+from tidewatt.jobs import REQUIRED, Tables, chart_series, record_layout, run_pipeline, run_query
 from tidewatt.operators.rankings import ranked_extremes
 from tidewatt.operators.stats import period_means, row_counts
 from tidewatt.operators.timing import run_times, timing_summary
@@ -167,16 +167,13 @@ def dual_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- written results ---------------------------------------------------------
 
-KEYS = {"result": ["status", "year"], "all": ["date"], "top": ["order_type", "rank"], "stats": ["kind", "data"]}
-
-
 def written(spark: SparkSession, sf_dir: str, query: str, kind: str) -> DataFrame:
     """A result written, found again as the newest run and read back."""
     result = answer(spark, sf_dir, query, "df", kind)
     base = scratch_dir(spark, "output")
     name = None if kind == "result" else kind
     write_result(result, base, query, "df", FIRST_RUN, name)
-    return read_result(spark, latest_result(spark, base, query, "df", name), result.schema, KEYS[kind])
+    return read_result(spark, latest_result(spark, base, query, "df", name), result.schema, [REQUIRED[kind]])
 
 
 def newest_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +184,7 @@ def newest_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_result(result.filter(f"status = '{ONE_STATUS}'"), base, "q1", "df", FIRST_RUN)
     newest = latest_result(spark, base, "q1", "df")
     run = F.lit(newest.rsplit("_", 1)[1])
-    return read_result(spark, newest, result.schema, KEYS["result"]).withColumn("run", run)
+    return read_result(spark, newest, result.schema, ["year"]).withColumn("run", run)
 
 
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
