@@ -162,21 +162,28 @@ def test_no_machine_local_scratch_on_a_cluster():
         scratch_dir(Cluster, "x")
 
 
-def test_kept_tables_are_released(spark, raw_files):
+def uses_cache(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return "InMemoryTableScan" in plan or "Scan In-memory table" in plan
+
+
+@pytest.mark.parametrize("face", ["df", "sql"])
+@pytest.mark.parametrize("query", ["q2", "q3"])
+def test_outputs_share_the_kept_table_and_it_is_released(spark, raw_files, face, query):
     source = spark.read.option("header", True).csv(str(raw_files))
     readings = as_readings(source, ELECTRICITY)
-    frame = run_query(spark, "q2", "df", readings, ELECTRICITY, "IT").shared
-    tables = run_query(spark, "q3", "sql", readings, ELECTRICITY, view="release")
-    view = tables.shared
-    with kept(spark, frame), kept(spark, view):
-        assert frame.storageLevel.useMemory and spark.catalog.isCached(view)
-        for cached in (frame.orderBy("date"), tables.outputs["stats"], tables.outputs["hourly"]):
-            plan = cached._jdf.queryExecution().executedPlan().toString()
-            assert "InMemoryTableScan" in plan or "Scan In-memory table" in plan
-    assert not frame.storageLevel.useMemory and not spark.catalog.isCached(view)
-    with pytest.raises(RuntimeError), kept(spark, frame):
+
+    def outputs():
+        tables = run_query(spark, query, face, readings, ELECTRICITY, "IT", view="release")
+        return tables.shared, tables.outputs.values()
+
+    shared, frames = outputs()
+    with kept(spark, shared):
+        assert all(uses_cache(frame) for frame in frames)
+    assert not any(uses_cache(frame) for frame in outputs()[1])
+    with pytest.raises(RuntimeError), kept(spark, shared):
         raise RuntimeError
-    assert not frame.storageLevel.useMemory
+    assert not any(uses_cache(frame) for frame in outputs()[1])
 
 
 def test_readings_without_an_entity_stay(spark, tmp_path):

@@ -41,17 +41,21 @@ def yearly(spark: SparkSession, readings: str, spec: ReadingSpec) -> DataFrame:
 
 
 def monthly(spark: SparkSession, readings: str, spec: ReadingSpec, entity: str) -> DataFrame:
-    """Q2, all months: means of one entity, unsorted."""
+    """Q2, all months: means of one entity, unsorted.
+
+    A subquery rather than WITH: a cached view that holds a WITH is not found again
+    by a statement that has one of its own.
+    """
     unit = grain("month")
     return spark.sql(
         f"""
-        WITH months AS (
+        SELECT {unit.display} AS date, {_labels(spec)}
+        FROM (
             SELECT {unit.key} AS period, {_means(spec)}
             FROM {readings}
             WHERE {spec.entity_name} = :entity
             GROUP BY {unit.key}
         )
-        SELECT {unit.display} AS date, {_labels(spec)} FROM months
         """,
         args={"entity": entity},
     )
