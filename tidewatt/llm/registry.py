@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination
+from tidewatt.llm import decontamination, minhash
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,9 +16,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.item_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op5_minhash": op5_minhash,
     }
 
 
@@ -53,5 +58,28 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP5 = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(list_filter(regexp_split_to_array({LOWERED}, '[\x20\x09-\x0D]+'), lambda w: w <> ''), []) AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS shingle
+    FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS r(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT u, v FROM pairs JOIN n nu ON u = nu.doc_id JOIN n nv ON v = nv.doc_id
+    WHERE 100 * shared >= 80 * (nu.n + nv.n - shared)),
+reach AS (
+    SELECT doc_id AS u, doc_id AS v FROM documents
+    UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+c AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1}
+    return {"op1_decontamination": OP1, "op5_minhash": OP5}
