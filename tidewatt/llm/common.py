@@ -45,8 +45,8 @@ def with_shape(shape: DataFrame, rows: DataFrame) -> DataFrame:
 # --- words of an Arrow column, hashed without a Python loop over words -------
 
 CHUNK_BYTES = 1 << 20
-SPACES = np.zeros(256, bool)
-SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+WORD_BYTES = np.ones(256, np.uint8)
+WORD_BYTES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -106,19 +106,14 @@ def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * down[starts] + mix(lengths))
 
 
-def split_words(raw: np.ndarray, offsets: np.ndarray, spaces: np.ndarray = SPACES):
-    """Starts and ends of the words (runs of bytes not in ``spaces``), and words before each row."""
-    inner = ~spaces[raw]
-    starts = inner.copy()
-    starts[1:] &= ~inner[:-1]
-    breaks = offsets[(offsets < len(raw))]
-    starts[breaks] = inner[breaks]
-    last = inner.copy()
-    last[:-1] &= ~inner[1:]
-    before = breaks[breaks > 0] - 1
-    last[before] = inner[before]
-    starts = np.flatnonzero(starts)
-    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
+def split_words(raw: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORD_BYTES):
+    """Starts and ends of the words (runs of bytes of one kind but 0), and words before each row."""
+    kind = kinds[raw]
+    change = np.ones(len(raw) + 1, bool)
+    change[1:-1] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    starts = np.flatnonzero(change[:-1] & (kind > 0))
+    return starts, np.flatnonzero(change[1:] & (kind > 0)) + 1, np.searchsorted(starts, offsets)
 
 
 def hashed_words(column: pa.Array) -> Words:
