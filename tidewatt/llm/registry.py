@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, minhash, quality, sharding
+from tidewatt.llm import decontamination, minhash, private, quality, sharding
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.item_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.private_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +35,7 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_private": op2_private,
         "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
