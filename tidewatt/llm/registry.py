@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, minhash, private, quality, sharding
+from tidewatt.llm import decontamination, minhash, packing, private, quality, sharding
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.private_spans(table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,6 +40,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_private": op2_private,
+        "op3_packing": op3_packing,
         "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
