@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, minhash, packing, private, quality, sharding
+from tidewatt.llm import decontamination, minhash, packing, pages, private, quality, sharding
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(table(spark, sf_dir, "documents"))
 
 
+def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -44,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
+        "op10_pages": op10_pages,
     }
 
 
