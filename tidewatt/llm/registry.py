@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, minhash, packing, pages, private, quality, sharding
+from tidewatt.llm import decontamination, minhash, packing, pages, private, quality, sharding, vectors
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_texts(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Query]:
         "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
+        "op8_vectors": op8_vectors,
         "op10_pages": op10_pages,
     }
 
@@ -106,5 +111,23 @@ FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+OP8 = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+      AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+n AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+reach AS (
+    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+c AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n ON n.u = c.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op5_minhash": OP5}
+    return {"op1_decontamination": OP1, "op5_minhash": OP5, "op8_vectors": OP8}
