@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, minhash, packing, pages, private, quality, sharding, vectors
+from tidewatt.llm import decontamination, language, minhash, packing, pages, private, quality, sharding, vectors
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_texts(table(spark, sf_dir, "pages"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
         "op8_vectors": op8_vectors,
+        "op9_language": op9_language,
         "op10_pages": op10_pages,
     }
 
