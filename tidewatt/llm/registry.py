@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.llm import decontamination, language, minhash, packing, pages, private, quality, sharding, vectors
+from tidewatt.llm import decontamination, language, licenses, minhash, packing, pages, private, quality, sharding, vectors
 from tidewatt.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licence_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_kd_sharding": op6_kd_sharding,
+        "op7_licenses": op7_licenses,
         "op8_vectors": op8_vectors,
         "op9_language": op9_language,
         "op10_pages": op10_pages,
