@@ -20,19 +20,26 @@ def components(links: DataFrame) -> DataFrame:
         .filter("u IS NOT NULL AND v IS NOT NULL AND u > v").distinct(),
         "edges",
     )
-    state = None
-    while state != (state := edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()):
+    while not are_stars(edges):
         edges = saved(small_star(large_star(edges)), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node is a centre, or linked to one centre alone."""
+    up, down = F.lit(1).alias("up"), F.lit(0).alias("up")
+    ends = edges.select(F.col("u").alias("node"), up).unionByName(edges.select(F.col("v").alias("node"), down))
+    kinds = ends.groupBy("node").agg(F.sum("up").alias("n"), F.min("up").alias("least"))
+    return kinds.filter("n > 1 OR n = 1 AND least = 0").isEmpty()
+
+
 def large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     smallest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     moved = both.filter("v > u").join(smallest, "u")
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:

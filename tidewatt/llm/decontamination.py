@@ -68,11 +68,13 @@ def with_hits(documents: DataFrame, grams: DataFrame, max_broadcast: int = MAX_B
     read = words_of(F.coalesce(F.col("text"), F.lit("")))
     if len(known) > max_broadcast:
         return hits_by_join(documents, distinct, read)
-    # In lambdas the columns would be read by name; internal names cannot clash.
+    # The row is kept as one struct, so internal names cannot clash.  The words come out of a
+    # generator: a later filter on the hits is not pushed below it, where they would be made anew
+    # for every window.
     inner = documents.select(
-        F.struct(*[documents[c] for c in documents.columns]).alias("doc"), read.alias("w")
+        F.struct(*[documents[c] for c in documents.columns]).alias("doc"), F.explode(F.array(read)).alias("w")
     )
-    inner = inner.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    inner = inner.select("doc", "w", F.explode(F.array(F.transform("w", lambda w: F.xxhash64(w)))).alias("h"))
     found = F.array().cast(HITS)
     for length in sorted({row.len for row in known}):
         of = [row for row in known if row.len == length]

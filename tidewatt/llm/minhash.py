@@ -9,10 +9,12 @@ with similarity 0.8 miss each other in all bands with probability 3e-6.
 
 Documents with equal sets are one class, found by an aggregate.  Candidate pairs
 of classes are confirmed on their full sets.  Within a bucket not all pairs are
-formed: members are first compared with one pivot, linked classes become one
-component, and only members of different components are compared further, until
-every pair of a bucket is compared or lies within one component.  So components
-are those that all confirmed pairs would give.
+compared.  Members are first compared with the bucket's pivot, the member with
+most companions in all its buckets, and those left over with a second pivot.
+Two members linked to one pivot are in one component already.  Of the other pairs
+those remain whose sizes allow the similarity and whose distances to the pivots
+differ by no more than the threshold's (Jaccard distance is a metric); these are
+all compared.  So components are those that all pairs within buckets would give.
 
 Defined results: a null or empty text, or one of white space only, has an empty
 set, links with nothing and is kept.  A null id links with nothing and is kept.
@@ -35,8 +37,6 @@ from tidewatt.llm.components import components
 SIZE = 5
 PERCENT = 80
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
-PIVOT_ROUNDS = 6
-PAIRS_PER_MEMBER = 2
 SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>"
 
 
@@ -114,7 +114,7 @@ def signatures(documents: DataFrame, size: int = SIZE) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose full sets are similar enough."""
+    """``pairs`` (u, v) with the distance of their full sets, and whether it is small enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,13 +127,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 same = (values[1:] == values[:-1]) & (rows[1:] == rows[:-1])
                 shared = np.bincount(rows[1:][same], minlength=part.num_rows)
                 union = np.bincount(rows, minlength=part.num_rows) - shared
-                linked = pa.array((100 * shared >= percent * union) & (union > 0))
-                yield part.select([0, 1]).filter(linked)
+                linked = (100 * shared >= percent * union) & (union > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(1 - shared / np.maximum(union, 1)), pa.array(linked)],
+                    names=["u", "v", "d", "linked"])
 
     left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("left_text"))
     right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("right_text"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "left_text", "right_text")
-    return both.mapInArrow(run, "u bigint, v bigint")
+    return both.mapInArrow(run, "u bigint, v bigint, d double, linked boolean")
 
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -144,9 +146,7 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
         F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")
     )
     classes = saved(classes, "op5-classes")
-    spread = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = saved(spread.join(shared, "key"), "op5-members")
+    members = saved(bucket_members(classes), "op5-members")
     texts = saved(
         documents.select("doc_id", "text").join(
             members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
@@ -167,60 +167,64 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     )
 
 
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """key, rep, n (set size), degree (companions over all buckets) for buckets of two and more."""
+    spread = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    shared = spread.groupBy("key").agg((F.count("*") - 1).alias("others")).filter("others > 0")
+    together = spread.join(shared, "key")
+    degrees = together.groupBy("rep").agg(F.sum("others").alias("degree"))
+    return together.drop("others").join(degrees, "rep")
+
+
 def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links (u, v) that give the components all pairs within buckets would give."""
-    n_members = members.count()
-    spark = members.sparkSession
-    links = tested = None
-    labelled = members.withColumn("label", F.col("rep"))
-    for step in range(PIVOT_ROUNDS + 1):
-        open_pairs = cross_pairs(labelled) if step else None
-        if open_pairs == 0:
-            break
-        last = step == PIVOT_ROUNDS or (step > 0 and open_pairs <= PAIRS_PER_MEMBER * n_members)
-        pairs = (all_pairs if last else pivot_pairs)(labelled, step)
-        fits = f"100 * least(u_n, v_n) >= {percent} * greatest(u_n, v_n)"
-        pairs = pairs.filter(fits).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = saved(pairs, "op5-pairs")
-        found = saved(confirmed(pairs, texts, size, percent), "op5-links")
-        links = found if links is None else links.unionByName(found)
-        if last:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(links).select(F.col("node").alias("rep"), "label")
-        labelled = saved(
-            members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "op5-labelled"
-        )
-    return links if links is not None else spark.createDataFrame([], "u bigint, v bigint")
-
-
-def cross_pairs(labelled: DataFrame) -> int:
-    """Pairs of a bucket whose ends are not yet in one component."""
-    by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-    by_key = by_label.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    return by_key.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
-
-
-def pivot_pairs(labelled: DataFrame, step: int) -> DataFrame:
-    """Every member of a bucket with the bucket's pivot, another one in each round."""
-    rank = F.xxhash64(F.lit(step), "rep") if step else F.col("rep")
-    pivots = labelled.groupBy("key").agg(
-        F.min_by(F.struct("rep", "label", "n_shingles"), rank).alias("p"),
-        F.min("label").alias("low"), F.max("label").alias("high"),
-    ).filter("low != high")
-    return labelled.join(pivots, "key").filter("label != p.label").select(
-        F.col("rep").alias("u"), F.col("p.rep").alias("v"),
-        F.col("n_shingles").alias("u_n"), F.col("p.n_shingles").alias("v_n"),
+    reach = 1 - percent / 100 + 1e-9
+
+    def fits(a: str, b: str) -> str:
+        return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
+
+    def close(a: str, b: str) -> str:
+        return f"coalesce(abs({a} - {b}) <= {reach}, true)"
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        return saved(confirmed(pairs.distinct(), texts, size, percent), "op5-pairs")
+
+    def pivots(rows: DataFrame, name: str, *more: str) -> DataFrame:
+        best = F.max_by(F.struct("rep", "n", *more), F.struct("degree", -F.col("rep")))
+        return rows.groupBy("key").agg(best.alias(name))
+
+    first = members.join(pivots(members, "p"), "key").withColumn("pivot", F.col("p.rep"))
+    one = tested(first.filter("rep != pivot").filter(fits("n", "p.n")).select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
+    of_one = one.select(F.col("u").alias("rep"), F.col("v").alias("pivot"), F.col("d").alias("d1"), F.col("linked").alias("l1"))
+    known = saved(
+        first.select("key", "rep", "n", "degree", "pivot").join(of_one, ["rep", "pivot"], "left").withColumns({
+            "d1": F.when(F.col("rep") == F.col("pivot"), 0.0).otherwise(F.col("d1")),
+            "l1": F.when(F.col("rep") == F.col("pivot"), True).otherwise(F.coalesce("l1", F.lit(False))),
+        }),
+        "op5-known",
     )
-
-
-def all_pairs(labelled: DataFrame, step: int) -> DataFrame:
-    """The pairs of a bucket that lie in two components."""
-    left = labelled.select("key", F.col("label").alias("a"), F.col("rep").alias("u"), F.col("n_shingles").alias("u_n"))
-    right = labelled.select("key", F.col("label").alias("b"), F.col("rep").alias("v"), F.col("n_shingles").alias("v_n"))
-    return left.join(right, "key").filter("a < b").select("u", "v", "u_n", "v_n")
+    # A component's name is not needed yet, only that two with one label are linked to one pivot.
+    labels = known.filter("l1").groupBy("rep").agg(F.min("pivot").alias("label"))
+    open_keys = known.groupBy("key").agg(F.bool_and("l1").alias("all")).filter("NOT all").select("key")
+    rest = known.join(open_keys, "key").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    rest = saved(rest, "op5-rest")
+
+    second = rest.join(pivots(rest.filter("NOT l1"), "q", "label", "d1"), "key")
+    pairs = second.filter("label != q.label AND rep != q.rep").filter(fits("n", "q.n")).filter(close("d1", "q.d1"))
+    pairs = pairs.filter("pivot != rep AND pivot != q.rep")
+    two = tested(pairs.select(F.col("rep").alias("u"), F.col("q.rep").alias("v")))
+    of_two = two.select(F.col("u").alias("rep"), F.col("v").alias("other"), F.col("d").alias("d2"), F.col("linked").alias("l2"))
+    last = second.withColumn("other", F.col("q.rep")).drop("q").join(of_two, ["rep", "other"], "left").withColumns({
+        "d2": F.when(F.col("rep") == F.col("other"), 0.0).otherwise(F.col("d2")),
+        "l2": F.when(F.col("rep") == F.col("other"), True).otherwise(F.coalesce("l2", F.lit(False))),
+    }).filter("rep != pivot AND rep != other")
+    last = saved(last.select("key", "rep", "n", "label", "d1", "d2", "l2"), "op5-last")
+    left = last.select("key", *[F.col(c).alias(f"{c}_u") for c in last.columns[1:]])
+    right = last.select("key", *[F.col(c).alias(f"{c}_v") for c in last.columns[1:]])
+    pairs = left.join(right, "key").filter("rep_u < rep_v AND label_u != label_v AND NOT (l2_u AND l2_v)").filter(
+        fits("n_u", "n_v")).filter(close("d1_u", "d1_v")).filter(close("d2_u", "d2_v"))
+    three = tested(pairs.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
+    return one.unionByName(two).unionByName(three).filter("linked").select("u", "v")
 
 
 def deduplicated(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
