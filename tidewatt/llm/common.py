@@ -7,11 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidewatt
 from tidewatt.scratch import scratch_dir
 
+# Functions travel with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(tidewatt)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -25,7 +25,6 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -223,10 +222,17 @@ def same_text_pairs(root: Node, reference: tuple[Node, dict[int, str]]) -> list[
     return [(b.number, a) for a, b in pairs if texts[a.number] and texts[a.number] == others[b.number]]
 
 
-@lru_cache(maxsize=256)
+REFERENCES: dict[str, tuple[Node, dict[int, str]]] = {}
+
+
 def reference_tree(page: str) -> tuple[Node, dict[int, str]]:
-    root = parse(page)
-    return root, {n.number: own_text(n) for n in aligned_nodes(root)}
+    """The tree of a reference page; a task keeps up to 256 of them."""
+    if page not in REFERENCES:
+        if len(REFERENCES) >= 256:
+            REFERENCES.clear()
+        root = parse(page)
+        REFERENCES[page] = root, {n.number: own_text(n) for n in aligned_nodes(root)}
+    return REFERENCES[page]
 
 
 def blocks(node: Node, template: set[int], into: list[list[str]], whole: bool) -> None:
