@@ -80,3 +80,36 @@ def test_entity_filter_on_the_clean_dataset_prunes_folders(spark, tmp_path):
     plan = plan_of(df.monthly(readings, SHIPMENTS, ONE_STATUS))
     pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]
     assert "verdict" in pruned and "l_linestatus" in pruned
+
+
+@pytest.mark.parametrize("spec,source", [(SHIPMENTS, shipments), (EVENTS, events)])
+def test_rdd_face_hands_python_batches_and_not_rows(spark, monkeypatch, spec, source):
+    """Python sees each input row as part of an Arrow batch; RDD elements are states of groups."""
+    from tidewatt.plans import rdd
+
+    readings = source(spark, SF)
+    calls, rows, real = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), rdd._batch_states
+
+    def counted(batch, metrics):
+        calls.add(1)
+        rows.add(batch.num_rows)
+        return real(batch, metrics)
+
+    monkeypatch.setattr(rdd, "_batch_states", counted)
+    assert rdd._grouped(readings, spec, "year").count() > 0
+    assert rows.value == readings.count()
+    assert calls.value <= readings.rdd.getNumPartitions() + rows.value // 10_000
+
+
+def test_rdd_face_of_one_entity_reads_its_folder_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidewatt.ingest import ingest
+
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn("source", F.lit("x"))
+    data = ingest(rows, SHIPMENTS, str(tmp_path / "clean"), layout="as_read")
+    readings = as_readings(data.text_rows(spark, ONE_STATUS), SHIPMENTS)
+    files = readings.select("time").withColumn("file", F.input_file_name()).select("file").distinct().collect()
+    assert files and all(f"entity={ONE_STATUS}" in r.file for r in files)
+    plan = plan_of(readings)
+    assert "entity" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)[1]

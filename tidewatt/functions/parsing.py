@@ -19,6 +19,14 @@ def strict_time(text: Column) -> Column:
     return F.when(text.rlike(TIME_PATTERN), text.try_cast("timestamp_ntz"))
 
 
+def local_time(instant: Column, zone: str) -> Column:
+    """The wall clock of ``zone`` at an instant, as timestamp_ntz (PRJ-6); the session's zone plays no part."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
 def strict_double(text: Column) -> Column:
     """Decimal text as a double (FN-9, PRJ-6); ``nan``, ``inf`` and suffixes are not numbers."""
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))

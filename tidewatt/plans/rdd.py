@@ -1,111 +1,109 @@
 """RDD face of the queries (QRY-1c, QRY-2c, QRY-3c, AGG-5, UDF-1..5).
 
-Readings are tuples ((year, month, hour), entity, [metric, ...]).  Every group is
-reduced to a small running state inside each task before the shuffle and nothing
-is collected on the driver.  Rows pass through Python one at a time, so this face is for those
-who need the RDD interface; the others do the same work inside the JVM.
+The JVM reads, parses and types the readings.  Python sees them as Arrow batches
+and reduces each batch to one small state per group, with array operations; only
+these (key, state) pairs become RDD elements.  From there on the RDD interface does
+the work: states are merged by key inside each task and after the shuffle, ranked
+and turned into percentiles, and nothing is collected on the driver.
 """
 
 from __future__ import annotations
 
-import csv
 import heapq
 import math
-import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from datetime import datetime
-from functools import partial
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import RDD, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tidewatt
 from tidewatt.functions.exact import (
     EXTREME_PLACES,
+    billionths_by_group,
     half_up,
     interpolated,
     mean_of_billionths,
-    to_billionths,
 )
-from tidewatt.functions.parsing import NUMBER_PATTERN, TIME_PATTERN
 from tidewatt.operators.profiles import PROBABILITIES
 from tidewatt.operators.rankings import rankings
-from tidewatt.sources.readings import check_policy
+from tidewatt.sources.readings import for_entity, read_readings
 from tidewatt.spec import ReadingSpec
 
 # Functions travel to the executors with the tasks; nothing need be installed there.
 cloudpickle.register_pickle_by_value(tidewatt)
 
-# Fixed value: how the CSV writer quotes.
-QUOTING = {"quotechar": '"', "escapechar": "\\", "doublequote": False}
-
-_number = re.compile(NUMBER_PATTERN, re.ASCII)
-_time = re.compile(TIME_PATTERN, re.ASCII)
-_separator = re.compile("[- :]")
-
-
-# --- input -----------------------------------------------------------------
-
-
-def from_readings(readings: DataFrame, spec: ReadingSpec) -> RDD:
-    """Rows of a DataFrame; timestamps are taken apart before they reach Python."""
-    when = [F.year("time"), F.month("time"), F.hour("time")]
-    rows = readings.select(*when, spec.entity_name, *spec.metric_names).rdd
-    return rows.mapPartitions(_unpacked)
-
-
-def _unpacked(rows: Iterable) -> Iterator[tuple]:
-    for year, month, hour, entity, *values in rows:  # quicker than indexing a Row
-        yield (year, month, hour), entity, values
-
-
-def parse_line(line: str, metrics: int, policy: str) -> tuple | None:
-    """One CSV line by position; None if the policy refuses it (UDF-1, FN-5, FN-9)."""
-    fields = line.split(",") if '"' not in line else next(csv.reader([line], **QUOTING), [""])
-    if not _time.match(fields[0]):
-        return None
-    try:
-        time = datetime(*map(int, _separator.split(fields[0])))  # refuses February 30
-    except ValueError:
-        return None
-    values = [_value(text) for text in fields[2 : 2 + metrics]]
-    values += [None] * (metrics - len(values))
-    if policy == "strict_row" and None in values:
-        return None
-    entity = fields[1] if len(fields) > 1 else ""
-    return (time.year, time.month, time.hour), entity or None, values
-
-
-def _value(text: str) -> float | None:
-    number = float(text) if _number.match(text) else math.nan
-    return number if math.isfinite(number) else None
+# The whole number that stands for a period, in SQL.
+PERIODS = {"year": "year(time)", "month": "year(time) * 100 + month(time)", "hour": "hour(time)"}
+Readings = DataFrame | Sequence[DataFrame]
 
 
 def from_text(
     spark: SparkSession, paths: Sequence[str], spec: ReadingSpec, policy: str = "strict_row"
-) -> RDD:
-    """Readings from clean CSV files (SRC-2, SET-4); header lines have no valid time (FLT-3)."""
-    sc = spark.sparkContext
-    parse = partial(parse_line, metrics=len(spec.metrics), policy=check_policy(policy))
-    lines = sc.union([sc.textFile(path) for path in paths])
-    return lines.map(parse).filter(lambda reading: reading is not None)
+) -> DataFrame:
+    """Readings from clean CSV files (SRC-2), parsed by the same expressions as in the other faces."""
+    return read_readings(spark, list(paths), "csv", spec, policy)
 
 
 # --- running state of one group: [count, total, low, high] per metric --------
 
 
-def _add(state: list, values: Sequence[float | None]) -> list:
-    for measure, value in zip(state, values):
-        if value is not None:
-            measure[0] += 1
-            measure[1] += to_billionths(value)
-            if value < measure[2]:
-                measure[2] = value
-            if value > measure[3]:
-                measure[3] = value
-    return state
+def _batch_states(batch: pa.RecordBatch, metrics: Sequence[str]) -> Iterator[tuple]:
+    """((period, entity), state) of every group of a batch."""
+    entity = batch.column(1).dictionary_encode()
+    codes = entity.indices.fill_null(len(entity.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    names = [*entity.dictionary.to_pylist(), None]
+    period = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    groups, group = np.unique(period * len(names) + codes, return_inverse=True)
+    states = [[] for _ in groups]
+    for k, name in enumerate(metrics, start=2):
+        column = batch.column(k)
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        values = column.to_numpy(zero_copy_only=False)[there].astype(np.float64)
+        of = group[there]
+        count = np.bincount(of, minlength=len(groups)).tolist()
+        low, high = np.full(len(groups), math.inf), np.full(len(groups), -math.inf)
+        np.minimum.at(low, of, values)
+        np.maximum.at(high, of, values)
+        totals = billionths_by_group(values, of, len(groups), name)
+        for state, *measure in zip(states, count, totals, low.tolist(), high.tolist(), strict=True):
+            state.append(measure)
+    for code, state in zip(groups.tolist(), states, strict=True):
+        yield (code // len(names), names[code % len(names)]), state
+
+
+def _grouped(readings: Readings, spec: ReadingSpec, period: str) -> RDD:
+    """States by (period, entity), of one or several inputs (SET-4); tasks combine before the shuffle."""
+    parts = [readings] if isinstance(readings, DataFrame) else list(readings)
+    metrics = spec.metric_names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(_batch_states(batch, metrics))
+            if rows:
+                keys = [pa.array([key[0] for key, _ in rows], pa.int64()), pa.array([key[1] for key, _ in rows], pa.string())]
+                fields = [
+                    pa.array([[kind(measure[k]) for measure in state] for _, state in rows], pa.list_(of))
+                    for k, (kind, of) in enumerate(((int, pa.int64()), (str, pa.string()), (float, pa.float64()), (float, pa.float64())))
+                ]
+                yield pa.RecordBatch.from_arrays([*keys, *fields], names=["period", "entity", "n", "total", "low", "high"])
+
+    # Totals exceed 64 bits and so travel as text.
+    schema = "period bigint, entity string, n array<bigint>, total array<string>, low array<double>, high array<double>"
+
+    def pair(row) -> tuple:
+        period_, entity, *fields = row
+        return (period_, entity), [[n, int(total), low, high] for n, total, low, high in zip(*fields, strict=True)]
+
+    def states(part: DataFrame) -> RDD:
+        wanted = part.selectExpr(f"{PERIODS[period]} AS period", f"{spec.entity_group} AS entity", *metrics)
+        return wanted.mapInArrow(run, schema).rdd.map(pair)
+
+    found = [states(part) for part in parts]
+    pairs = found[0] if len(found) == 1 else found[0].context.union(found)
+    return pairs.reduceByKey(_merge)
 
 
 def _merge(state: list, other: list) -> list:
@@ -117,12 +115,6 @@ def _merge(state: list, other: list) -> list:
     return state
 
 
-def _grouped(readings: RDD, spec: ReadingSpec, key: Callable) -> RDD:
-    """Running states by ``key(when, entity)``; tasks combine before the shuffle."""
-    empty = [[0, 0, math.inf, -math.inf] for _ in spec.metrics]
-    return readings.map(lambda r: (key(r[0], r[1]), r[2])).aggregateByKey(empty, _add, _merge)
-
-
 def _stats(state: list) -> list[float | None]:
     out = []
     for count, total, low, high in state:
@@ -147,21 +139,20 @@ def _doubles(names: Sequence[str]) -> list[tuple[str, T.DataType]]:
 # --- queries ---------------------------------------------------------------
 
 
-def yearly(spark: SparkSession, readings: RDD, spec: ReadingSpec) -> DataFrame:
+def yearly(spark: SparkSession, readings: Readings, spec: ReadingSpec) -> DataFrame:
     """Q1: mean, min and max per year and entity (SRT-2)."""
-    rows = _grouped(readings, spec, lambda when, entity: (when[0], entity)).map(
-        lambda group: (*group[0], *_stats(group[1]))
-    )
+    rows = _grouped(readings, spec, "year").map(lambda group: (*group[0], *_stats(group[1])))
     measures = [f"{n}-{what}" for n in spec.metric_names for what in ("mean", "min", "max")]
     columns = [("year", T.IntegerType()), (spec.entity_name, T.StringType()), *_doubles(measures)]
     return _table(spark, rows, columns).orderBy(spec.entity_name, "year")
 
 
-def month_rows(readings: RDD, spec: ReadingSpec, entity: str) -> RDD:
-    """(month, mean, ...) of one entity (AGG-2, AGG-6)."""
-    own = readings.filter(lambda r: r[1] == entity)
-    return _grouped(own, spec, lambda when, _: when[:2]).map(
-        lambda group: ("{:04d}-{:02d}".format(*group[0]), *_means(group[1]))
+def month_rows(readings: Readings, spec: ReadingSpec, entity: str) -> RDD:
+    """(month, mean, ...) of one entity (AGG-2, AGG-6); the filter reaches the scan."""
+    parts = [readings] if isinstance(readings, DataFrame) else readings
+    own = [for_entity(part, spec, entity) for part in parts]
+    return _grouped(own, spec, "month").map(
+        lambda group: ("{:04d}-{:02d}".format(*divmod(group[0][0], 100)), *_means(group[1]))
     )
 
 
@@ -203,11 +194,9 @@ def monthly_top(spark: SparkSession, months: RDD, spec: ReadingSpec, k: int = 5)
     return _table(spark, rows, columns).orderBy("order_priority", "rank").drop("order_priority")
 
 
-def hour_rows(readings: RDD, spec: ReadingSpec) -> RDD:
+def hour_rows(readings: Readings, spec: ReadingSpec) -> RDD:
     """(hour, entity, mean, ...) (AGG-3, AGG-6)."""
-    return _grouped(readings, spec, lambda when, entity: (when[2], entity)).map(
-        lambda group: (*group[0], *_means(group[1]))
-    )
+    return _grouped(readings, spec, "hour").map(lambda group: (*group[0], *_means(group[1])))
 
 
 def hourly(spark: SparkSession, hours: RDD, spec: ReadingSpec) -> DataFrame:

@@ -33,9 +33,9 @@ def yearly(spark: SparkSession, readings: str, spec: ReadingSpec) -> DataFrame:
         for n in spec.metric_names
     )
     return spark.sql(f"""
-        SELECT {grain("year").key} AS year, {spec.entity_name}, {measures}
+        SELECT {grain("year").key} AS year, {spec.entity_group} AS {spec.entity_name}, {measures}
         FROM {readings}
-        GROUP BY {grain("year").key}, {spec.entity_name}
+        GROUP BY {grain("year").key}, {spec.entity_group}
         ORDER BY {spec.entity_name}, year
     """)
 
@@ -94,9 +94,9 @@ def monthly_top(spark: SparkSession, months: str, spec: ReadingSpec, k: int = 5)
 def hourly(spark: SparkSession, readings: str, spec: ReadingSpec) -> DataFrame:
     """Q3, profile: means per hour of day and entity, unsorted."""
     return spark.sql(f"""
-        SELECT {grain("hour_of_day").key} AS hour, {spec.entity_name}, {_means(spec)}
+        SELECT {grain("hour_of_day").key} AS hour, {spec.entity_group} AS {spec.entity_name}, {_means(spec)}
         FROM {readings}
-        GROUP BY {grain("hour_of_day").key}, {spec.entity_name}
+        GROUP BY {grain("hour_of_day").key}, {spec.entity_group}
     """)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.functions.parsing import finite, strict_double, strict_time
+from tidewatt.functions.parsing import finite, local_time, strict_double, strict_time
 from tidewatt.spec import ReadingSpec, quoted
 
 POLICIES = ("per_metric", "strict_row")
@@ -27,13 +27,16 @@ def typed(
     """``time``, entity and metrics of a source, bad fields as NULL, then the ``keep`` columns.
 
     PRJ-1, PRJ-2, PRJ-5, PRJ-6, FN-5, FN-9.  ``entity`` gives the entity of a
-    source that has no column for it.  Parsing and the check for finite numbers
-    are two projections so that no text is parsed twice.
+    source that has no column for it.  A time with a zone becomes the local time
+    of ``spec.zone``.  Parsing and the check for finite numbers are two projections
+    so that no text is parsed twice.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def parsed(name: str, from_text: Callable[[Column], Column], kind: str) -> Column:
         column = F.col(quoted(name))
+        if isinstance(types[name], T.TimestampType):
+            return local_time(column, spec.zone).cast(kind)
         return from_text(column) if isinstance(types[name], T.StringType) else column.try_cast(kind)
 
     time = parsed(spec.time_col, strict_time, "timestamp_ntz").alias("time")

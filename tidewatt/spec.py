@@ -39,12 +39,14 @@ class ReadingSpec:
 
     Inside the package a reading always has the columns ``time``
     (timestamp_ntz), ``entity_name`` (string) and one double per metric name.
+    ``zone`` is where the clock hangs that instants (times with a zone) are read from.
     """
 
     time_col: str
     entity_col: str
     metrics: tuple[Metric, ...]
     entity_name: str = "country"
+    zone: str = "UTC"
 
     def __post_init__(self):
         names = [m.name for m in self.metrics]
@@ -65,6 +67,14 @@ class ReadingSpec:
     def labels(self) -> list[str]:
         return [m.label for m in self.metrics]
 
+    @property
+    def entity_group(self) -> str:
+        """SQL by which rows are grouped: an empty entity is a missing one.
+
+        Only groups are formed by it; filters compare the plain column and so reach the scan.
+        """
+        return f"CASE WHEN {self.entity_name} <> '' THEN {self.entity_name} END"
+
     @property
     def source_columns(self) -> list[str]:
         """Input columns in file order: time, entity, metrics."""
