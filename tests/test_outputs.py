@@ -1,5 +1,9 @@
 """Results, records, series and the whole run on disk."""
 
+import os
+import subprocess
+import sys
+import time
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -7,11 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatt import ELECTRICITY
-from tidewatt.jobs import kept, run_pipeline, run_query
+from tidewatt.jobs import kept, run_pipeline, run_query, store_records
 from tidewatt.operators.series import single_series, split_series
 from tidewatt.scratch import scratch_dir
 from tidewatt.sinks.records import RecordLayout, flat_records, hash_records, upsert_records
-from tidewatt.sinks.results import new_run_id, write_result, write_single_csv
+from tidewatt.sinks.results import new_run_id, write_ordered_csv, write_result
 from tidewatt.sources.files import discover_sources, latest_result, read_result
 from tidewatt.sources.readings import as_readings
 
@@ -74,22 +78,30 @@ def test_latest_run_matches_the_whole_name(spark, tmp_path):
             latest_result(spark, base, query, "sql")
 
 
-def test_single_csv(spark, tmp_path):
-    table = spark.range(1000).repartition(4).orderBy("id")
-    write_single_csv(table, str(tmp_path / "one"))
-    files = list((tmp_path / "one").glob("part-*"))
+def test_an_unfinished_run_is_not_read(spark, tmp_path):
+    done = write_result(result(spark), str(tmp_path), "q1", "df", "20250101000000")
+    later = write_result(result(spark), str(tmp_path), "q1", "df", "20250102000000")
+    (Path(later) / "_SUCCESS").unlink()
+    assert latest_result(spark, str(tmp_path), "q1", "df") == done
+
+
+@pytest.mark.parametrize("rows", [1000, 100_000, 100_001])
+def test_ordered_csv(spark, tmp_path, rows):
+    write_ordered_csv(spark.range(rows).repartition(4).orderBy("id"), str(tmp_path / "one"))
+    files = sorted((tmp_path / "one").glob("part-*"))
+    assert [x for f in files for x in f.read_text().split()[1:]] == [str(k) for k in range(rows)]
     assert len(files) == 1
-    assert files[0].read_text().split() == ["id", *map(str, range(1000))]
 
 
-def test_long_results_stay_whole_in_several_files(spark, tmp_path):
+def test_ordered_csv_without_adaptive_execution(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        write_single_csv(spark.range(1000).orderBy("id"), str(tmp_path / "many"), 100)
+        write_ordered_csv(spark.range(1000).orderBy("id"), str(tmp_path / "many"))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(list((tmp_path / "many").glob("part-*"))) > 1
-    assert spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 1000
+    files = sorted((tmp_path / "many").glob("part-*"))
+    assert len(files) > 1
+    assert [x for f in files for x in f.read_text().split()[1:]] == [str(k) for k in range(1000)]
 
 
 LAYOUT = RecordLayout(("Q1", "{country}", "{year}"), {"carbon_mean": "carbon-mean", "y": "year"})
@@ -115,6 +127,29 @@ def test_upsert_replaces_given_fields_only(spark):
     ]
 
 
+def test_upsert_with_repeated_keys_gives_one_record_each(spark):
+    schema = "key string, value map<string,string>"
+    stored = spark.createDataFrame([("a", {"x": "1"}), ("a", {"x": "2"})], schema)
+    updates = spark.createDataFrame([("a", {"y": "3"}), ("a", {"y": "4"})], schema)
+    found = [tuple(r) for r in flat_records(upsert_records(stored, updates), ["x", "y"]).collect()]
+    assert found == [("a", "2", "4")]
+
+
+def test_records_that_come_late_are_kept(spark, tmp_path):
+    schema = "key string, value map<string,string>"
+    newer, older = (spark.createDataFrame([(k, {"x": k})], schema) for k in ("b", "a"))
+    store_records(spark, newer, str(tmp_path), "q1")
+    newest = store_records(spark, older, str(tmp_path), "q1")
+    assert newest == latest_result(spark, str(tmp_path), "q1", "records")
+    assert sorted(r.key for r in spark.read.parquet(newest).collect()) == ["a", "b"]
+
+
+def test_the_pivot_does_not_sort_what_it_reads(spark):
+    yearly = result(spark).orderBy("country", "year")
+    plan = split_series(yearly, ELECTRICITY, "year", "carbon-mean", LABELS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1  # of the series itself
+
+
 def test_series(spark):
     yearly = result(spark, [(2021, "IT", 1.5), (2021, "SE", 2.5), (2022, "IT", 3.5)])
     found = split_series(yearly, ELECTRICITY, "year", "carbon-mean", LABELS)
@@ -143,23 +178,36 @@ def test_discover_sources(spark, raw_files):
 def test_scratch_dir_is_under_the_shared_folder(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first.startswith(f"{base}/x-") and first != second and not Path(first).exists()
+    assert first.startswith(f"{base}/tidewatt-") and first != second and not Path(first).exists()
 
 
-def test_no_machine_local_scratch_on_a_cluster():
-    class Conf:
-        def get(self, *_):
-            return None
-
-    class Cluster:
-        conf = Conf()
-
-        class sparkContext:
-            master = "yarn"
-            getConf = Conf
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Cluster, "x")
+def test_scratch_goes_with_the_session_and_needs_no_setting(tmp_path):
+    """In a process of its own, without a checkpoint folder."""
+    code = f"""
+from pyspark.sql import SparkSession
+from tidewatt.scratch import scratch_dir
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", {str(tmp_path)!r}).getOrCreate())
+path = scratch_dir(spark, "x")
+spark.range(10).write.parquet(path)
+print("WROTE", path.removeprefix("file:"), spark.read.parquet(path).count())
+"""
+    root = Path(__file__).resolve().parents[1]
+    (tmp_path / "conf").mkdir()
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf")}
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=120)
+    _, path, count = next(line for line in run.stdout.splitlines() if line.startswith("WROTE")).split()
+    assert count == "10" and path.startswith(str(tmp_path))
+    for _ in range(50):  # the JVM ends a little after its driver
+        if not list(tmp_path.glob("tidewatt-*")):
+            break
+        time.sleep(0.2)
+    assert not list(tmp_path.glob("tidewatt-*"))
+
+
+def test_no_machine_local_scratch():
+    root = Path(__file__).resolve().parents[1] / "tidewatt"
+    assert not [p for p in root.rglob("*.py") if "tempfile" in p.read_text()]
 
 
 def uses_cache(frame):
@@ -175,17 +223,33 @@ def test_outputs_share_the_kept_table_and_it_is_released(spark, raw_files, face,
 
     def outputs():
         tables = run_query(spark, query, face, readings, ELECTRICITY, "IT", view="release")
-        return tables.shared, tables.outputs.values()
+        return tables, tables.outputs.values()
 
-    shared, frames = outputs()
-    with kept(spark, shared):
+    tables, frames = outputs()
+    with kept(spark, tables):
         assert all(uses_cache(frame) for frame in frames)
+    assert not any(spark.catalog.tableExists(view) for view in tables.views)
     assert not any(uses_cache(frame) for frame in outputs()[1])
-    with pytest.raises(RuntimeError), kept(spark, shared):
+    tables, _ = outputs()
+    with pytest.raises(RuntimeError), kept(spark, tables):
         raise RuntimeError
+    assert not any(spark.catalog.tableExists(view) for view in tables.views)
     assert not any(uses_cache(frame) for frame in outputs()[1])
 
 
+def test_two_sql_queries_do_not_share_views(spark, raw_files):
+    source = as_readings(spark.read.option("header", True).csv(str(raw_files)), ELECTRICITY)
+    one, two = (run_query(spark, "q2", "sql", source, ELECTRICITY, entity) for entity in ("IT", "SE"))
+    assert not set(one.views) & set(two.views)
+
+
+def test_what_is_asked_for_is_checked_before_anything_is_read(spark, tmp_path):
+    for query, extra, message in (("q1", {"run_id": "today"}, "run id"), ("q2", {}, "entity")):
+        with pytest.raises(ValueError, match=message):
+            run_pipeline(spark, query, "df", "/nowhere", ELECTRICITY, str(tmp_path), LABELS, **extra)
+    assert not list(tmp_path.iterdir())
+
+
 def test_readings_without_an_entity_stay(spark, tmp_path):
     (tmp_path / "raw.csv").write_text(f"{HEADER}\n2021-01-01 00:00:00,,1.0,2.0\n")
     for query, kind in (("q1", "result"), ("q3", "stats")):

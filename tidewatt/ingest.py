@@ -65,6 +65,19 @@ def source_inventory(
     )
 
 
+def missing_sources(
+    inventory: DataFrame, spec: ReadingSpec, entities: Sequence[str], years: Sequence[int]
+) -> DataFrame:
+    """Expected yearly sources of which no row came (ING-7): every entity in every year is expected."""
+    one = inventory.sparkSession.range(1)
+    expected = one.select(
+        F.explode(F.array(*map(F.lit, entities)).cast("array<string>")).alias(spec.entity_name),
+        F.array(*map(F.lit, years)).cast("array<int>").alias("years"),
+    ).select(spec.entity_name, F.explode("years").alias("year"))
+    missing = expected.join(inventory.filter("rows > 0"), [spec.entity_name, "year"], "left_anti")
+    return missing.orderBy(spec.entity_name, "year")
+
+
 def reject_reason(spec: ReadingSpec, policy: str) -> Column:
     """Name of the first field that makes the policy refuse a row, NULL if none."""
     checks = [F.when(F.col("time").isNull(), "time")]
@@ -90,15 +103,15 @@ def judged(raw: DataFrame, spec: ReadingSpec, policy: str = "per_metric") -> Dat
     )
 
 
+LAYOUTS = ("compacted", "as_read")
+
+
 def compacted(df: DataFrame, *columns: str) -> DataFrame:
-    """Few, evenly sized files per value of ``columns`` (ING-3, ING-4).
+    """Few, evenly sized files per value of ``columns`` (ING-3, ING-4), by one shuffle.
 
-    Adaptive execution cuts a value that holds much of the data into several
-    tasks and packs small ones together.  Without it a hot value would land in
-    one task, so the rows are then left where they are.
+    Adaptive execution, Spark's default, cuts a value that holds much of the data
+    into several tasks and packs small ones together.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
-        return df
     return df.hint("rebalance", *columns)
 
 
@@ -121,6 +134,15 @@ class Dataset:
         """Accepted rows; a filter on the entity reads that entity's folder only."""
         return self._read(spark, "clean").select(*self.spec.source_columns)
 
+    def text_rows(self, spark: SparkSession, entity: str | None = None) -> DataFrame:
+        """The CSV copy as text columns; with ``entity``, that entity's folder only."""
+        names = [*self.spec.source_columns, "entity"]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        rows = spark.read.schema(schema).option("header", True).csv(self.text)
+        if entity is not None:
+            rows = rows.filter(F.col("entity") == entity)
+        return rows.select(*self.spec.source_columns)
+
     def rejects(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "rejected").select("raw", "reason")
 
@@ -132,18 +154,26 @@ class Dataset:
         return spark.read.schema(schema).parquet(self.table).filter(F.col("verdict") == verdict)
 
 
-def ingest(raw: DataFrame, spec: ReadingSpec, path: str, policy: str = "per_metric") -> Dataset:
+def ingest(
+    raw: DataFrame, spec: ReadingSpec, path: str, policy: str = "per_metric", layout: str = "compacted"
+) -> Dataset:
     """Write the clean dataset as Parquet and CSV (ING-2..6, SNK-3).
 
     Entities become folders, so there should be few of them (countries, not meters).
+    ``layout`` "compacted" shuffles once for few, even files; "as_read" writes where
+    rows are read, without a shuffle: right for large raw files of one entity each.
     The raw text is parsed once: accepted and refused rows go to one Parquet
     table, split by verdict and entity.  The CSV copy is made from that table,
     file by file and without another shuffle.  Nothing of the input's size is
     cached, and losing an executor only repeats its tasks.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}, use one of {LAYOUTS}")
     spark = raw.sparkSession
     data = Dataset(path.rstrip("/"), spec)
-    rows = compacted(judged(raw, spec, policy), "verdict", spec.entity_col)
+    rows = judged(raw, spec, policy)
+    if layout == "compacted":
+        rows = compacted(rows, "verdict", spec.entity_col)
     rows.write.partitionBy("verdict", spec.entity_col).parquet(data.table)
     (
         data.clean(spark)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import RDD, StorageLevel
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatt.ingest import Dataset, ingest, ingest_report, read_raw
@@ -17,14 +18,15 @@ from tidewatt.plans import FACES, QUERIES, df, rdd, sql
 from tidewatt.sinks.records import (
     RecordLayout,
     hash_records,
+    one_per_key,
     percentile_layout,
     ranking_layout,
     upsert_records,
     yearly_layout,
 )
-from tidewatt.sinks.results import new_run_id, write_result, write_single_csv
+from tidewatt.sinks.results import check_run_id, new_run_id, write_ordered_csv, write_result
 from tidewatt.sources.files import latest_result, read_result
-from tidewatt.sources.readings import as_readings, for_entity, register_readings
+from tidewatt.sources.readings import as_readings, register_readings
 from tidewatt.spec import ReadingSpec
 
 
@@ -32,11 +34,13 @@ from tidewatt.spec import ReadingSpec
 REQUIRED = {"result": "year", "all": "date", "top": "rank", "hourly": "hour", "stats": "data"}
 
 
-def check_choice(query: str, face: str) -> None:
+def check_choice(query: str, face: str, entity: str | None) -> None:
     if query not in QUERIES:
         raise ValueError(f"unknown query {query!r}, use one of {QUERIES}")
     if face not in FACES:
         raise ValueError(f"unknown face {face!r}, use one of {tuple(FACES)}")
+    if query == "q2" and entity is None:
+        raise ValueError("q2 ranks the months of one entity; give its name")
 
 
 @dataclass(frozen=True)
@@ -44,39 +48,36 @@ class Tables:
     """What a query yields, not yet computed.
 
     ``shared`` is the aggregate that several outputs start from: a DataFrame, or
-    the name of a view in the SQL face.
+    the name of a view in the SQL face, whose ``views`` go when the outputs are done.
     """
 
     outputs: dict[str, DataFrame]
     shared: DataFrame | str | None = None
+    views: tuple[str, ...] = ()
 
 
 def run_query(
     spark: SparkSession,
     query: str,
     face: str,
-    readings: DataFrame | RDD,
+    readings: DataFrame | Sequence[DataFrame],
     spec: ReadingSpec,
     entity: str | None = None,
     k: int = 5,
-    view: str = "tidewatt",
+    view: str | None = None,
 ) -> Tables:
     """The output tables of a query (JOB-2).
 
     ``q1`` yields ``result``; ``q2`` (which needs ``entity``) ``all`` and ``top``;
-    ``q3`` ``hourly`` and ``stats``.  The RDD face also takes readings as an RDD.
-    The SQL face registers views whose names start with ``view``.
+    ``q3`` ``hourly`` and ``stats``.  The RDD face also takes several inputs.
+    The SQL face registers views whose names start with ``view``, or with a name of
+    their own, so that no later call replaces them.
     """
-    check_choice(query, face)
-    if query == "q2" and entity is None:
-        raise ValueError("q2 ranks the months of one entity; give its name")
+    check_choice(query, face, entity)
     if face == "rdd":
-        if query == "q2" and isinstance(readings, DataFrame):
-            readings = for_entity(readings, spec, entity)
-        rows = rdd.from_readings(readings, spec) if isinstance(readings, DataFrame) else readings
-        return _run_rdd(spark, query, rows, spec, entity, k)
+        return _run_rdd(spark, query, readings, spec, entity, k)
     if face == "sql":
-        return _run_sql(spark, query, readings, spec, entity, k, view)
+        return _run_sql(spark, query, readings, spec, entity, k, view or f"tidewatt_{uuid.uuid4().hex}")
     return _run_df(query, readings, spec, entity, k)
 
 
@@ -95,14 +96,14 @@ def _run_df(query, readings, spec, entity, k) -> Tables:
 def _run_sql(spark, query, readings, spec, entity, k, view) -> Tables:
     table = register_readings(readings, f"{view}_readings")
     if query == "q1":
-        return Tables({"result": sql.yearly(spark, table, spec)})
+        return Tables({"result": sql.yearly(spark, table, spec)}, None, (table,))
     if query == "q2":
         months = register_readings(sql.monthly(spark, table, spec, entity), f"{view}_monthly")
         top = sql.monthly_top(spark, months, spec, k)
-        return Tables({"all": sql.sorted_rows(spark, months, ["date"]), "top": top}, months)
+        return Tables({"all": sql.sorted_rows(spark, months, ["date"]), "top": top}, months, (table, months))
     hours = register_readings(sql.hourly(spark, table, spec), f"{view}_hourly")
     profile = sql.sorted_rows(spark, hours, [spec.entity_name, "hour"])
-    return Tables({"hourly": profile, "stats": sql.hourly_stats(spark, hours, spec)}, hours)
+    return Tables({"hourly": profile, "stats": sql.hourly_stats(spark, hours, spec)}, hours, (table, hours))
 
 
 def _run_rdd(spark, query, readings, spec, entity, k) -> Tables:
@@ -118,28 +119,28 @@ def _run_rdd(spark, query, readings, spec, entity, k) -> Tables:
 
 
 @contextmanager
-def kept(spark: SparkSession, shared: DataFrame | str | None):
-    """Keep the aggregate that both of a query's outputs need, then let it go (PER-1, PER-2).
+def kept(spark: SparkSession, tables: Tables):
+    """Keep the aggregate that both of a query's outputs need, then let it and the views go (PER-1, PER-2).
 
     It has one row per month, or per hour and entity, so a second copy costs
     nothing and spares a new scan when an executor is lost.  A view is cached by
     name.  The RDD face needs nothing: its second job finds the shuffled groups of
     the first.
     """
-    if shared is None:
-        yield
-    elif isinstance(shared, str):
+    shared = tables.shared
+    if isinstance(shared, str):
         spark.catalog.cacheTable(shared, StorageLevel.MEMORY_AND_DISK_2)
-        try:
-            yield
-        finally:
-            spark.catalog.uncacheTable(shared)
-    else:
+    elif shared is not None:
         shared.persist(StorageLevel.MEMORY_AND_DISK_2)
-        try:
-            yield
-        finally:
+    try:
+        yield
+    finally:
+        if isinstance(shared, str):
+            spark.catalog.uncacheTable(shared)
+        elif shared is not None:
             shared.unpersist()
+        for view in tables.views:
+            spark.catalog.dropTempView(view)
 
 
 def record_layout(query: str, spec: ReadingSpec, entity: str | None) -> tuple[str, RecordLayout]:
@@ -170,14 +171,20 @@ def chart_series(
     }
 
 
-def store_records(spark: SparkSession, records: DataFrame, base: str, query: str, run_id: str) -> str:
-    """Apply records to the newest stored version and write the outcome as a new one."""
+def store_records(spark: SparkSession, records: DataFrame, base: str, query: str) -> str:
+    """Apply records to the newest stored version and write the outcome as the next one.
+
+    Versions are numbered in the order they are written, so records of an earlier
+    period that come late are added like any others.
+    """
+    version = 1
     try:
-        stored = spark.read.parquet(latest_result(spark, base, query, "records"))
-        records = upsert_records(stored, records)
+        newest = latest_result(spark, base, query, "records")
+        version += int(newest.rsplit("_", 1)[1])
+        records = upsert_records(spark.read.parquet(newest), records)
     except FileNotFoundError:
-        pass
-    path = f"{base}/{query}_records_{run_id}"
+        records = one_per_key(records)
+    path = f"{base}/{query}_records_{version:014d}"
     records.write.parquet(path)
     return path
 
@@ -198,20 +205,19 @@ def run_pipeline(
     """Ingest raw files, run a query and write every output (JOB-1).
 
     Returns the path of each output: the clean dataset and its report, the result
-    folders, single CSV files, records and chart series.
+    folders, ordered CSV copies, records and chart series.  What was asked for is
+    checked before anything is read.
     """
-    check_choice(query, face)
-    run_id = run_id or new_run_id()
+    check_choice(query, face, entity)
+    run_id = check_run_id(run_id or new_run_id())
     out = out.rstrip("/")
     data = ingest(read_raw(spark, sources, spec, columns), spec, f"{out}/data/{run_id}", policy)
     paths = {"data": data.path}
     paths["report"] = f"{out}/report/{run_id}"
     ingest_report(spark, data).write.option("header", True).csv(paths["report"])
-    view = f"tidewatt_{run_id}"
-    tables = run_query(
-        spark, query, face, _input(spark, face, data, policy), spec, entity, view=view
-    )
-    with kept(spark, tables.shared):
+    only = entity if query == "q2" else None
+    tables = run_query(spark, query, face, _input(spark, face, data, policy, only), spec, entity)
+    with kept(spark, tables):
         for kind, table in tables.outputs.items():
             name = None if kind == "result" else kind
             paths[kind] = write_result(table, f"{out}/output", query, face, run_id, name)
@@ -224,17 +230,16 @@ def run_pipeline(
         group = [] if kind == "all" else [ranking_order(spec) if kind == "top" else spec.entity_name]
         order = [*group, REQUIRED[kind]]
         path = f"{out}/csv/{run_id}/{name}"
-        paths[f"csv_{kind}"] = write_single_csv(result.orderBy(*order), path)
+        paths[f"csv_{kind}"] = write_ordered_csv(result.orderBy(*order), path)
     kind, layout = record_layout(query, spec, entity)
     records = hash_records(results[kind], layout)
-    paths["records"] = store_records(spark, records, f"{out}/records", query, run_id)
+    paths["records"] = store_records(spark, records, f"{out}/records", query)
     for name, series in chart_series(query, results, spec, labels).items():
-        paths[f"series_{name}"] = write_single_csv(series, f"{out}/series/{run_id}/{query}_{name}")
+        paths[f"series_{name}"] = write_ordered_csv(series, f"{out}/series/{run_id}/{query}_{name}")
     return paths
 
 
-def _input(spark: SparkSession, face: str, data: Dataset, policy: str) -> DataFrame | RDD:
-    """The RDD face starts from the CSV copy, the others from Parquet."""
-    if face == "rdd":
-        return rdd.from_text(spark, [f"{data.text}/*"], data.spec, policy)
-    return as_readings(data.clean(spark), data.spec, policy)
+def _input(spark: SparkSession, face: str, data: Dataset, policy: str, entity: str | None) -> DataFrame:
+    """The RDD face starts from the CSV copy, of one entity's folder if only that is asked for."""
+    source = data.text_rows(spark, entity) if face == "rdd" else data.clean(spark)
+    return as_readings(source, data.spec, policy)

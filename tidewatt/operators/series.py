@@ -28,13 +28,14 @@ def split_series(
     """One column per entity in ``labels``, named by its label (SER-1, SER-2, SER-5, SER-6).
 
     The entities to draw are given, so the pivot needs no extra job to find them.
+    A cell has one row, so ``max`` takes it, and the order of ``result`` need not be kept.
     """
     points = result.select(
         time_axis(unit).alias("time"),
         F.col(spec.entity_name).alias("split"),
         F.col(quoted(value)).alias("value"),
     )
-    wide = points.groupBy("time").pivot("split", list(labels)).agg(F.first("value"))
+    wide = points.groupBy("time").pivot("split", list(labels)).agg(F.max("value"))
     renamed = [F.col(quoted(entity)).alias(label) for entity, label in labels.items()]
     return wide.select("time", *renamed).orderBy("time")
 

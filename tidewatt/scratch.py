@@ -1,25 +1,26 @@
-"""Where intermediate tables go: always the folder the cluster shares."""
+"""Where intermediate tables go: always a folder the cluster shares."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing folder under ``spark.checkpoint.dir``.
+    """A new, not yet existing folder in the session's scratch folder.
 
-    Only a local-mode session may leave that setting out; it then gets a
-    temporary folder.  On a cluster a machine-local folder would be seen by one
-    machine only, so a missing setting is an error there.
+    That folder lies under ``spark.checkpoint.dir`` or, where it is unset, in the
+    warehouse, which a cluster shares as well.  It goes when the driver's process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tidewatt-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    session = f"{base.rstrip('/')}/tidewatt-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(session)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{session}/{label}-{uuid.uuid4().hex}"

@@ -61,13 +61,18 @@ def hash_records(result: DataFrame, layout: RecordLayout) -> DataFrame:
     return result.select(F.concat_ws(":", *parts).alias("key"), F.create_map(*pairs).alias("value"))
 
 
+def one_per_key(records: DataFrame) -> DataFrame:
+    """One record for each key.  Of several, that with the last text stays, whatever their order."""
+    return records.groupBy("key").agg(F.max_by("value", F.to_json("value")).alias("value"))
+
+
 def upsert_records(stored: DataFrame, updates: DataFrame) -> DataFrame:
     """``stored`` with ``updates`` applied (SNK-5).
 
     A new key is added; for a known key the given fields are replaced and the
-    others stay.  Both sides hold each key once, so no key can be skewed.
+    others stay.  Each side is brought to one record per key first.
     """
-    old, new = stored.alias("old"), updates.alias("new")
+    old, new = one_per_key(stored).alias("old"), one_per_key(updates).alias("new")
     merged = F.map_zip_with("old.value", "new.value", lambda _, before, now: F.coalesce(now, before))
     return old.join(new, "key", "full_outer").select(
         "key", F.coalesce(merged, F.col("new.value"), F.col("old.value")).alias("value")

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
 from tidewatt.operators.timing import run_times, timing_summary
 from tidewatt.sources.files import result_name
 
-# Fixed value: longest result that is brought together in one file.
-SINGLE_FILE_ROWS = 100_000
-
 
 def new_run_id() -> str:
-    return datetime.now().strftime("%Y%m%d%H%M%S")
+    """The time in UTC, so that ids never step back."""
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
+
+
+def check_run_id(run_id: str) -> str:
+    if not re.fullmatch(r"\d{14}", run_id):
+        raise ValueError(f"run id must be yyyyMMddHHmmss: {run_id!r}")
+    return run_id
 
 
 def write_result(
@@ -26,22 +30,17 @@ def write_result(
     The result keeps the order it was sorted in from one part file to the next.
     An existing folder is never overwritten.
     """
-    if not re.fullmatch(r"\d{14}", run_id):
-        raise ValueError(f"run id must be yyyyMMddHHmmss: {run_id!r}")
-    path = f"{base.rstrip('/')}/{result_name(query, face, kind)}_{run_id}"
+    path = f"{base.rstrip('/')}/{result_name(query, face, kind)}_{check_run_id(run_id)}"
     result.write.option("header", True).csv(path)
     return path
 
 
-def write_single_csv(result: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> str:
-    """Write a sorted result as one CSV file with one header line (SNK-4).
+def write_ordered_csv(result: DataFrame, path: str) -> str:
+    """Write a sorted result as CSV part files in its order, each with a header line (SNK-4).
 
-    Results have a few dozen rows.  One that is longer than ``single_file_rows``
-    is written whole all the same, as sorted part files, so no single task has to
-    carry it.  ``result`` should be a stored result: its rows are counted first.
+    The files follow the ranges of the sort.  Adaptive execution joins small ranges,
+    so a result of a few dozen rows is one file, whatever its sort was dealt over.
     """
-    if result.limit(single_file_rows + 1).count() <= single_file_rows:
-        result = result.coalesce(1)
     result.write.option("header", True).csv(path)
     return path
 

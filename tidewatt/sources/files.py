@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,23 +52,20 @@ def result_name(query: str, face: str, kind: str | None = None) -> str:
 def latest_result(
     spark: SparkSession, base: str, query: str, face: str, kind: str | None = None
 ) -> str:
-    """Folder of the newest run of a query (SRC-6, AGG-7).
+    """Folder of the newest finished run of a query (SRC-6, AGG-7).
 
     The whole folder name must match, so ``q2_df_all`` is never taken for
-    ``q2_df``.  Only file names are listed and one value reaches the driver.
+    ``q2_df``, and the folder must hold the mark of a finished write.  Only run
+    folders are listed, never their files.
     """
     prefix = result_name(query, face, kind)
-    run = F.regexp_extract("path", rf"/({prefix}_\d{{14}})/[^/]+$", 1)
-    try:
-        files = list_files(spark, f"{base.rstrip('/')}/{prefix}_*")
-        newest = files.select(run.alias("run")).filter("run <> ''").agg(F.max("run")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        newest = None
-    if newest is None:
-        raise FileNotFoundError(f"no run of {prefix} under {base}")
-    return f"{base.rstrip('/')}/{newest}"
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{prefix}_*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    names = [mark.getPath().getParent().getName() for mark in found]
+    runs = [name for name in names if re.fullmatch(rf"{re.escape(prefix)}_\d{{14}}", name)]
+    if not runs:
+        raise FileNotFoundError(f"no finished run of {prefix} under {base}")
+    return f"{base.rstrip('/')}/{max(runs)}"
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
