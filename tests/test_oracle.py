@@ -6,9 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidewatt.workloads import oracle
+from tidewatt.workloads import queries as workload
 
 SF = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = workload.queries(), oracle.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewatt.workloads.tables import (
     BAD_TIME,
     EMPTY_VALUE,
+    EXPECTED_YEARS,
     KIND_LABELS,
     LONG_LINE,
     NAN_VALUE,
@@ -185,6 +186,24 @@ YEAR_TIME = "concat(year, '-01-01')"
 HOUR_TIME = "concat(lpad(CAST(hour AS VARCHAR), 2, '0'), ':00:00')"
 
 
+# Whole prices and a quarter: the sum is taken in whole numbers, the quarter added after the division.
+WIDE = f"""
+    SELECT year, status, CAST(whole // n AS DOUBLE) + round((whole % n) / n + 0.25, 6) AS "price-mean",
+        low + 0.25 AS "price-min", high + 0.25 AS "price-max", "discount-mean", "discount-min", "discount-max"
+    FROM (
+        SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus AS status, count(*) AS n,
+            sum(CAST(round_even(l_extendedprice * 1e9, 0) AS HUGEINT)) AS whole,
+            min(round_even(l_extendedprice * 1e9, 0)) AS low, max(round_even(l_extendedprice * 1e9, 0)) AS high,
+            {mean('l_discount')} AS "discount-mean", round(min(l_discount), 2) AS "discount-min",
+            round(max(l_discount), 2) AS "discount-max"
+        FROM lineitem GROUP BY year(l_shipdate), l_linestatus)"""
+ZONED = f"SELECT ts + INTERVAL 2 HOUR AS ts, event_type, value, k FROM ({EVENT_READINGS})"
+MISSING = f"""
+    SELECT status, CAST(year AS INTEGER) AS year
+    FROM (SELECT unnest({list(STATUS_LABELS)}) AS status), (SELECT unnest({EXPECTED_YEARS}) AS year)
+    WHERE (status, year) NOT IN (SELECT (l_linestatus, year(l_shipdate)) FROM lineitem)"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {}
     for face in ("df", "sql", "rdd"):
@@ -244,6 +263,17 @@ def oracle_sql() -> dict[str, str]:
         "full_run_sql": percentile_records(STRICT),
         "full_run_rdd": percentile_records(STRICT),
     }
+    for face in ("df", "sql", "rdd"):
+        found[f"full_run_q1_{face}"] = yearly() if face == "df" else yearly_records()
+        found[f"full_run_q2_{face}"] = RANKING_RECORDS if face == "rdd" else top(MONTHLY, 5)
+        found[f"wide_means_{face}"] = WIDE
+    found |= {
+        "q1_two_inputs_rdd": yearly(),
+        "q3_hourly_zoned": hourly(ZONED),
+        "records_backfill": yearly_records(),
+        "ingest_missing_sources": MISSING,
+        "timing_report_roundtrip": f"SELECT *, runs AS listed FROM ({found['timing_summary']})",
+    }
     found["source_inventory"] = found["row_counts"]
     found["source_files"] = """
         SELECT DISTINCT l_linestatus AS entity, CAST(year(l_shipdate) AS INTEGER) AS year

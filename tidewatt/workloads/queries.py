@@ -3,35 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.ingest import ingest, ingest_report, read_raw, source_inventory
-from tidewatt.jobs import REQUIRED, Tables, chart_series, record_layout, run_pipeline, run_query
+from tidewatt.ingest import ingest, ingest_report, missing_sources, read_raw, source_inventory
+from tidewatt.jobs import (
+    REQUIRED,
+    Tables,
+    chart_series,
+    record_layout,
+    run_pipeline,
+    run_query,
+    store_records,
+)
 from tidewatt.operators.rankings import ranked_extremes
 from tidewatt.operators.stats import period_means, row_counts
 from tidewatt.operators.timing import run_times, timing_summary
 from tidewatt.plans import df, rdd, sql
 from tidewatt.scratch import scratch_dir
 from tidewatt.sinks.records import flat_records, hash_records, upsert_records
-from tidewatt.sinks.results import write_result, write_single_csv
+from tidewatt.sinks.results import write_ordered_csv, write_result, write_timing_report
 from tidewatt.sources.files import discover_sources, latest_result, list_files, read_result
 from tidewatt.sources.readings import as_readings, read_readings, register_readings, union_readings
 from tidewatt.spec import ReadingSpec
 from tidewatt.workloads.tables import (
     EVENTS,
+    EXPECTED_YEARS,
     KIND_LABELS,
     ONE_STATUS,
     RAW_COLUMNS,
     SHIPMENTS,
     STATUS_LABELS,
     events,
+    raw_folder,
     shipments,
     table,
     write_raw_events,
     write_raw_shipments,
+    zoned_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +58,7 @@ def inputs(query: str) -> tuple[Callable[[SparkSession, str], DataFrame], Readin
 
 def tables(spark: SparkSession, sf_dir: str, query: str, face: str = "df") -> Tables:
     source, spec = inputs(query)
-    view = f"workload_{query}"
-    return run_query(spark, query, face, source(spark, sf_dir), spec, ONE_STATUS, view=view)
+    return run_query(spark, query, face, source(spark, sf_dir), spec, ONE_STATUS)
 
 
 def answer(spark: SparkSession, sf_dir: str, query: str, face: str, kind: str) -> DataFrame:
@@ -60,7 +71,7 @@ def answer(spark: SparkSession, sf_dir: str, query: str, face: str, kind: str) -
 def q1_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources with different column orders."""
     both = shipments(spark, sf_dir)
-    is_open = F.col(SHIPMENTS.entity_name) == ONE_STATUS
+    is_open = F.col(SHIPMENTS.entity_name).eqNullSafe(ONE_STATUS)
     rest = both.filter(~is_open).select("discount", "price", SHIPMENTS.entity_name, "time")
     return df.yearly(union_readings([both.filter(is_open), rest]), SHIPMENTS)
 
@@ -68,7 +79,7 @@ def q1_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q3_union_all_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two per-entity views, united in SQL."""
     both = events(spark, sf_dir)
-    is_click = F.col(EVENTS.entity_name) == "click"
+    is_click = F.col(EVENTS.entity_name).eqNullSafe("click")
     views = [
         register_readings(both.filter(is_click), "workload_clicks"),
         register_readings(both.filter(~is_click), "workload_others"),
@@ -78,6 +89,28 @@ def q3_union_all_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql.sorted_rows(spark, hours, [EVENTS.entity_name, "hour"])
 
 
+def q1_two_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs of the RDD face, united as states of their groups."""
+    both = shipments(spark, sf_dir)
+    is_open = F.col(SHIPMENTS.entity_name).eqNullSafe(ONE_STATUS)
+    return rdd.yearly(spark, [both.filter(is_open), both.filter(~is_open)], SHIPMENTS)
+
+
+def wide_means(spark: SparkSession, sf_dir: str, face: str) -> DataFrame:
+    """Prices of 10^10 to 10^14 with their cents, where doubles keep few decimals."""
+    lines = table(spark, sf_dir, "lineitem")
+    wide = lines.withColumn("l_extendedprice", F.rint(F.col("l_extendedprice") * 1e9) + 0.25)
+    return run_query(spark, "q1", face, as_readings(wide, SHIPMENTS), SHIPMENTS).outputs["result"]
+
+
+def q3_hourly_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written with instants and read by a clock two hours ahead of UTC."""
+    path = scratch_dir(spark, "zoned")
+    zoned_events(spark, sf_dir).write.parquet(path)
+    spec = replace(EVENTS, zone="+02:00")
+    return run_query(spark, "q3", "df", read_readings(spark, path, "parquet", spec), spec).outputs["hourly"]
+
+
 def q1_literal_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source without an entity column, named by a literal."""
     source = table(spark, sf_dir, "lineitem").drop("l_linestatus")
@@ -97,7 +130,7 @@ def yearly_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingested_events(spark: SparkSession, sf_dir: str, policy: str):
-    raw = read_raw(spark, write_raw_events(spark, sf_dir), EVENTS, RAW_COLUMNS)
+    raw = read_raw(spark, raw_folder(spark, sf_dir, write_raw_events), EVENTS, RAW_COLUMNS)
     return ingest(raw, EVENTS, scratch_dir(spark, "events"), policy)
 
 
@@ -138,14 +171,19 @@ def text_rdd_answer(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 def sources_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per yearly source file."""
     raw = read_raw(
-        spark, write_raw_shipments(spark, sf_dir), SHIPMENTS, {"l_linestatus": "not in the files"}
+        spark, raw_folder(spark, sf_dir, write_raw_shipments), SHIPMENTS, {"l_linestatus": "not in the files"}
     )
     return source_inventory(raw, SHIPMENTS)
 
 
+def sources_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected yearly sources that did not come."""
+    return missing_sources(sources_read(spark, sf_dir), SHIPMENTS, list(STATUS_LABELS), EXPECTED_YEARS)
+
+
 def sources_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity and year of the source files, without opening them."""
-    found = discover_sources(spark, write_raw_shipments(spark, sf_dir))
+    found = discover_sources(spark, raw_folder(spark, sf_dir, write_raw_shipments))
     return found.select("entity", "year").distinct().orderBy("entity", "year")
 
 
@@ -188,9 +226,9 @@ def newest_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A written result brought into one CSV file, read back with the number of files."""
+    """A written result copied in order, read back with the number of files."""
     months = written(spark, sf_dir, "q2", "all").orderBy("date")
-    path = write_single_csv(months, scratch_dir(spark, "single"))
+    path = write_ordered_csv(months, scratch_dir(spark, "single"))
     rows = spark.read.schema(months.schema).option("header", True).csv(path)
     files = F.lit(list_files(spark, path).count())
     return rows.withColumn("files", files).orderBy("date")
@@ -223,6 +261,15 @@ def records_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_records(upsert_records(stored, newer.withColumn("value", means)), fields)
 
 
+def records_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the later years stored first, those of the earlier years after them."""
+    records, fields = records_of(spark, sf_dir, "q1")
+    base = scratch_dir(spark, "records")
+    late = F.substring_index("key", ":", -1).cast("int") >= 1998
+    store_records(spark, records.filter(late), base, "q1")
+    return flat_records(spark.read.parquet(store_records(spark, records.filter(~late), base, "q1")), fields)
+
+
 # --- chart series, timing, whole run -----------------------------------------
 
 
@@ -243,18 +290,30 @@ def measured_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def full_run(spark: SparkSession, sf_dir: str, face: str, output: str) -> DataFrame:
-    """Q3 from raw event files to every output; one output is read back."""
+def timing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written summary of run times with the number of times in the written list."""
+    base = scratch_dir(spark, "timing")
+    summary, times = write_timing_report(measured_runs(spark, sf_dir), base, FIRST_RUN)
+    schema = timing_summary(measured_runs(spark, sf_dir)).schema
+    listed = spark.read.option("header", True).csv(times).groupBy("query", "api").agg(F.count("*").alias("listed"))
+    return read_result(spark, summary, schema, ["query"]).join(listed, ["query", "api"]).orderBy("query", "api")
+
+
+def full_run(spark: SparkSession, sf_dir: str, query: str, face: str, output: str) -> DataFrame:
+    """A query from raw files to every output; one output is read back."""
+    spec = inputs(query)[1]
+    write = write_raw_events if query == "q3" else write_raw_shipments
+    names = RAW_COLUMNS if query == "q3" else {"l_linestatus": "not in the files"}
+    labels = KIND_LABELS if query == "q3" else STATUS_LABELS
     paths = run_pipeline(
-        spark, "q3", face, write_raw_events(spark, sf_dir), EVENTS,
-        scratch_dir(spark, "full"), KIND_LABELS,
-        columns=RAW_COLUMNS, policy="strict_row", run_id=FIRST_RUN,
+        spark, query, face, raw_folder(spark, sf_dir, write), spec, scratch_dir(spark, "full"), labels,
+        entity=ONE_STATUS, columns=names, policy="strict_row", run_id=FIRST_RUN,
     )
     if output == "records":
-        kind, layout = record_layout("q3", EVENTS, None)
+        kind, layout = record_layout(query, spec, ONE_STATUS)
         return flat_records(spark.read.parquet(paths["records"]), list(layout.fields))
-    schema = df.hourly(events(spark, sf_dir), EVENTS).schema
-    return spark.read.schema(schema).option("header", True).csv(paths["csv_hourly"])
+    schema = tables(spark, sf_dir, query).outputs[output].schema
+    return spark.read.schema(schema).option("header", True).csv(paths[f"csv_{output}"])
 
 
 def queries() -> dict[str, Query]:
@@ -298,8 +357,17 @@ def queries() -> dict[str, Query]:
         "series_hourly_b": partial(series, query="q3", metric="k"),
         "timing_summary": lambda spark, sf_dir: timing_summary(measured_runs(spark, sf_dir)),
         "run_times": lambda spark, sf_dir: run_times(measured_runs(spark, sf_dir)),
-        "full_run_df": partial(full_run, face="df", output="hourly"),
-        "full_run_sql": partial(full_run, face="sql", output="records"),
-        "full_run_rdd": partial(full_run, face="rdd", output="records"),
+        "timing_report_roundtrip": timing_report,
+        "full_run_df": partial(full_run, query="q3", face="df", output="hourly"),
+        "full_run_sql": partial(full_run, query="q3", face="sql", output="records"),
+        "full_run_rdd": partial(full_run, query="q3", face="rdd", output="records"),
+        "q1_two_inputs_rdd": q1_two_inputs,
+        "q3_hourly_zoned": q3_hourly_zoned,
+        "records_backfill": records_backfilled,
+        "ingest_missing_sources": sources_missing,
     }
+    for face, yearly, ranked in zip(faces, ("result", "records", "records"), ("top", "top", "records"), strict=True):
+        found[f"full_run_q1_{face}"] = partial(full_run, query="q1", face=face, output=yearly)
+        found[f"full_run_q2_{face}"] = partial(full_run, query="q2", face=face, output=ranked)
+        found[f"wide_means_{face}"] = partial(wide_means, face=face)
     return found

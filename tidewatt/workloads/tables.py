@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatt.ingest import compacted
 from tidewatt.scratch import scratch_dir
 from tidewatt.sources.readings import as_readings
 from tidewatt.spec import Metric, ReadingSpec
@@ -27,7 +30,11 @@ EVENTS = ReadingSpec(
 # Entity of the one-entity queries, and the entities drawn in charts.
 ONE_STATUS = "O"
 STATUS_LABELS = {"F": "Finished", "O": "Open"}
-KIND_LABELS = {"click": "Clicks", "view": "Views"}
+KIND_LABELS = {
+    "click": "Clicks", "error": "Errors", "purchase": "Purchases", "signup": "Signups", "view": "Views",
+}
+# The years line items are expected for, one more than there are.
+EXPECTED_YEARS = list(range(1995, 2003))
 
 # How raw event lines are spoiled, by what they hold: SQL both engines read the same
 # way.  All events are written; refusing some of them is what ingest is there for.
@@ -57,6 +64,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(event_rows(spark, sf_dir), EVENTS)
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def raw_folder(spark: SparkSession, sf_dir: str, write: Callable[[SparkSession, str], str]) -> str:
+    """Raw files written once per session and folder of test tables, as if they had come from outside."""
+    key = (spark.sparkContext.applicationId, sf_dir, write.__name__)
+    if key not in _written:
+        _written[key] = write(spark, sf_dir)
+    return _written[key]
+
+
+def zoned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose time is an instant: their own time is taken as UTC."""
+    parts = [F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.minute("ts"), F.second("ts")]
+    return event_rows(spark, sf_dir).withColumn("ts", F.make_timestamp_ltz(*parts, F.lit("UTC")))
+
+
 def write_raw_events(spark: SparkSession, sf_dir: str) -> str:
     """All events as raw yearly CSV files per event type, some lines spoiled.
 
@@ -75,9 +99,9 @@ def write_raw_events(spark: SparkSession, sf_dir: str) -> str:
     )
     source = F.concat("event_type", F.lit("_"), F.year("ts"), F.lit("_hourly"))
     path = scratch_dir(spark, "raw-events")
+    rows = event_rows(spark, sf_dir).select(source.alias("source"), line.alias("Time,Value,K number"))
     (
-        event_rows(spark, sf_dir)
-        .select(source.alias("source"), line.alias("Time,Value,K number"))
+        compacted(rows, "source")
         .write.partitionBy("source")
         .option("header", True)
         .option("sep", "\t")
@@ -93,9 +117,11 @@ def write_raw_shipments(spark: SparkSession, sf_dir: str) -> str:
     """All line items as raw yearly CSV files per line status."""
     source = F.concat("l_linestatus", F.lit("_"), F.year("l_shipdate"), F.lit("_hourly"))
     path = scratch_dir(spark, "raw-shipments")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_shipdate", "l_extendedprice", "l_discount", source.alias("source")
+    )
     (
-        table(spark, sf_dir, "lineitem")
-        .select("l_shipdate", "l_extendedprice", "l_discount", source.alias("source"))
+        compacted(rows, "source")
         .write.partitionBy("source")
         .option("header", True)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
