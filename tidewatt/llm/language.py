@@ -135,8 +135,8 @@ def fit(examples: DataFrame, words: Vocabulary) -> gru.Weights:
     one = examples.select("doc_id", "text").repartition(1)
     ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text"))
     rows = ordered.mapInArrow(run, "name string, value binary").collect()
-    shapes = gru.initial(SYMBOLS)
-    return {r.name: np.frombuffer(r.value, np.float32).reshape(shapes[r.name].shape) for r in rows}
+    start = gru.initial(SYMBOLS)  # stays as it is where there is nothing to learn from
+    return start | {r.name: np.frombuffer(r.value, np.float32).reshape(start[r.name].shape) for r in rows}
 
 
 def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> DataFrame:

@@ -127,7 +127,8 @@ def fit(examples: DataFrame) -> np.ndarray:
 
     one = examples.select("doc_id", "text", "label").repartition(1)
     ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return np.frombuffer(ordered.mapInArrow(run, "weights binary").first()[0])
+    learned = ordered.mapInArrow(run, "weights binary").first()
+    return np.frombuffer(learned[0]) if learned else np.zeros(BUCKETS + 1)  # nothing to learn from
 
 
 def scored(documents: DataFrame, weights: np.ndarray, score: str = "score") -> DataFrame:
