@@ -34,6 +34,7 @@ FREQUENT = 1 << 15
 SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
 TRAIN_DOCS = 3000
+LEAST_STEPS = 600  # few documents are gone over again until there have been so many steps
 RUN_BYTES = 1 << 20
 COUNT_RUN = 1 << 23
 END = np.uint64(0xE0D)
@@ -125,10 +126,15 @@ def fit(examples: DataFrame, words: Vocabulary) -> gru.Weights:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = gru.Trainer(SYMBOLS)
+        runs = []
         for batch in batches:
             for part in chunks(batch, "text", RUN_BYTES):
                 hashes, tail, starts = tokens(part.column(1))
-                trainer.learn(shared.value.look_up(hashes, tail)[0], starts)
+                runs.append((shared.value.look_up(hashes, tail)[0].astype(np.int32), starts))
+                trainer.learn(*runs[-1])
+        while runs and trainer.step < LEAST_STEPS:
+            for one in runs:
+                trainer.learn(*one)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names), pa.array([trainer.w[k].tobytes() for k in names])], names=["name", "value"])
 
