@@ -8,13 +8,14 @@ so ``PERMUTATIONS`` hash evaluations per shingle give twice as many entries.
 with similarity 0.8 miss each other in all bands with probability 3e-6.
 
 Documents with equal sets are one class, found by an aggregate.  Candidate pairs
-of classes are confirmed on their full sets.  Within a bucket not all pairs are
-compared.  Members are first compared with the bucket's pivot, the member with
-most companions in all its buckets, and those left over with a second pivot.
-Two members linked to one pivot are in one component already.  Of the other pairs
-those remain whose sizes allow the similarity and whose distances to the pivots
-differ by no more than the threshold's (Jaccard distance is a metric); these are
-all compared.  So components are those that all pairs within buckets would give.
+of classes are confirmed on their full sets.  Every member of a bucket is compared
+with the bucket's pivot, the member with most companions in all its buckets; two
+members linked to one pivot are in one component already.  A comparison leaves
+what a set lacks and has beside the pivot's, and from the differences of two
+members the similarity of their full sets follows.  That is tested where the
+members of a bucket meet, for pairs whose sizes and distances to the pivot allow
+a link at all (Jaccard distance is a metric), and only links leave the join.  So
+components are those that all pairs within buckets would give.
 
 Defined results: a null or empty text, or one of white space only, has an empty
 set, links with nothing and is kept.  A null id links with nothing and is kept.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,29 +115,54 @@ def signatures(documents: DataFrame, size: int = SIZE) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, SIGNATURE)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``pairs`` (u, v) with the distance of their full sets, and whether it is small enough."""
+def packed_texts(documents: DataFrame) -> DataFrame:
+    """doc_id and the compressed text, which is what gets shuffled; no text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor().compress
         for batch in batches:
-            for part in chunks(batch, "left_text", 1 << 19):
-                one, one_row = distinct_shingles(part.column(2), size)
-                two, two_row = distinct_shingles(part.column(3), size)
-                values, rows = np.concatenate([one, two]), np.concatenate([one_row, two_row])
-                order = np.lexsort((values, rows))
-                values, rows = values[order], rows[order]
-                same = (values[1:] == values[:-1]) & (rows[1:] == rows[:-1])
-                shared = np.bincount(rows[1:][same], minlength=part.num_rows)
-                union = np.bincount(rows, minlength=part.num_rows) - shared
-                linked = (100 * shared >= percent * union) & (union > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(1 - shared / np.maximum(union, 1)), pa.array(linked)],
-                    names=["u", "v", "d", "linked"])
-
-    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("left_text"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("right_text"))
+            packed = [None if t is None else pack(t.encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
+
+
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``pairs`` (u, v) with the distance d of their full sets, whether they are linked,
+    and the shingles of v that u lacks (gone) and those it has beside v's (more)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                yield compare(batch.slice(start, 64), unpack)
+
+    def compare(part: pa.RecordBatch, unpack) -> pa.RecordBatch:
+        sides = [pa.array([unpack(x).decode() for x in part.column(k).to_pylist()], pa.string()) for k in (2, 3)]
+        (one, one_row), (two, two_row) = (distinct_shingles(side, size) for side in sides)
+        values, rows = np.concatenate([one, two]), np.concatenate([one_row, two_row])
+        from_v = np.repeat([False, True], [len(one), len(two)])
+        order = np.lexsort((values, rows))
+        values, rows, from_v = values[order], rows[order], from_v[order]
+        same = (values[1:] == values[:-1]) & (rows[1:] == rows[:-1])
+        alone = ~(np.append(same, False) | np.append(False, same))
+        shared = np.bincount(rows[1:][same], minlength=part.num_rows)
+        union = np.bincount(rows, minlength=part.num_rows) - shared
+        linked = (100 * shared >= percent * union) & (union > 0)
+
+        def lists(chosen: np.ndarray) -> pa.Array:
+            ends = np.append(0, np.cumsum(np.bincount(rows[chosen], minlength=part.num_rows))).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), signed(values[chosen]))
+
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(1), pa.array(1 - shared / np.maximum(union, 1)), pa.array(linked),
+             lists(alone & from_v), lists(alone & ~from_v)],
+            names=["u", "v", "d", "linked", "gone", "more"])
+
+    left = texts.select(F.col("doc_id").alias("u"), F.col("packed").alias("left_text"))
+    right = texts.select(F.col("doc_id").alias("v"), F.col("packed").alias("right_text"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "left_text", "right_text")
-    return both.mapInArrow(run, "u bigint, v bigint, d double, linked boolean")
+    return both.mapInArrow(run, "u bigint, v bigint, d double, linked boolean, gone array<bigint>, more array<bigint>")
 
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -148,7 +175,7 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     classes = saved(classes, "op5-classes")
     members = saved(bucket_members(classes), "op5-members")
     texts = saved(
-        documents.select("doc_id", "text").join(
+        packed_texts(documents).join(
             members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
         ),
         "op5-texts",
@@ -183,48 +210,29 @@ def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     def fits(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
-    def close(a: str, b: str) -> str:
-        return f"coalesce(abs({a} - {b}) <= {reach}, true)"
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        return saved(confirmed(pairs.distinct(), texts, size, percent), "op5-pairs")
-
-    def pivots(rows: DataFrame, name: str, *more: str) -> DataFrame:
-        best = F.max_by(F.struct("rep", "n", *more), F.struct("degree", -F.col("rep")))
-        return rows.groupBy("key").agg(best.alias(name))
-
-    first = members.join(pivots(members, "p"), "key").withColumn("pivot", F.col("p.rep"))
-    one = tested(first.filter("rep != pivot").filter(fits("n", "p.n")).select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
-    of_one = one.select(F.col("u").alias("rep"), F.col("v").alias("pivot"), F.col("d").alias("d1"), F.col("linked").alias("l1"))
-    known = saved(
-        first.select("key", "rep", "n", "degree", "pivot").join(of_one, ["rep", "pivot"], "left").withColumns({
-            "d1": F.when(F.col("rep") == F.col("pivot"), 0.0).otherwise(F.col("d1")),
-            "l1": F.when(F.col("rep") == F.col("pivot"), True).otherwise(F.coalesce("l1", F.lit(False))),
-        }),
-        "op5-known",
+    best = F.max_by(F.struct("rep", "n"), F.struct("degree", -F.col("rep")))
+    pivots = members.groupBy("key").agg(best.alias("p")).select("key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("p_n"))
+    first = saved(members.join(pivots, "key").drop("degree").filter("rep != pivot"), "op5-first")
+    pairs = first.select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
+    one = saved(compared(pairs, texts, size, percent), "op5-compared")
+
+    result = one.select(F.col("u").alias("rep"), F.col("v").alias("pivot"), "d", "linked")
+    known = first.join(result, ["rep", "pivot"])
+    # Two with one label are linked to one pivot; a label is not the component's name yet.
+    labels = one.filter("linked").groupBy(F.col("u").alias("rep")).agg(F.min("v").alias("label"))
+    open_keys = known.groupBy("key").agg(F.bool_and("linked").alias("all"), F.count("*").alias("m")).filter("NOT all AND m > 1")
+    rest = known.join(open_keys.select("key"), "key").join(labels, "rep", "left")
+    sets = one.select(F.col("u").alias("rep"), F.col("v").alias("pivot"), "gone", "more")
+    rest = saved(rest.withColumn("label", F.coalesce("label", "rep")).join(sets, ["rep", "pivot"]), "op5-rest")
+    columns = ["rep", "n", "p_n", "label", "d", "gone", "more"]
+    left = rest.select("key", *[F.col(c).alias(f"{c}_u") for c in columns])
+    right = rest.select("key", *[F.col(c).alias(f"{c}_v") for c in columns])
+    shared = "p_n_u - size(array_union(gone_u, gone_v)) + size(array_intersect(more_u, more_v))"
+    two = left.join(right, "key").filter("rep_u < rep_v AND label_u != label_v").filter(fits("n_u", "n_v")).filter(
+        f"abs(d_u - d_v) <= {reach}").filter(f"{100 + percent} * ({shared}) >= {percent} * (n_u + n_v)")
+    return one.filter("linked").select("u", "v").unionByName(
+        two.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v"))
     )
-    # A component's name is not needed yet, only that two with one label are linked to one pivot.
-    labels = known.filter("l1").groupBy("rep").agg(F.min("pivot").alias("label"))
-    open_keys = known.groupBy("key").agg(F.bool_and("l1").alias("all")).filter("NOT all").select("key")
-    rest = known.join(open_keys, "key").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    rest = saved(rest, "op5-rest")
-
-    second = rest.join(pivots(rest.filter("NOT l1"), "q", "label", "d1"), "key")
-    pairs = second.filter("label != q.label AND rep != q.rep").filter(fits("n", "q.n")).filter(close("d1", "q.d1"))
-    pairs = pairs.filter("pivot != rep AND pivot != q.rep")
-    two = tested(pairs.select(F.col("rep").alias("u"), F.col("q.rep").alias("v")))
-    of_two = two.select(F.col("u").alias("rep"), F.col("v").alias("other"), F.col("d").alias("d2"), F.col("linked").alias("l2"))
-    last = second.withColumn("other", F.col("q.rep")).drop("q").join(of_two, ["rep", "other"], "left").withColumns({
-        "d2": F.when(F.col("rep") == F.col("other"), 0.0).otherwise(F.col("d2")),
-        "l2": F.when(F.col("rep") == F.col("other"), True).otherwise(F.coalesce("l2", F.lit(False))),
-    }).filter("rep != pivot AND rep != other")
-    last = saved(last.select("key", "rep", "n", "label", "d1", "d2", "l2"), "op5-last")
-    left = last.select("key", *[F.col(c).alias(f"{c}_u") for c in last.columns[1:]])
-    right = last.select("key", *[F.col(c).alias(f"{c}_v") for c in last.columns[1:]])
-    pairs = left.join(right, "key").filter("rep_u < rep_v AND label_u != label_v AND NOT (l2_u AND l2_v)").filter(
-        fits("n_u", "n_v")).filter(close("d1_u", "d1_v")).filter(close("d2_u", "d2_v"))
-    three = tested(pairs.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v")))
-    return one.unionByName(two).unionByName(three).filter("linked").select("u", "v")
 
 
 def deduplicated(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
