@@ -7,7 +7,6 @@ from tidewatt.workloads.tables import (
     EMPTY_VALUE,
     EXPECTED_YEARS,
     KIND_LABELS,
-    LONG_LINE,
     NAN_VALUE,
     ONE_STATUS,
     SHORT_LINE,
