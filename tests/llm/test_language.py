@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from tests.llm.helpers import SF, UP, awkward, by_id, documents, empty, remainder
+from tests.llm.helpers import SF, UP, awkward, documents, empty, remainder
 
 from tidewatt.llm import gru
 from tidewatt.llm import language as op

@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +39,10 @@ CENTRES = 256
 BUCKET = 16
 ROWS_AT_ONCE = 512
 SLACK = 1e-4  # single precision prunes; it may only keep too much
-TREE = "block int, dim int, size int, centre array<double>, radius double, ids binary, sizes binary, points binary, nodes binary, cover binary"
+TREE = (
+    "block int, dim int, size int, centre array<double>, radius double, "
+    "ids binary, sizes binary, points binary, nodes binary, cover binary"
+)
 
 
 def unit_vectors(rows: pd.Series) -> np.ndarray:
