@@ -32,6 +32,17 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def id_set(ids: DataFrame, limit: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """A saved table of ids, to be broadcast if it has ``limit`` rows at most, else to be joined by a shuffle.
+
+    Documents meet it in a semi or anti join; below the limit their texts stay where they are.
+    """
+    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+
+
 def ascii_lower(text):
     """A-Z in lower case; every other character as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -42,11 +53,6 @@ def remainder(doc_id, divisor: int):
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % divisor
 
 
-def with_shape(shape: DataFrame, rows: DataFrame) -> DataFrame:
-    """``rows`` with exactly the columns of ``shape``, in that order."""
-    return rows.select(*shape.columns)
-
-
 # --- words of an Arrow column, hashed without a Python loop over words -------
 
 CHUNK_BYTES = 1 << 20

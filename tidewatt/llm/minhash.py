@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import chunks, hashed_words, mix, saved, shingles
+from tidewatt.llm.common import chunks, hashed_words, id_set, mix, saved, shingles
 from tidewatt.llm.components import components
 
 SIZE = 5
@@ -174,11 +174,9 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
     )
     classes = saved(classes, "op5-classes")
     members = saved(bucket_members(classes), "op5-members")
+    candidates = saved(members.select(F.col("rep").alias("doc_id")).distinct(), "op5-candidates")
     texts = saved(
-        packed_texts(documents).join(
-            members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
-        ),
-        "op5-texts",
+        packed_texts(documents.select("doc_id", "text").join(id_set(candidates), "doc_id", "left_semi")), "op5-texts"
     )
     links = links_of(members, texts, size, percent)
     labels = components(links).select(F.col("node").alias("rep"), "label")
@@ -238,4 +236,5 @@ def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 def deduplicated(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Documents without those whose component has a smaller id; of equal rows of one id, all stay."""
     removed = near_duplicates(documents, size, percent).filter("NOT kept").select("doc_id").distinct()
+    removed = id_set(saved(removed, "op5-removed"))
     return documents.join(removed, "doc_id", "left_anti").select(*documents.columns)
