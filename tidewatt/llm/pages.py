@@ -65,10 +65,11 @@ NO_CONTENT = RAW | {
     "dialog", "menu", "template", "audio", "video", "map", "math",
 }
 NO_CONTENT_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "consent", "cookie", "cookies", "discussion", "footer", "menu", "masthead", "modal", "nav", "navbar",
-    "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promotion", "related", "replies", "share",
-    "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar",
+    "ad", "ads", "advert", "advertisement", "advertising", "adverts", "banner", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "discussion", "footer",
+    "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup",
+    "promo", "promotion", "related", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
+    "subscribe", "toolbar",
 }
 
 
