@@ -48,7 +48,11 @@ def metadata(documents: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) ->
 
 def per_node(rows: DataFrame, values: list[tuple], schema: str) -> DataFrame:
     """The rows with the values of their node; there are at most as many nodes as shards."""
-    of_nodes = rows.sparkSession.createDataFrame(values, f"node int, {schema}")
+    names = ["node", *(x.split()[0] for x in schema.split(", "))]
+    kinds = ["int", *(x.split()[1] for x in schema.split(", "))]
+    lines = ", ".join("(" + ", ".join(map(str, line)) + ")" for line in values)
+    of_nodes = rows.sparkSession.sql(f"SELECT * FROM VALUES {lines} AS of_nodes ({', '.join(names)})")
+    of_nodes = of_nodes.select(*[F.col(n).cast(k) for n, k in zip(names, kinds, strict=True)])
     return rows.join(F.broadcast(of_nodes), "node")
 
 
