@@ -12,7 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN, CLASSES = 32, 32
-WINDOW, LANES = 32, 64
+WINDOW, LANES = 32, 64  # in training
+SCORE_WINDOW, SCORE_LANES = 64, 256  # fewer, larger array operations
 RATE = 0.006
 Weights = dict[str, np.ndarray]
 
@@ -51,24 +52,32 @@ def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
 
 
 class Tape:
-    """Targets of all lanes, one row a step; lanes that are over drop out at the right."""
+    """All lanes one after the other; at a step the first ``width[step]`` lanes still have a symbol.
+
+    Takes memory for the symbols alone, however long a sequence is beside the others.
+    """
 
     def __init__(self, symbols: np.ndarray, starts: np.ndarray, count: int) -> None:
         lengths = np.diff(starts)
         dealt = lanes(lengths, count)
-        sizes = np.array([int(lengths[x].sum()) for x in dealt])
+        sizes = np.array([int(lengths[x].sum()) for x in dealt], np.int64)
+        order = np.concatenate([np.array(x, np.int64) for x in dealt]) if dealt else np.zeros(0, np.int64)
+        ends = np.cumsum(lengths[order])
+        begins = ends - lengths[order]
+        shift = np.repeat(starts[:-1][order] - begins, lengths[order])
+        self.place = np.arange(len(shift)) + shift  # of each symbol in ``symbols``
+        self.target = symbols[self.place]
+        self.source = np.append(0, self.target[:-1])[: len(self.target)]
+        self.source[begins] = 0
+        self.first = np.zeros(len(self.target), bool)
+        self.first[begins] = True
+        self.lane = np.cumsum(sizes) - sizes
         self.steps = int(sizes.max(initial=0))
-        self.at = np.zeros((self.steps, len(dealt)), np.int64)  # place of the target in ``symbols``
-        self.first = np.zeros((self.steps, len(dealt)), bool)
-        for k, mine in enumerate(dealt):
-            self.at[: sizes[k], k] = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in mine])
-            self.first[np.cumsum(np.append(0, lengths[mine][:-1])), k] = True
-        self.width = (sizes[None] > np.arange(self.steps)[:, None]).sum(1)
-        self.symbols = symbols
-        self.target = symbols[self.at] if self.steps else self.at
-        self.source = np.zeros_like(self.target)
-        self.source[1:] = self.target[:-1]
-        self.source[self.first] = 0
+        self.width = len(sizes) - np.searchsorted(sizes[::-1], np.arange(self.steps), side="right")
+
+    def at(self, step: int) -> np.ndarray:
+        """Where the symbols of a step are on the tape."""
+        return self.lane[: self.width[step]] + step
 
 
 def advance(w: Weights, h: np.ndarray, source: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -105,20 +114,43 @@ def outputs(w: Weights, states: np.ndarray, target: np.ndarray):
     return score, classes, of, place, parts
 
 
-def likelihoods(w: Weights, symbols: np.ndarray, starts: np.ndarray, count: int = 128) -> np.ndarray:
+def chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of each row at one place; ``x`` is used up."""
+    x -= x.max(1, keepdims=True)
+    picked = x[np.arange(len(at)), at]
+    np.exp(x, out=x)
+    return picked - np.log(x.sum(1))
+
+
+def target_scores(w: Weights, states: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log-likelihood of each target, as in ``outputs`` but without what the way back needs."""
+    members = w["member"].shape[2]
+    of, place = target // members, target % members
+    score = chosen(states @ w["class"] + w["class_b"], of)
+    order = np.argsort(of.astype(np.int16), kind="stable")
+    states, place = states[order], place[order]
+    inside = np.empty(len(target), score.dtype)
+    edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
+    for c, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+        if start < end:
+            inside[start:end] = chosen(states[start:end] @ w["member"][c] + w["member_b"][c], place[start:end])
+    score[order] += inside
+    return score
+
+
+def likelihoods(w: Weights, symbols: np.ndarray, starts: np.ndarray, count: int = SCORE_LANES) -> np.ndarray:
     """Natural log-likelihood of each whole sequence."""
     tape = Tape(symbols, starts, count)
     score = np.zeros(len(symbols), np.float64)
-    h = np.zeros((tape.at.shape[1], HIDDEN), np.float32)
-    for begin in range(0, tape.steps, WINDOW):
-        states, places = [], []
-        for t in range(begin, min(begin + WINDOW, tape.steps)):
-            n = tape.width[t]
-            h = advance(w, h[:n], tape.source[t, :n], tape.first[t, :n])[0]
+    h = np.zeros((len(tape.lane), HIDDEN), np.float32)
+    for begin in range(0, tape.steps, SCORE_WINDOW):
+        steps = [tape.at(t) for t in range(begin, min(begin + SCORE_WINDOW, tape.steps))]
+        states = []
+        for at in steps:
+            h = advance(w, h[: len(at)], tape.source[at], tape.first[at])[0]
             states.append(h)
-            places.append(tape.at[t, :n])
-        where = np.concatenate(places)
-        score[where] = outputs(w, np.concatenate(states), symbols[where])[0]
+        where = np.concatenate(steps)
+        score[tape.place[where]] = target_scores(w, np.concatenate(states), tape.target[where])
     return np.add.reduceat(score, starts[:-1]) if len(starts) > 1 else np.zeros(0)
 
 
@@ -133,18 +165,18 @@ class Trainer:
 
     def learn(self, symbols: np.ndarray, starts: np.ndarray) -> None:
         tape = Tape(symbols, starts, LANES)
-        h = np.zeros((tape.at.shape[1], HIDDEN), np.float32)
+        h = np.zeros((len(tape.lane), HIDDEN), np.float32)
         for begin in range(0, tape.steps, WINDOW):
             h = self.window(tape, h, range(begin, min(begin + WINDOW, tape.steps)))
 
     def window(self, tape: Tape, h: np.ndarray, steps: range) -> np.ndarray:
         w, kept = self.w, []
         for t in steps:
-            n = tape.width[t]
-            h, *rest = advance(w, h[:n], tape.source[t, :n], tape.first[t, :n])
+            at = tape.at(t)
+            h, *rest = advance(w, h[: len(at)], tape.source[at], tape.first[at])
             kept.append((h, rest))
         states = np.concatenate([x[0] for x in kept])
-        target = np.concatenate([tape.target[t, : tape.width[t]] for t in steps])
+        target = np.concatenate([tape.target[tape.at(t)] for t in steps])
         _, classes, of, place, parts = outputs(w, states, target)
         total = np.float32(1 / len(target))
         grad = {k: np.zeros_like(v) for k, v in w.items()}
@@ -176,10 +208,11 @@ class Trainer:
             dr = dnew * inner * r * (1 - r)
             dread = np.concatenate([dr, dz, dnew], 1)
             dkept = np.concatenate([dr, dz, dnew * r], 1)
-            np.add.at(grad["x"], tape.source[t, :n], dread)
+            at = tape.at(t)
+            np.add.at(grad["x"], tape.source[at], dread)
             grad["u"] += before.T @ dkept
             later = dh * z + dkept @ w["u"].T
-            later[tape.first[t, :n]] = 0
+            later[tape.first[at]] = 0
 
     def apply(self, grad: Weights) -> None:
         self.step += 1

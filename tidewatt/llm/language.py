@@ -35,9 +35,15 @@ SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
 TRAIN_DOCS = 3000
 LEAST_STEPS = 600  # few documents are gone over again until there have been so many steps
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 20  # text read at once
+SCORE_TOKENS = 2_000_000  # about as many go through the network at once, whole documents only
 COUNT_RUN = 1 << 23
 END = np.uint64(0xE0D)
+SCORED = (
+    "doc_id bigint, n_tokens bigint, n_known bigint, base double, "
+    "h array<bigint>, tail array<int>, times array<bigint>, model double"
+)
+NAMES = [column.split()[0] for column in SCORED.split(", ")]
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,11 +156,30 @@ def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> Dat
     shared = documents.sparkSession.sparkContext.broadcast((words, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, weights = shared.value
+        held, size = [], 0
         for batch in batches:
             for part in chunks(batch, "text", RUN_BYTES):
-                yield score(part, *shared.value)
-
-    def score(part: pa.RecordBatch, words: Vocabulary, weights: gru.Weights) -> pa.RecordBatch:
+                held.append(known_part(part, words))
+                size += len(held[-1][0])
+                if size >= SCORE_TOKENS:
+                    yield from scores(held, weights)
+                    held, size = [], 0
+        if held:
+            yield from scores(held, weights)
+
+    def scores(held: list, weights: gru.Weights) -> Iterator[pa.RecordBatch]:
+        """What the network says is added to the sums that need no network."""
+        symbols = np.concatenate([x[0] for x in held])
+        starts = np.append(0, np.cumsum(np.concatenate([x[1] for x in held])))
+        model = gru.likelihoods(weights, symbols, starts) / np.log(10)
+        at = 0
+        for _, sizes, columns, shares in held:
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(shares + model[at : at + len(sizes)])], names=NAMES)
+            at += len(sizes)
+
+    def known_part(part: pa.RecordBatch, words: Vocabulary) -> tuple:
+        """Symbols, documents' lengths, finished columns, and shares of tails, of a run of documents."""
         hashes, tail, starts = tokens(part.column(1))
         symbol, count, known = words.look_up(hashes, tail)
         sizes = np.diff(starts)
@@ -163,8 +188,7 @@ def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> Dat
         def per_row(values: np.ndarray) -> np.ndarray:
             return np.bincount(row, values, minlength=len(sizes))
 
-        model = gru.likelihoods(weights, symbol, starts) / np.log(10)
-        model += per_row(np.where(known & (symbol >= HEADS), words.share(count, tail), 0.0))
+        shares = per_row(np.where(known & (symbol >= HEADS), words.share(count, tail), 0.0))
         rare = np.flatnonzero(~known)
         order = rare[np.lexsort((hashes[rare], row[rare]))]
         new = np.ones(len(order), bool)
@@ -174,14 +198,14 @@ def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> Dat
         of = order[first]
         ends = np.append(0, np.cumsum(np.bincount(row[of], minlength=len(sizes)))).astype(np.int32)
         lists = [hashes[of].view(np.int64), tail[of].astype(np.int32), times.astype(np.int64)]
-        return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(sizes.astype(np.int64)), pa.array(per_row(known & (count > 0)).astype(np.int64)),
-             pa.array(per_row(np.where(known, words.base(count), 0.0))), pa.array(model),
-             *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists]],
-            names=["doc_id", "n_tokens", "n_known", "base", "model", "h", "tail", "times"])
-
-    schema = "doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, h array<bigint>, tail array<int>, times array<bigint>"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+        columns = [
+            part.column(0), pa.array(sizes.astype(np.int64)), pa.array(per_row(known & (count > 0)).astype(np.int64)),
+            pa.array(per_row(np.where(known, words.base(count), 0.0))),
+            *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists],
+        ]
+        return symbol.astype(np.int16), sizes, columns, shares
+
+    return documents.select("doc_id", "text").mapInArrow(run, SCORED)
 
 
 def language_scores(documents: DataFrame) -> DataFrame:
