@@ -55,7 +55,8 @@ def remainder(doc_id, divisor: int):
 
 # --- words of an Arrow column, hashed without a Python loop over words -------
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+SLICE_ROWS = 256
 WORD_BYTES = np.ones(256, np.uint8)
 WORD_BYTES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
 LOWERED = np.arange(256, dtype=np.uint8)
@@ -151,6 +152,13 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return value, row
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of few rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``limit`` bytes of text; a longer text is a run of its own."""
     if not batch.num_rows:

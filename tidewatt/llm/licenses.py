@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidewatt.llm.common import slices
+
 GAP = 3
 LONGEST = 12  # pieces in one sentence: known sentences wrapped at a few words a line still fit
 WORD = re.compile(r"[a-z0-9]+")
@@ -200,7 +202,7 @@ def licence_spans(documents: DataFrame) -> DataFrame:
     """doc_id, n_sentences (known ones), n_licences, licences (sorted names), spans, identifiers, for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 found = sentences(text) if text and CLUE.search(text) else []

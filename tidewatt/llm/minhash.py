@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import chunks, hashed_words, id_set, mix, saved, shingles
+from tidewatt.llm.common import chunks, hashed_words, id_set, mix, saved, shingles, slices
 from tidewatt.llm.components import components
 
 SIZE = 5
@@ -120,7 +120,7 @@ def packed_texts(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor().compress
-        for batch in batches:
+        for batch in slices(batches):
             packed = [None if t is None else pack(t.encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
@@ -133,9 +133,8 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                yield compare(batch.slice(start, 64), unpack)
+        for part in slices(batches, 64):
+            yield compare(part, unpack)
 
     def compare(part: pa.RecordBatch, unpack) -> pa.RecordBatch:
         sides = [pa.array([unpack(x).decode() for x in part.column(k).to_pylist()], pa.string()) for k in (2, 3)]

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import saved
+from tidewatt.llm.common import saved, slices
 from tidewatt.llm.tokens import Encoder
 
 CAPACITY = 1024
@@ -51,7 +51,7 @@ def pieces(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(public_tokenizers.path(tokenizer))
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(encoder.ids(text or ""), END).astype("<u4")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import saved
+from tidewatt.llm.common import saved, slices
 
 CONSTANT = 0.5
 LEAST_PAGES = 3
@@ -298,7 +298,7 @@ def templates(pages: DataFrame, reference: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, int], int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for page, host, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for number, _ in same_text_pairs(parse(page), reference_tree(other)):
                     counts[host, number] = counts.get((host, number), 0) + 1
@@ -331,7 +331,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     template = templates(hosted, references(hosted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(*row) for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

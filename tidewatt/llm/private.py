@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatt.llm.common import slices
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
 BUCKETS = 1024
@@ -177,7 +179,7 @@ def factor_counts(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in texts_of(batch, 0):
                 if CLUE.search(text):
                     total += counts_of(text)
@@ -269,7 +271,7 @@ def private_spans(documents: DataFrame) -> DataFrame:
     model = documents.sparkSession.sparkContext.broadcast(learn(documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, digests, listed, added = [], [], [], []
             for text in texts_of(batch, 1):
                 base, every = all_spans(text, model.value)
@@ -290,6 +292,8 @@ def private_spans(documents: DataFrame) -> DataFrame:
 
 def masked_text(text: str, spans: list[Span]) -> str:
     """The text with each span replaced by its kind in angle brackets; overlapping spans become one."""
+    if not spans:
+        return text
     pieces, at = [], 0
     for start, end, kind in sorted((s, e, k) for k, s, e in spans):
         if start >= at:
@@ -305,7 +309,7 @@ def masked(documents: DataFrame) -> DataFrame:
     at_text, at_length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = list(batch.columns)
             before = columns[at_text].to_pylist()
             after = [x if not x else masked_text(x, all_spans(x, model.value)[1]) for x in before]
