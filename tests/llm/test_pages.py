@@ -64,3 +64,22 @@ def test_matching_is_the_heaviest():
     texts = [{n.number: op.own_text(n) for n in op.aligned_nodes(t)} for t in (one, two)]
     pairs = [(texts[0][a.number], texts[1][b.number]) for a, b in op.matched(one, two, *texts)]
     assert sorted(pairs) == [("", ""), ("a", "c"), ("b", "b")]
+
+
+def article_page(k):
+    return (f'<body><article id="post-{k}"><div>Share this <a>here</a></div><h1>Title {k}</h1><p><b>Note</b> story {k * k}</p>'
+            f'<div>Read more</div><p>end {k}<p>Get our letter</article></body>')
+
+
+def test_constant_nodes_of_an_article_are_template(spark):
+    rows = [(k, f"http://one.example.org/{k}", article_page(k)) for k in range(12)]
+    found = by_id(op.main_texts(spark.createDataFrame(rows, SCHEMA)), "page_id")
+    for k in range(12):
+        assert found[k]["text"] == f"Title {k}\n\nNote story {k * k}\n\nend {k}"
+
+
+def test_what_varies_below_a_constant_line_stays():
+    pages = [f"<div>Site line<article>By us<p>story {k}</p></article></div>" for k in range(2)]
+    numbers = [n for n, _ in op.same_text_pairs(op.parse(pages[0]), op.reference_tree(pages[1]))]
+    assert len(numbers) == 2
+    assert op.main_text(pages[0], pages[1], numbers) == "story 0"

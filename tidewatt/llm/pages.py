@@ -6,9 +6,12 @@ two nodes form the heaviest sequence of pairs in order.  Counted over all pages
 of a host, a reference node whose text is the same on at least ``CONSTANT`` of
 its pages is template; the slots that vary are content.  Page parts that say what
 they are (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments, by element or by class) are no content anywhere.  An article
-element, or else a main element, says as well what it is: its blocks are content
-whatever other pages hold, so template nodes matter on pages without one.
+styles, comments, by element or by class) are no content anywhere.  Where a page
+has article elements, or else main elements, the text is looked for in these; their
+nodes are matched and counted like all others.
+
+What is template is a node's own running text: its strings, and those of the
+inline elements among them.  Elements inside it are judged by themselves.
 
 Reference pages: the page with the lowest hash of each host, one of up to
 ``REFERENCE_BYTES`` if there is any.  Counts cover all pages.  Pages meet the
@@ -139,7 +142,8 @@ def parse(page: str) -> Node:
                     break
         attributes = m[3]
         names = PART.findall(" ".join(x.strip("\"'") for x in NAMED.findall(attributes)).lower()) if "=" in attributes else []
-        node = Node(tag, f"{tag} {' '.join(names)}" if names else tag, role_of(tag, names, stack))
+        lasting = [x for x in names if not x.isdigit()]  # "post-123" names a page, not a slot
+        node = Node(tag, " ".join([tag, *lasting]), role_of(tag, names, stack))
         stack[-1].children.append(node)
         stack[-1].pieces.append(node)
         if tag in RAW:
@@ -155,18 +159,43 @@ def parse(page: str) -> Node:
     return root
 
 
+def runs_on(node: Node) -> bool:
+    """Whether the node has strings of its own, so that inline elements are parts of its sentence."""
+    return any(isinstance(x, str) and not x.isspace() for x in node.pieces)
+
+
+def own(node: Node) -> tuple[list[str], list[Node], list[Node]]:
+    """The node's running text, the inline elements that are part of it, and the other elements below these."""
+    strings, inner, others, joins = [], [], [], runs_on(node)
+    todo: list = list(reversed(node.pieces))
+    while todo:
+        piece = todo.pop()
+        if isinstance(piece, str):
+            strings.append(piece)
+        elif piece.tag == "br":
+            strings.append(" ")
+        elif piece.role == "none":
+            continue
+        elif joins and piece.tag in INLINE:
+            inner.append(piece)
+            todo += reversed(piece.pieces)
+        else:
+            others.append(piece)
+    return strings, inner, others
+
+
 def own_text(node: Node) -> str:
-    return " ".join(" ".join(x for x in node.pieces if isinstance(x, str)).split())
+    return " ".join("".join(own(node)[0]).split())
 
 
 def aligned_nodes(root: Node) -> list[Node]:
-    """Nodes that take part in matching, numbered in page order; parts that say what they are do not."""
+    """Nodes that take part in matching, numbered in page order; parts that are no content anywhere do not."""
     found, todo = [], [root]
     while todo:
         node = todo.pop()
         node.number = len(found)
         found.append(node)
-        node.children = [c for c in node.children if not c.role]
+        node.children = own(node)[2]
         todo += reversed(node.children)
     return found
 
@@ -236,8 +265,8 @@ def reference_tree(page: str) -> tuple[Node, dict[int, str]]:
     return REFERENCES[page]
 
 
-def blocks(node: Node, template: set[int], into: list[list[str]], whole: bool) -> None:
-    """The node's text, block by block; ``into`` ends with the block being filled."""
+def blocks(node: Node, template: set[int], into: list[list[str]]) -> None:
+    """The node's text without the strings of template nodes, block by block; ``into`` ends with the block being filled."""
     todo: list = [node]
     while todo:
         now = todo.pop()
@@ -247,8 +276,10 @@ def blocks(node: Node, template: set[int], into: list[list[str]], whole: bool) -
             into.append([])
         elif now.tag == "br":
             into[-1].append(" ")
-        elif now.role != "none" and (whole or id(now) not in template):
+        elif now.role != "none":
             parts = list(reversed(now.pieces))
+            if id(now) in template:
+                parts = [x for x in parts if not isinstance(x, str)]
             todo += parts if now.tag in INLINE else [None, *parts, None]
 
 
@@ -269,12 +300,14 @@ def main_text(page: str, reference: str | None, template: list[int]) -> str:
     roots = outermost(root, "article") or outermost(root, "main")
     into: list[list[str]] = [[]]
     constant: set[int] = set()
-    if not roots and reference is not None and template:
+    if reference is not None and template:
         wanted = set(template)
-        constant = {id(node) for number, node in same_text_pairs(root, reference_tree(reference)) if number in wanted}
+        for number, node in same_text_pairs(root, reference_tree(reference)):
+            if number in wanted:
+                constant |= {id(x) for x in [node, *own(node)[1]]}
     for node in roots or [root]:
         into.append([])
-        blocks(node, constant, into, bool(roots))
+        blocks(node, constant, into)
     texts = (" ".join("".join(block).split()) for block in into)
     return "\n\n".join(t for t in texts if t)
 
