@@ -83,3 +83,17 @@ def test_what_varies_below_a_constant_line_stays():
     numbers = [n for n, _ in op.same_text_pairs(op.parse(pages[0]), op.reference_tree(pages[1]))]
     assert len(numbers) == 2
     assert op.main_text(pages[0], pages[1], numbers) == "story 0"
+
+
+def test_names_do_not_remove_articles_headings_or_paragraphs():
+    text = "Work\n\nold\n\n30 days\n\n5 euros"
+    inside = "<h2 id='related'>Work</h2><p class=promo>old</p><section id=notice-period>30 days</section><p class=share-price>5 euros</p>"
+    for start in (
+        "<article class='post comments-open'>", "<article class=comments>", "<div class='content no-sidebar'><article>",
+        "<div class=sidebar><article>", "<div class=sidebar><main>", "<main><div class=sidebar><article>",
+    ):
+        assert op.main_text(f"<body>{start}{inside}", None, []) == text
+    rest = "<div id=comments><article>First!</article></div>"
+    assert op.main_text(f"<body><article>{inside}</article>{rest}", None, []) == text
+    assert op.main_text(f"<body><article>{inside}<div class='x comments'>one</div></article>", None, []) == text
+    assert op.main_text(f"<body><main>{inside}</main>{rest}", None, []) == text

@@ -6,7 +6,10 @@ two nodes form the heaviest sequence of pairs in order.  Counted over all pages
 of a host, a reference node whose text is the same on at least ``CONSTANT`` of
 its pages is template; the slots that vary are content.  Page parts that say what
 they are (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments, by element or by class) are no content anywhere.  Where a page
+styles, comments, by element or by a whole class, id or role) are no content
+anywhere; names do not count on articles, main, headings and paragraphs, nor on
+what holds a page's only articles or main.  Compound names say nothing; the
+template decides there.  Where a page
 has article elements, or else main elements, the text is looked for in these; their
 nodes are matched and counted like all others.
 
@@ -43,8 +46,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.DOTALL,
 )
+DIGIT = re.compile(r"[0-9]")
 NAMED = re.compile(r"""(?:^|[\s/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-PART = re.compile(r"[a-z0-9]+")
 # HTML's own element names by their meaning there.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -76,6 +79,10 @@ NO_CONTENT_NAMES = {
 }
 
 
+# Never judged by name.
+UNNAMED = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p"}
+
+
 class Node:
     __slots__ = ("children", "name", "number", "pieces", "role", "tag")
 
@@ -87,9 +94,11 @@ class Node:
 
 
 def role_of(tag: str, names: list[str], open_tags: list[Node]) -> str:
-    """"none" for what is no content, "main" or "article" for what says it is, else nothing."""
-    if tag in NO_CONTENT or (tag not in {"html", "body"} and not NO_CONTENT_NAMES.isdisjoint(names)):
+    """"none" or, by name alone, "named" for what is no content, "main" or "article" for what says it is, else nothing."""
+    if tag in NO_CONTENT:
         return "none"
+    if tag not in UNNAMED and not NO_CONTENT_NAMES.isdisjoint(names):
+        return "named"
     if tag == "header":
         return "" if any(n.role == "article" for n in open_tags) else "none"
     if tag == "article":
@@ -141,8 +150,8 @@ def parse(page: str) -> Node:
                 elif stack[k].tag in bounds:
                     break
         attributes = m[3]
-        names = PART.findall(" ".join(x.strip("\"'") for x in NAMED.findall(attributes)).lower()) if "=" in attributes else []
-        lasting = [x for x in names if not x.isdigit()]  # "post-123" names a page, not a slot
+        names = " ".join(x.strip("\"'") for x in NAMED.findall(attributes)).lower().split() if "=" in attributes else []
+        lasting = [x for x in names if not DIGIT.search(x)]  # "post-123" names a page, not a slot
         node = Node(tag, " ".join([tag, *lasting]), role_of(tag, names, stack))
         stack[-1].children.append(node)
         stack[-1].pieces.append(node)
@@ -156,9 +165,43 @@ def parse(page: str) -> Node:
             if len(stack) < DEPTH:
                 stack.append(node)
     text(page[at:])
+    settle_names(root)
     return root
 
 
+def settle_names(root: Node) -> None:
+    """Parts named as no content are none, but for those around a page's articles, or else mains, if all are in such parts.
+
+    Where a main lies outside such parts and all articles lie in them, the main stays what the text is looked for in.
+    """
+    named: list[Node] = []
+    held: dict[str, list] = {"article": [], "main": []}
+    free = {"article": False, "main": False}
+    todo: list = [(root, None, False)]
+    while todo:
+        node, around, inside = todo.pop()
+        if node.role == "none":
+            continue
+        if node.role in held and not inside:
+            free[node.role] |= around is None
+            held[node.role].append((node, around))
+            inside = node.role == "article"  # whose parts are judged by name
+        elif node.role == "named":
+            named.append(node)
+            around = around if inside else (node, around)
+        todo += [(x, around, inside) for x in node.children]
+    freed: set[int] = set()
+    if not free["article"]:
+        for node, around in held["article"] or ([] if free["main"] else held["main"]):
+            if free["main"]:
+                node.role = ""
+            while around is not None and id(around[0]) not in freed:
+                freed.add(id(around[0]))
+                around = around[1]
+    for node in named:
+        node.role = "" if id(node) in freed else "none"
+
+
 def runs_on(node: Node) -> bool:
     """Whether the node has strings of its own, so that inline elements are parts of its sentence."""
     return any(isinstance(x, str) and not x.isspace() for x in node.pieces)
