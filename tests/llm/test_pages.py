@@ -97,3 +97,13 @@ def test_names_do_not_remove_articles_headings_or_paragraphs():
     assert op.main_text(f"<body><article>{inside}</article>{rest}", None, []) == text
     assert op.main_text(f"<body><article>{inside}<div class='x comments'>one</div></article>", None, []) == text
     assert op.main_text(f"<body><main>{inside}</main>{rest}", None, []) == text
+
+
+def test_deep_nests_lose_and_add_nothing():
+    deep = "<div>" * 150 + "<nav>menu</nav>in<aside>side</aside>" + "</div>" * 150
+    page = f"<div><article><p>first</p>{deep}<p>last</p></article><p>out</p></div>"
+    assert op.main_text(page, None, []) == "first\n\nin\n\nlast"
+    nest = "<div>" * 3000 + "<p>same</p><p>{}</p>" + "</div>" * 3000
+    one, two = (f"<article>{nest.format(k)}<p>end {k}</p></article>" for k in "ab")
+    numbers = [n for n, _ in op.same_text_pairs(op.parse(one), op.reference_tree(two))]
+    assert op.main_text(one, two, numbers) == "a\n\nend a"

@@ -23,7 +23,7 @@ while it is under its threshold.
 
 Defined results: a null, empty or text-free page gives an empty text.  A page
 without a readable host belongs to the host "".  Repeated pages each get a row.
-Elements nested deeper than ``DEPTH`` become children of the element at that depth.
+Elements may be nested at any depth.
 """
 
 from __future__ import annotations
@@ -41,7 +41,6 @@ from tidewatt.llm.common import saved, slices
 CONSTANT = 0.5
 LEAST_PAGES = 3
 REFERENCE_BYTES = 20_000
-DEPTH = 100
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.DOTALL,
@@ -162,8 +161,7 @@ def parse(page: str) -> Node:
                 break
             at = page.find(">", at) + 1 or len(page)
         elif tag not in VOID and not attributes.endswith("/"):
-            if len(stack) < DEPTH:
-                stack.append(node)
+            stack.append(node)
     text(page[at:])
     settle_names(root)
     return root
@@ -244,22 +242,36 @@ def aligned_nodes(root: Node) -> list[Node]:
 
 
 def weight(one: Node, two: Node, texts: dict[int, str], others: dict[int, str], known: dict) -> float:
-    """Simple tree matching: nodes matched, and a little more for equal texts."""
-    key = one.number, two.number
-    if key not in known:
-        total = 1.0 + 0.5 * (texts[one.number] == others[two.number])
-        known[key] = total + (child_table(one, two, texts, others, known)[-1][-1] if one.children and two.children else 0)
-    return known[key]
+    """Simple tree matching: nodes matched, and a little more for equal texts; pairs below first, whatever the depth."""
+    todo = [(one, two)]
+    while todo:
+        a, b = todo[-1]
+        key = a.number, b.number
+        inner = [y for y in b.children if y.children] if a.children and key not in known else []
+        below = [
+            (x, y) for x in a.children if x.children for y in inner if x.name == y.name and (x.number, y.number) not in known
+        ] if inner else []
+        if below:
+            todo += below
+            continue
+        todo.pop()
+        if key not in known:
+            total = 1.0 + 0.5 * (texts[a.number] == others[b.number])
+            known[key] = total + (child_table(a, b, texts, others, known)[-1][-1] if a.children and b.children else 0)
+    return known[one.number, two.number]
 
 
 def child_table(one: Node, two: Node, texts, others, known) -> list[list[float]]:
+    """Heaviest matchings of the first children of both; pairs that both have children are known."""
     table = [[0.0] * (len(two.children) + 1)]
     for a in one.children:
-        above, row = table[-1], [0.0]
+        above, row, mine = table[-1], [0.0], texts[a.number]
         for k, b in enumerate(two.children):
             best = max(above[k + 1], row[k])
             if a.name == b.name:
-                best = max(best, above[k] + weight(a, b, texts, others, known))
+                leaf = not (a.children and b.children)
+                each = 1.0 + 0.5 * (mine == others[b.number]) if leaf else known[a.number, b.number]
+                best = max(best, above[k] + each)
             row.append(best)
         table.append(row)
     return table
@@ -268,6 +280,7 @@ def child_table(one: Node, two: Node, texts, others, known) -> list[list[float]]
 def matched(one: Node, two: Node, texts, others) -> list[tuple[Node, Node]]:
     """Pairs of the heaviest matching, from the roots down."""
     known: dict = {}
+    weight(one, two, texts, others, known)
     pairs, todo = [], [(one, two)]
     while todo:
         a, b = todo.pop()
