@@ -107,3 +107,23 @@ def test_deep_nests_lose_and_add_nothing():
     one, two = (f"<article>{nest.format(k)}<p>end {k}</p></article>" for k in "ab")
     numbers = [n for n, _ in op.same_text_pairs(op.parse(one), op.reference_tree(two))]
     assert op.main_text(one, two, numbers) == "a\n\nend a"
+
+
+def test_blocks_that_the_reference_lacks_second_layouts_and_copies(spark):
+    def page(k):
+        notice = "<div>We moved</div>" if k % 3 else ""
+        return f"<body><div>Top line</div>{notice}<p>story {k}</p></body>"
+
+    def second(k):
+        return f"<body class=shop><p>thing {k}</p><div>Prices with tax</div><div>Back to shop</div></body>"
+
+    url = "http://one.example.org/"
+    rows = [(k, url, page(k)) for k in range(30)] + [(100 + k, url, second(k)) for k in range(5)]
+    rows += [(200 + k, f"{url}{k}", "<body class=copied><p>a line</p><p>the article</p></body>") for k in range(40)]
+    rows += [(300 + k, url, f"<body class=copied><p>other {k}</p><p>words {k}</p></body>") for k in range(5)]
+    found = by_id(op.main_texts(spark.createDataFrame(rows, SCHEMA)), "page_id")
+    assert len(found) == len(rows)
+    assert [found[k]["text"] for k in range(30)] == [f"story {k}" for k in range(30)]
+    assert [found[100 + k]["text"] for k in range(5)] == [f"thing {k}" for k in range(5)]
+    assert {found[200 + k]["text"] for k in range(40)} == {"a line\n\nthe article"}
+    assert [found[300 + k]["text"] for k in range(5)] == [f"other {k}\n\nwords {k}" for k in range(5)]

@@ -1,10 +1,13 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are aligned with one reference page of that host by simple tree
+Pages of a host that have the same layout (names of their containers, outside of
+articles) are aligned with one reference page of that layout by simple tree
 matching: two nodes match if tag and class agree, and the matched children of
-two nodes form the heaviest sequence of pairs in order.  Counted over all pages
-of a host, a reference node whose text is the same on at least ``CONSTANT`` of
-its pages is template; the slots that vary are content.  Page parts that say what
+two nodes form the heaviest sequence of pairs in order.  A reference node whose
+text is the same on at least ``CONSTANT`` of a layout's pages is template; so is
+a node that the reference lacks, if that share of the pages has its text at the
+same place (the names from the root down).  The slots that vary are content.
+Page parts that say what
 they are (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, comments, by element or by a whole class, id or role) are no content
 anywhere; names do not count on articles, main, headings and paragraphs, nor on
@@ -16,10 +19,11 @@ nodes are matched and counted like all others.
 What is template is a node's own running text: its strings, and those of the
 inline elements among them.  Elements inside it are judged by themselves.
 
-Reference pages: the page with the lowest hash of each host, one of up to
-``REFERENCE_BYTES`` if there is any.  Counts cover all pages.  Pages meet the
-reference and template of their host in a join; Spark broadcasts that side only
-while it is under its threshold.
+All pages are counted, those with the same text once; fewer than ``LEAST_PAGES``
+are no evidence.  Layouts with fewer different texts are taken together, host by
+host.  Reference pages: the page with the lowest hash of each layout, one of up
+to ``REFERENCE_BYTES`` if there is any.  Pages meet the reference and template of
+their layout in joins; those sides are broadcast up to a counted bound.
 
 Defined results: a null, empty or text-free page gives an empty text.  A page
 without a readable host belongs to the host "".  Repeated pages each get a row.
@@ -30,23 +34,29 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import saved, slices
+from tidewatt.llm.common import id_set, saved, slices
 
 CONSTANT = 0.5
 LEAST_PAGES = 3
 REFERENCE_BYTES = 20_000
+MAX_BROADCAST_BYTES = 32 << 20
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.DOTALL,
 )
 DIGIT = re.compile(r"[0-9]")
 NAMED = re.compile(r"""(?:^|[\s/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+CONTAINER = (
+    r"<(?:body|main|article|section|div|table)\s[^<>]*?\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+)
 # HTML's own element names by their meaning there.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -308,7 +318,29 @@ def same_text_pairs(root: Node, reference: tuple[Node, dict[int, str]]) -> list[
     return [(b.number, a) for a, b in pairs if texts[a.number] and texts[a.number] == others[b.number]]
 
 
-REFERENCES: dict[str, tuple[Node, dict[int, str]]] = {}
+def marks(root: Node, reference: tuple[Node, dict[int, str]]) -> list[tuple[int, Node]]:
+    """Nodes with text: the number of the reference node with the same words, else a negative hash of place and words."""
+    found = same_text_pairs(root, reference)
+    met = {id(node) for _, node in found}
+    todo = [(root, 0)]
+    while todo:
+        node, place = todo.pop()
+        place = zlib.crc32(node.name.encode("utf-8", "replace"), place)
+        todo += [(x, place) for x in node.children]
+        if id(node) not in met and (words := own_text(node)):
+            code = blake2b(words.encode("utf-8", "replace"), digest_size=8, salt=place.to_bytes(4, "big")).digest()
+            found.append((-1 - (int.from_bytes(code, "big") >> 1), node))
+    return found
+
+
+class Trees(dict):
+    """Trees stay in their process; what is sent to tasks is empty."""
+
+    def __reduce__(self):
+        return Trees, ()
+
+
+REFERENCES: dict[str, tuple[Node, dict[int, str]]] = Trees()
 
 
 def reference_tree(page: str) -> tuple[Node, dict[int, str]]:
@@ -358,8 +390,8 @@ def main_text(page: str, reference: str | None, template: list[int]) -> str:
     constant: set[int] = set()
     if reference is not None and template:
         wanted = set(template)
-        for number, node in same_text_pairs(root, reference_tree(reference)):
-            if number in wanted:
+        for mark, node in marks(root, reference_tree(reference)):
+            if mark in wanted:
                 constant |= {id(x) for x in [node, *own(node)[1]]}
     for node in roots or [root]:
         into.append([])
@@ -368,56 +400,80 @@ def main_text(page: str, reference: str | None, template: list[int]) -> str:
     return "\n\n".join(t for t in texts if t)
 
 
-def with_host(pages: DataFrame) -> DataFrame:
+def with_layout(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, host, layout, digest: hashes of the containers' names outside of articles, and of all text."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    page = F.coalesce("html", F.lit(""))
+    seen = F.regexp_replace(page, r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", " ")
+    words = F.trim(F.regexp_replace(F.regexp_replace(seen, "<[^>]*>", " "), r"\s+", " "))
+    frame = F.lower(F.regexp_replace(seen, r"(?is)<article\b.*</article\s*>", "<article>"))
+    named = F.regexp_extract_all(frame, F.lit(CONTAINER), F.lit(1))
+    names = F.flatten(F.transform(named, lambda x: F.split(F.translate(x, "\"'", ""), r"\s+")))
+    lasting = F.filter(names, lambda x: ~x.rlike("[0-9]") & ~x.isin(*sorted(NO_CONTENT_NAMES)))
+    layout = F.xxhash64(F.array_sort(F.array_distinct(lasting)), F.contains(frame, F.lit("<article")), F.contains(frame, F.lit("<main")))
+    return pages.select(
+        "page_id", "url", page.alias("html"), host.alias("host"), layout.alias("layout"), F.xxhash64(words).alias("digest"))
+
+
+def layouts(pages: DataFrame) -> DataFrame:
+    """host, layout, n (different texts) of the layouts that are a group of their own."""
+    counted = pages.select("host", "layout", "digest").distinct().groupBy("host", "layout").agg(F.count("*").alias("n"))
+    return saved(counted.filter(f"n >= {LEAST_PAGES}").select("host", "layout"), "op10-layouts")
+
+
+def with_kind(pages: DataFrame, own_layouts: DataFrame) -> DataFrame:
+    """The pages with their group: the layout, or 0 for all of a host's rarer layouts."""
+    kinds = id_set(own_layouts.withColumn("kind", F.col("layout")))
+    return pages.join(kinds, ["host", "layout"], "left").withColumn("kind", F.coalesce("kind", F.lit(0).cast("bigint")))
 
 
 def references(pages: DataFrame) -> DataFrame:
-    """host, n (its pages), reference (one page)."""
+    """host, kind, id, n (different texts), reference (one page) of every group."""
     order = F.struct(F.octet_length("html") > REFERENCE_BYTES, F.xxhash64("url", "html"))
-    return saved(
-        pages.groupBy("host").agg(F.count("*").alias("n"), F.min_by("html", order).alias("reference")),
-        "op10-references",
-    )
+    of = ["host", "kind"]
+    counted = pages.select(*of, "digest").distinct().groupBy(*of).agg(F.count("*").alias("n"))
+    chosen = pages.groupBy(*of).agg(F.min_by("html", order).alias("reference"))
+    return saved(chosen.join(counted, of).withColumn("id", F.monotonically_increasing_id()), "op10-references")
+
+
+def met_by_pages(groups: DataFrame) -> DataFrame:
+    """The groups, to be broadcast if they take ``MAX_BROADCAST_BYTES`` at most."""
+    size = groups.agg(F.sum(F.octet_length("reference") + 100)).first()[0] or 0
+    return F.broadcast(groups) if size <= MAX_BROADCAST_BYTES else groups
 
 
 def templates(pages: DataFrame, reference: DataFrame) -> DataFrame:
-    """host, reference, template: the numbers of the reference's nodes that are constant on the host."""
+    """host, kind, reference, template: the marks that are constant in the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, int], int] = {}
         for batch in slices(batches):
-            for page, host, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for number, _ in same_text_pairs(parse(page), reference_tree(other)):
-                    counts[host, number] = counts.get((host, number), 0) + 1
-            if len(counts) > 100_000:
-                yield listed(counts)
-                counts = {}
-        yield listed(counts)
-
-    def listed(counts: dict[tuple[str, int], int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in counts], pa.string()), pa.array([n for _, n in counts], pa.int64()),
-             pa.array(list(counts.values()), pa.int64())], names=["host", "number", "same"])
-
-    joined = pages.select("html", "host").join(reference, "host").select("html", "host", "reference")
-    counted = joined.mapInArrow(run, "host string, number bigint, same bigint")
-    numbers = counted.groupBy("host", "number").agg(F.sum("same").alias("same")).join(
-        reference.select("host", "n"), "host"
-    ).filter(f"n >= {LEAST_PAGES} AND same >= {CONSTANT} * n")
-    lists = numbers.groupBy("host").agg(F.collect_list("number").alias("template"))  # nodes of one page
+            found = [
+                (group, mark, digest)
+                for page, digest, group, other in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                for mark in {m for m, _ in marks(parse(page), reference_tree(other))}
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["id", "mark", "digest"])
+
+    joined = pages.select("html", "digest", "host", "kind").join(
+        met_by_pages(reference.filter(f"n >= {LEAST_PAGES}")), ["host", "kind"])
+    counted = joined.select("html", "digest", "id", "reference").mapInArrow(run, "id bigint, mark bigint, digest bigint")
+    constant = counted.distinct().groupBy("id", "mark").agg(F.count("*").alias("same")).join(
+        reference.select("id", "n"), "id"
+    ).filter(f"same >= {LEAST_PAGES} AND same >= {CONSTANT} * n")
+    lists = constant.groupBy("id").agg(F.collect_list("mark").alias("template"))  # about two pages' nodes at most
     empty = F.array().cast("array<bigint>")
     return saved(
-        reference.join(lists, "host", "left").select("host", "reference", F.coalesce("template", empty).alias("template")),
+        reference.join(lists, "id", "left").select("host", "kind", "reference", F.coalesce("template", empty).alias("template")),
         "op10-templates",
     )
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
-    hosted = with_host(pages)
-    template = templates(hosted, references(hosted))
+    every = with_layout(pages)
+    kinds = with_kind(every, layouts(every))
+    template = templates(kinds, references(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -426,5 +482,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    joined = hosted.join(template, "host").select("page_id", "url", "html", "reference", "template")
+    joined = kinds.join(met_by_pages(template), ["host", "kind"]).select("page_id", "url", "html", "reference", "template")
     return joined.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
