@@ -111,3 +111,31 @@ def test_tokens():
     assert np.diff(starts).tolist() == [3, 1, 1, 3]
     assert hashes[:3].tolist() == hashes[5:].tolist()
     assert (hashes[[2, 3, 4, 7]] == op.END).all()
+
+
+def test_every_training_document_is_learned_from_once(spark, monkeypatch):
+    docs = documents(spark, [f"w{k % 7} w{k % 3} end{k}" for k in range(4000)]).repartition(3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def learn(self, symbols, starts):
+        seen.add(len(starts) - 1)
+
+    monkeypatch.setattr(gru.Trainer, "learn", learn)
+    words = op.Vocabulary(op.counted(docs))
+    weights = op.fit(docs, words)
+    assert seen.value == 4000
+    start = op.started(words)
+    assert all(np.allclose(weights[k], start[k], rtol=1e-5) for k in start)
+
+
+def test_rounds_lower_the_loss_and_start_at_the_shares(spark):
+    texts = ["a b c d " * 50] * 60
+    docs = documents(spark, texts)
+    words = op.Vocabulary(op.counted(docs))
+    hashes, tail, starts = op.tokens(pa.array(texts[:1]))
+    symbols = words.look_up(hashes, tail)[0]
+    shares = op.started(words)
+    for k in ("class", "member"):
+        shares[k] = shares[k] * 0
+    assert math.isclose(gru.likelihoods(shares, symbols, starts)[0] / len(symbols), -math.log(4), rel_tol=0.05)
+    assert gru.likelihoods(op.fit(docs, words), symbols, starts)[0] > 0.98 * gru.likelihoods(shares, symbols, starts)[0]

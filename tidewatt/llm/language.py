@@ -8,10 +8,12 @@ training words of that tail.  So the model gives every word a probability.
 Counts cover all training documents (crc32 of the id modulo 10 is not 0): one
 aggregate of words counted task by task.  The ``FREQUENT`` most frequent words go
 to all tasks, a fixed bound; counts of all other words meet the documents in a
-join.  The network's weights, of fixed size, are fitted in one task on at most
-``TRAIN_DOCS`` training documents, those whose ids hash lowest.  Documents are
-scored whole, in lanes, with the state carried from window to window.  Words are
-told apart by 64-bit hashes.
+join.  The network starts from the symbols' shares and learns from every training
+document once, in ``ROUNDS`` rounds over disjoint parts: each task goes on from
+the same weights, and the tasks' weights, of fixed size, are averaged by tokens.
+So the weights depend on how the rows are dealt to tasks.  Documents are scored
+whole, in lanes, with the state carried from window to window.  Words are told
+apart by 64-bit hashes.
 
 Defined results: a null or empty text is the end alone.  Repeated rows each get a
 row and are each counted.  Rows with a null id count as those with the id "".
@@ -33,8 +35,8 @@ from tidewatt.llm.common import LOWERED, chunks, hash_spans, remainder, saved, s
 FREQUENT = 1 << 15
 SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
-TRAIN_DOCS = 3000
-LEAST_STEPS = 600  # few documents are gone over again until there have been so many steps
+ROUNDS = 3
+PIECES = 16  # of the weights, to be added up apart
 RUN_BYTES = 1 << 20  # text read at once
 SCORE_TOKENS = 2_000_000  # about as many go through the network at once, whole documents only
 COUNT_RUN = 1 << 23
@@ -125,30 +127,80 @@ class Vocabulary:
         return symbol, count, found | is_end
 
 
-def fit(examples: DataFrame, words: Vocabulary) -> gru.Weights:
-    """Weights from the bounded examples, in one task, a run of texts at a time."""
-    shared = examples.sparkSession.sparkContext.broadcast(words)
-    names = sorted(gru.initial(SYMBOLS))
+def started(words: Vocabulary) -> gru.Weights:
+    """Weights whose biases give every symbol its share of the training tokens."""
+    weights = gru.initial(SYMBOLS)
+    seen = np.zeros(SYMBOLS)
+    seen[0] = words.ends
+    inside = words.symbols < HEADS
+    seen[words.symbols[inside]] = words.counts[inside]
+    seen[HEADS:] = words.tails[:, 0]
+    seen = (seen + 0.1).reshape(weights["member_b"].shape)
+    weights["class_b"][:] = np.log(seen.sum(1) / seen.sum())
+    weights["member_b"][:] = np.log(seen / seen.sum(1, keepdims=True))
+    return weights
+
+
+def packed(weights: gru.Weights) -> np.ndarray:
+    return np.concatenate([weights[k].ravel() for k in sorted(weights)]).astype(np.float64)
+
+
+def unpacked(values: np.ndarray) -> gru.Weights:
+    start, at, found = gru.initial(SYMBOLS), 0, {}
+    for k in sorted(start):
+        found[k] = values[at : at + start[k].size].astype(np.float32).reshape(start[k].shape)
+        at += start[k].size
+    return found
+
+
+def learned(training: DataFrame, words: Vocabulary, weights: gru.Weights) -> gru.Weights:
+    """Average, by tokens, of the weights that the tasks reach on their documents, a run of texts at a time."""
+    shared = training.sparkSession.sparkContext.broadcast((words, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, weights = shared.value
         trainer = gru.Trainer(SYMBOLS)
-        runs = []
+        trainer.w = {k: v.copy() for k, v in weights.items()}
+        size = 0
         for batch in batches:
             for part in chunks(batch, "text", RUN_BYTES):
-                hashes, tail, starts = tokens(part.column(1))
-                runs.append((shared.value.look_up(hashes, tail)[0].astype(np.int32), starts))
-                trainer.learn(*runs[-1])
-        while runs and trainer.step < LEAST_STEPS:
-            for one in runs:
-                trainer.learn(*one)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names), pa.array([trainer.w[k].tobytes() for k in names])], names=["name", "value"])
-
-    one = examples.select("doc_id", "text").repartition(1)
-    ordered = one.sortWithinPartitions(F.xxhash64("doc_id"), F.xxhash64("text"))
-    rows = ordered.mapInArrow(run, "name string, value binary").collect()
-    start = gru.initial(SYMBOLS)  # stays as it is where there is nothing to learn from
-    return start | {r.name: np.frombuffer(r.value, np.float32).reshape(start[r.name].shape) for r in rows}
+                hashes, tail, starts = tokens(part.column(0))
+                trainer.learn(words.look_up(hashes, tail)[0].astype(np.int32), starts)
+                size += len(hashes)
+        if size:
+            pieces = np.array_split(packed(trainer.w) * size, PIECES)
+            yield rows(list(range(PIECES)), pieces, [size] * PIECES)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        sizes: dict[int, int] = {}
+        for batch in batches:
+            for k, value, size in zip(*batch.columns, strict=True):
+                k = k.as_py()
+                sums[k] = sums.get(k, 0) + np.frombuffer(value.as_py(), np.float64)
+                sizes[k] = sizes.get(k, 0) + size.as_py()
+        yield rows(list(sums), list(sums.values()), [sizes[k] for k in sums])
+
+    def rows(pieces: list, values: list, sizes: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(pieces, pa.int64()), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(sizes, pa.int64())],
+            names=["piece", "value", "size"])
+
+    schema = "piece bigint, value binary, size bigint"
+    each = training.select("text").mapInArrow(run, schema)
+    found = sorted(each.repartition(PIECES, "piece").mapInArrow(add, schema).collect())  # PIECES rows of fixed size
+    if not found:
+        return weights
+    return unpacked(np.concatenate([np.frombuffer(r.value, np.float64) / r.size for r in found]))
+
+
+def fit(training: DataFrame, words: Vocabulary) -> gru.Weights:
+    """Weights from all training documents."""
+    weights = started(words)
+    for k in range(ROUNDS):
+        part = training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
+        weights = learned(part, words, weights)
+    return weights
 
 
 def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> DataFrame:
@@ -213,11 +265,8 @@ def language_scores(documents: DataFrame) -> DataFrame:
     training = documents.filter(remainder(F.col("doc_id"), 10) != 0)
     counts = saved(counted(training), "op9-counts")
     words = Vocabulary(counts)
-    chosen = training.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    # At most TRAIN_DOCS ids, so this broadcast has a fixed bound.
-    examples = training.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = saved(
-        scored(documents, words, fit(examples, words)).withColumn("row", F.monotonically_increasing_id()), "op9-rows"
+        scored(documents, words, fit(training, words)).withColumn("row", F.monotonically_increasing_id()), "op9-rows"
     )
     tails = documents.sparkSession.createDataFrame(
         [(k, float(np.log10(n + 0.1 * (d + 1)))) for k, (n, d) in enumerate(words.tails)], "tail int, whole double"
