@@ -105,7 +105,7 @@ def test_query_as_by_brute_force(spark):
     frame = frame.unionByName(frame.filter("doc_id = 20"))
     counts = counted([(r["doc_id"], r["text"]) for r in rows_of(frame)])
     found = {r["word"]: r for r in rows_of(op.spelling_variants(frame))}
-    assert found == expected(counts) and len(found) > 20 and any(r["form"] for r in found.values())
+    assert found == expected(counts) and len(found) > 10 and any(r["form"] for r in found.values())
 
 
 def test_awkward_and_empty_tables(spark):

@@ -14,7 +14,8 @@ places is the same in both, so a list holds the words of one (m, interval, text
 it, text after it), each word being entered for m = its length and its length less one.
 Intervals start as the two halves of a word; lists of more than ``LIST_WORDS`` words are
 dealt anew with their interval halved, down to a single place, where the alphabet
-bounds them (a word differs there in one letter, or in two if it is the longer one).  No list grows with the corpus, no pair is lost, none is found twice.
+bounds them (a word differs there in one letter, or in two if it is the longer one).  No list
+grows with the corpus, no pair is lost, none is found twice.
 
 Defined results: words are told apart by their code points.  Null texts have no words;
 repeated rows count again; a null id counts as the empty text.  A word near no other
