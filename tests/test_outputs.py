@@ -11,11 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatt import ELECTRICITY
-from tidewatt.jobs import kept, run_pipeline, run_query, store_records
+from tidewatt.ingest import MissingReadings
+from tidewatt.jobs import kept, run_pipeline, run_query, store_records, together
 from tidewatt.operators.series import single_series, split_series
 from tidewatt.scratch import scratch_dir
 from tidewatt.sinks.records import RecordLayout, flat_records, hash_records, upsert_records
-from tidewatt.sinks.results import new_run_id, write_ordered_csv, write_result
+from tidewatt.sinks import store as record_store
+from tidewatt.sinks.results import merge_csv, new_run_id, write_ordered_csv, write_result, write_single_csv
+from tidewatt.sinks.store import RecordStore, key_hash
 from tidewatt.sources.files import discover_sources, latest_result, read_result
 from tidewatt.sources.readings import as_readings
 
@@ -135,13 +138,137 @@ def test_upsert_with_repeated_keys_gives_one_record_each(spark):
     assert found == [("a", "2", "4")]
 
 
+MAPS = "key string, value map<string,string>"
+
+
 def test_records_that_come_late_are_kept(spark, tmp_path):
-    schema = "key string, value map<string,string>"
-    newer, older = (spark.createDataFrame([(k, {"x": k})], schema) for k in ("b", "a"))
+    newer, older = (spark.createDataFrame([(k, {"x": k})], MAPS) for k in ("b", "a"))
     store_records(spark, newer, str(tmp_path), "q1")
-    newest = store_records(spark, older, str(tmp_path), "q1")
-    assert newest == latest_result(spark, str(tmp_path), "q1", "records")
-    assert sorted(r.key for r in spark.read.parquet(newest).collect()) == ["a", "b"]
+    path = store_records(spark, older, str(tmp_path), "q1")
+    store = RecordStore(path)
+    assert store.version(spark).number == 2
+    assert sorted(r.key for r in store.read(spark).collect()) == ["a", "b"]
+    assert [r.key for r in store.read(spark, store.version(spark, 1)).collect()] == ["b"]
+
+
+def files_of(store, version):
+    return {b: sorted((p.name, p.stat().st_mtime_ns) for p in Path(f).glob("part-*")) for b, f in store.folders(version).items()}
+
+
+def test_an_upsert_touches_its_buckets_only(spark, tmp_path):
+    keys = [f"k{n}" for n in range(60)]
+    store = RecordStore(str(tmp_path / "s"), 8)
+    first = store.upsert(spark.createDataFrame([(k, {"x": k, "y": "1"}) for k in keys], MAPS))
+    before = files_of(store, first)
+    second = store.upsert(spark.createDataFrame([("k7", {"x": "new"}), ("k7", {"x": "new"})], MAPS))
+    bucket = spark.createDataFrame([("k7",)], "key string").select(key_hash(F.col("key"), 8)).first()[0]
+    after = files_of(store, second)
+    assert len(before) > 4 and {b for b in after if after[b] != before.get(b)} == {bucket}
+    found = {r.key: r.value for r in store.read(spark).collect()}
+    assert found == {k: {"x": "new" if k == "k7" else k, "y": "1"} for k in keys}
+    assert {r.key: r.value["x"] for r in store.read(spark, first).collect()}["k7"] == "k7"
+
+
+def test_a_crash_before_the_swap_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    store = RecordStore(str(tmp_path / "s"), 4)
+    store.upsert(spark.createDataFrame([("a", {"x": "1"})], MAPS))
+    update = spark.createDataFrame([("a", {"x": "2"})], MAPS)
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(RecordStore, "_put", crash)
+        with pytest.raises(RuntimeError):
+            store.upsert(update)
+    assert store.version(spark).number == 1 and store.read(spark).first().value == {"x": "1"}
+    assert store.upsert(update).number == 2 and store.read(spark).first().value == {"x": "2"}
+
+
+def test_of_two_upserts_from_one_version_one_fails(spark, tmp_path, monkeypatch):
+    store = RecordStore(str(tmp_path / "s"), 4)
+    first = store.upsert(spark.createDataFrame([("a", {"x": "1"})], MAPS))
+    store.upsert(spark.createDataFrame([("a", {"x": "2"})], MAPS))
+    monkeypatch.setattr(RecordStore, "version", lambda *_: first)
+    with pytest.raises(Exception, match="exists"):
+        store.upsert(spark.createDataFrame([("a", {"x": "3"})], MAPS))
+    monkeypatch.undo()
+    assert store.read(spark).first().value == {"x": "2"}
+    assert sorted(p.name for p in (tmp_path / "s/versions").iterdir() if p.suffix != ".crc") == [f"{n:014d}" for n in (1, 2)]
+
+
+def test_an_empty_store_and_an_empty_update(spark, tmp_path):
+    store = RecordStore(str(tmp_path / "s"), 4)
+    assert store.read(spark).collect() == [] and store.version(spark).number == 0
+    store.upsert(spark.createDataFrame([], MAPS))
+    assert store.read(spark).collect() == [] and store.version(spark).number == 1
+    with pytest.raises(FileNotFoundError):
+        store.version(spark, 9)
+    assert RecordStore(str(tmp_path / "s"), 99).version(spark).buckets == 4
+    assert record_store.BUCKETS == 64
+
+
+def test_one_file_of_many_ranges(spark, tmp_path):
+    """With adaptive execution off and 200 ranges: one header, the bytes of the parts."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    rows = spark.range(5000).select("id", F.concat(F.lit('é "q", \n'), "id").alias("text"))
+    try:
+        write_ordered_csv(rows.orderBy(F.desc("id")), str(tmp_path / "parts"))
+        write_single_csv(rows.orderBy(F.desc("id")), str(tmp_path / "one.csv"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    parts = [p.read_bytes() for p in sorted((tmp_path / "parts").glob("part-*"))]
+    header = b"id,text\n"
+    assert len(parts) > 100 and all(p.startswith(header) for p in parts)
+    assert (tmp_path / "one.csv").read_bytes() == header + b"".join(p.removeprefix(header) for p in parts)
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith(".") and not p.name.endswith(".crc")]
+
+
+def test_a_merged_file_is_whole_or_not_there(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "part-0").write_text("a,b\n1,2\n")
+    (folder / "part-1").write_text("a,c\n3,4\n")
+    with pytest.raises(ValueError, match="header"):
+        merge_csv(spark, str(folder), str(tmp_path / "one.csv"))
+    assert not (tmp_path / "one.csv").exists()
+    (folder / "part-1").write_text("a,b\n")
+    (folder / "part-2").write_text("")
+    (folder / "_SUCCESS").write_text("")
+    merge_csv(spark, str(folder), str(tmp_path / "one.csv"))
+    assert (tmp_path / "one.csv").read_text() == "a,b\n1,2\n"
+    with pytest.raises(FileExistsError):
+        merge_csv(spark, str(folder), str(tmp_path / "one.csv"))
+    write_single_csv(spark.range(0).orderBy("id"), str(tmp_path / "none.csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "none.csv")).count() == 0
+
+
+def test_outputs_at_the_same_time(spark):
+    import threading
+
+    meet = threading.Barrier(3, timeout=60)
+    task = lambda k: lambda: (meet.wait(), spark.range(k).count())[1]
+    assert together(spark, {str(k): task(k) for k in (1, 2, 3)}) == {"1": 1, "2": 2, "3": 3}
+    seen = []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, {"bad": lambda: 1 // 0, "good": lambda: seen.append(time.sleep(0.3))})
+    assert seen == [None] and together(spark, {}) == {}
+
+
+def test_a_run_with_a_missing_year_writes_no_result(spark, raw_files, tmp_path):
+    run = lambda out, expected: run_pipeline(
+        spark, "q1", "df", f"{raw_files}/*_hourly.csv", ELECTRICITY, str(out), LABELS, expected=expected, run_id="20250101000000"
+    )
+    with pytest.raises(MissingReadings, match="SE 2023, FR 2021") as error:
+        run(tmp_path / "bad", {"IT": [2021], "SE": [2022, 2023], "FR": [2021]})
+    assert error.value.missing == [("SE", 2023), ("FR", 2021)]
+    assert [p.name for p in (tmp_path / "bad").iterdir()] == ["data"]
+    counted = run(tmp_path / "good", {"IT": [2021, 2022], "SE": [2021, 2022]})
+    partly = run(tmp_path / "part", {"IT": [2021]})
+    read = lambda paths: sorted(map(tuple, spark.read.option("header", True).csv(paths["report"]).collect()), key=repr)
+    assert read(counted) == read(partly) and len(read(counted)) == 4
 
 
 def test_the_pivot_does_not_sort_what_it_reads(spark):
@@ -258,7 +385,7 @@ def test_readings_without_an_entity_stay(spark, tmp_path):
         )
         text = spark.read.option("header", True).csv(paths[f"csv_{kind}"])
         assert text.filter("country IS NULL").count() == (1 if query == "q1" else 2)
-        keys = {r.key for r in spark.read.parquet(paths["records"]).select("key").collect()}
+        keys = {r.key for r in RecordStore(paths["records"]).read(spark).select("key").collect()}
         assert keys == ({"Q1::2021"} if query == "q1" else {"Q3::carbon-intensity", "Q3::cfe"})
 
 
@@ -271,11 +398,10 @@ def test_whole_run_is_the_same_by_every_face(spark, raw_files, tmp_path, query):
             spark, query, face, f"{raw_files}/*_hourly.csv", ELECTRICITY, str(out), LABELS,
             entity="IT", run_id="20250101000000",
         )
-        kinds = [k for k in paths if k not in ("data", "records")]
-        seen[face] = {
-            kind: [p.read_text() for p in sorted(Path(paths[kind]).glob("part-*"))] for kind in kinds
-        }
-        records = spark.read.parquet(paths["records"])
+        kinds = [k for k in paths if k not in ("data", "records", "text")]
+        parts = lambda path: [path] if path.is_file() else sorted(path.glob("part-*"))
+        seen[face] = {kind: [p.read_text() for p in parts(Path(paths[kind]))] for kind in kinds}
+        records = RecordStore(paths["records"]).read(spark)
         seen[face]["records"] = sorted((r.key, sorted(r.value.items())) for r in records.collect())
         assert all(len(seen[face][k]) == 1 for k in kinds)
     assert seen["df"] == seen["sql"] == seen["rdd"]
@@ -289,7 +415,7 @@ def test_second_run_updates_records(spark, raw_files, tmp_path):
     )["records"]
     run("*_2021_hourly.csv", "20250101000000")
     newest = run("IT_2022_hourly.csv", "20250102000000")
-    keys = sorted(r.key for r in spark.read.parquet(newest).select("key").collect())
+    keys = sorted(r.key for r in RecordStore(newest).read(spark).select("key").collect())
     assert keys == ["Q1:IT:2021", "Q1:IT:2022", "Q1:SE:2021"]
 
 

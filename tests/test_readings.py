@@ -1,5 +1,6 @@
 """Cleaning policies, time handling and exact means on small inputs."""
 
+import gzip
 import math
 from collections import Counter
 from datetime import datetime
@@ -368,11 +369,49 @@ def test_an_empty_entity_is_a_missing_one(spark):
         assert [r.country for r in found.collect()] == [None, "IT"]
 
 
-def test_raw_files_with_another_header_are_refused(spark, raw_folder):
-    write_raw(raw_folder, "SE_2022_hourly.csv", ["x,y,z,w"], "When (UTC),Zone,Carbon (direct),CFE%")
-    raw = read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY, RAW)
-    with pytest.raises(Exception, match="header"):
-        raw.collect()
+def test_raw_files_with_other_headers_are_read_by_name(spark, raw_folder):
+    """Another order, further columns, other names for all files or for one, a blank first line, a packed file."""
+    write_raw(raw_folder, "SE_2022_hourly.csv", ["z,4.5,2022-01-01 00:00:00,99.0"], "Zone,Carbon (direct),When (UTC),CFE%")
+    write_raw(raw_folder, "FR_2021_hourly.csv", ['"a, b",50.5,1.5,2021-05-01 00:00:00'], '"Remark, any",CFE share,Carbon (direct),When (UTC)')
+    write_raw(raw_folder, "FR_2022_hourly.csv", ["2022-05-01 00:00:00,2.5,60.5,9"], "\nWhen (UTC),CFE%,C2,Carbon (direct)")
+    (raw_folder / "ES_2021_hourly.csv.gz").write_bytes(
+        gzip.compress(b"CFE%,Carbon (direct),When (UTC)\n7.0,8.0,2021-06-01 00:00:00\n"))
+    (raw_folder / "ES_2022_hourly.csv").write_text("")
+    names = RAW | {"cfe_percent": ["CFE%", "CFE share"]}
+    by_file = {"FR_2022": {"cfe_percent": "C2", "carbon_intensity_direct": "CFE%"}}
+    raw = read_raw(spark, str(raw_folder), ELECTRICITY, names, by_file=by_file)
+    found = {(r.country_code, str(r.datetime)[:4]): (r.carbon_intensity_direct, r.cfe_percent) for r in raw.collect()}
+    assert found == {
+        ("IT", "2021"): ("280.1", "46.3"), ("IT", "bad"): ("2", "1"), ("IT", "2022"): ("290.1", None), ("SE", "2021"): ("4.5", "99.1"),
+        ("SE", "2022"): ("4.5", "99.0"), ("FR", "2021"): ("1.5", "50.5"), ("FR", "2022"): ("2.5", "60.5"), ("ES", "2021"): ("8.0", "7.0"),
+    }
+
+
+def test_headers_are_few_scans(spark, raw_folder):
+    """Files that have their columns at the same places are one scan, whatever their names are."""
+    write_raw(raw_folder, "SE_2022_hourly.csv", ["2022-01-01 00:00:00,z,1,2"], "When (UTC),Other,CFE share,Carbon (direct)")
+    write_raw(raw_folder, "FR [x]_2022_hourly.csv", ["1,2022-01-01 00:00:00,2"], "CFE%,When (UTC),Carbon (direct)")
+    raw = read_raw(spark, str(raw_folder), ELECTRICITY, RAW | {"cfe_percent": ["CFE%", "CFE share"]})
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and raw.filter("country_code = 'FR [x]'").count() == 1
+
+
+def test_headers_that_do_not_fit_are_named(spark, raw_folder, tmp_path):
+    write_raw(raw_folder, "SE_2022_hourly.csv", ["x,y,z"], "When (UTC),Carbon (direct),CFE%,CFE%")
+    with pytest.raises(ValueError, match="twice.*SE_2022"):
+        read_raw(spark, str(raw_folder), ELECTRICITY, RAW)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "IT_2021_hourly.csv").write_text("\n")
+    with pytest.raises(ValueError, match="no raw file"):
+        read_raw(spark, str(tmp_path / "none"), ELECTRICITY, RAW)
+
+
+def test_source_names(spark):
+    from tidewatt.sources.files import source_entity, source_year
+
+    paths = ["/a/IT_2021_hourly.csv", "/x_y/s=O_1995_hourly/part-0.csv", "/raw-shipments/one_two_1999_hourly", "/n/IT_21_hourly.csv"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string").select(source_entity(F.col("p")), source_year(F.col("p"))).collect()
+    assert [tuple(r) for r in rows] == [("IT", 2021), ("O", 1995), ("two", 1999), ("", None)]
 
 
 def test_raw_files_without_a_column(spark, raw_folder):

@@ -2,51 +2,85 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatt.operators.stats import row_counts
-from tidewatt.sources.files import SOURCE_NAME, source_entity, source_year
+from tidewatt.sources.files import SOURCE_NAME, literal_path, source_entity, source_headers, source_year
 from tidewatt.sources.readings import check_policy, typed
 from tidewatt.spec import ReadingSpec, quoted
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+Columns = Mapping[str, str | Sequence[str]]
+
+
+def column_places(
+    header: tuple[str, ...], file: str, spec: ReadingSpec, columns: Columns, by_file: Mapping[str, Columns]
+) -> tuple[int | None, ...]:
+    """Where a file has each of the spec's columns; None for an entity column that it lacks."""
+    wanted = dict(columns)
+    for pattern, own in by_file.items():
+        if re.search(pattern, file):
+            wanted |= own
+    places: list[int | None] = []
+    for column in spec.source_columns:
+        given = wanted.get(column, column)
+        names = [given] if isinstance(given, str) else list(given)
+        name = next((n for n in names if n in header), None)
+        if name is None and column != spec.entity_col:
+            raise ValueError(f"no column {' or '.join(map(repr, names))} in the raw header {list(header)} of {file}")
+        if name is not None and header.count(name) > 1:
+            raise ValueError(f"column {name!r} stands twice in the raw header {list(header)} of {file}")
+        places.append(None if name is None else header.index(name))
+    return tuple(places)
+
+
 def read_raw(
     spark: SparkSession,
     paths: str | Sequence[str],
     spec: ReadingSpec,
-    columns: Mapping[str, str] | None = None,
+    columns: Columns | None = None,
     pattern: str = SOURCE_NAME,
+    by_file: Mapping[str, Columns] | None = None,
 ) -> DataFrame:
     """All raw files as text, columns picked and renamed (ING-1, ING-2, PRJ-4).
 
-    ``columns`` maps the names in ``spec`` to names in the raw header.  Files
-    whose header differs from the first one's are an error rather than being read
-    by position.  ``source`` is the file's path; an entity column that the files
-    lack is taken from their names.
+    ``columns`` maps the names in ``spec`` to names in the raw headers; of several
+    names given for one column the first that a header has counts.  ``by_file`` maps
+    regular expressions to such mappings for the files whose path they match; these come first.
+    Files may differ in the order of their columns, in further columns, and in names: a
+    catalogue of all headers tells where each file has its columns, files that have them at the
+    same places are one scan, and the scans are united by name.  A file that lacks a
+    column, or has it twice, is an error that names it, before any row is read.
+    ``source`` is the file's path; an entity column that a file lacks is taken from its name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = {"header": True, "recursiveFileLookup": True}
-    header = spark.read.options(**reader).csv(paths[0]).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.schema(schema).options(**reader, enforceSchema=False).csv(paths)
-    mapping = {c: (columns or {}).get(c, c) for c in spec.source_columns}
-    source = F.col("_metadata.file_path")
-    picked = []
-    for wanted, given in mapping.items():
-        if given in header:
-            picked.append(F.col(quoted(given)).alias(wanted))
-        elif wanted == spec.entity_col:
-            picked.append(source_entity(source, pattern).alias(wanted))
-        else:
-            raise ValueError(f"no column {given!r} in the raw header {header}")
-    return raw.select(*picked, source.alias("source"))
+    layouts: dict[tuple, list[str]] = {}
+    for file, header in source_headers(spark, paths).items():
+        places = column_places(header, file, spec, columns or {}, by_file or {})
+        layouts.setdefault((len(header), places), []).append(file)
+    if not layouts:
+        raise ValueError(f"no raw file with a header line under {paths}")
+    # Spark gives the path as a URI.
+    source = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    scans = []
+    for (width, places), files in layouts.items():
+        schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width)])
+        scan = spark.read.schema(schema).option("header", True).csv([literal_path(file) for file in files])
+        picked = [
+            (source_entity(source, pattern) if place is None else F.col(f"c{place}")).alias(column)
+            for column, place in zip(spec.source_columns, places, strict=True)
+        ]
+        scans.append(scan.select(*picked, source.alias("source")))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def source_inventory(
@@ -115,12 +149,26 @@ def compacted(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+Expected = Mapping[str, Sequence[int]]
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Rows counted by the pass that wrote them: ``kept`` by (entity, year) as far as expected, ``others``
+    for all further accepted rows, ``refused`` by reason."""
+
+    kept: Mapping[tuple[str, int], int]
+    others: int
+    refused: Mapping[str, int]
+
+
 @dataclass(frozen=True)
 class Dataset:
-    """A clean dataset on disk."""
+    """A clean dataset on disk; ``counts`` if it was written with expectations."""
 
     path: str
     spec: ReadingSpec
+    counts: Counts | None = field(default=None, compare=False)
 
     @property
     def table(self) -> str:
@@ -154,8 +202,45 @@ class Dataset:
         return spark.read.schema(schema).parquet(self.table).filter(F.col("verdict") == verdict)
 
 
+class MissingReadings(ValueError):
+    """Expected entities and years of which no row was accepted."""
+
+    def __init__(self, missing: Sequence[tuple[str, int]]) -> None:
+        self.missing = list(missing)
+        super().__init__("no accepted rows of " + ", ".join(f"{entity} {year}" for entity, year in self.missing))
+
+
+def counters(spec: ReadingSpec, expected: Expected) -> tuple[list[tuple[str, int]], list[Column]]:
+    """The expected pairs, and aggregates that count their rows, all other accepted rows and the refused ones."""
+    pairs = list(dict.fromkeys((entity, int(year)) for entity, years in expected.items() for year in years))
+    clean = F.col("verdict") == "clean"
+    whose, year = F.col(quoted(spec.entity_col)), F.year(F.col(quoted(spec.time_col)))
+    counted = [
+        F.count_if(clean & whose.eqNullSafe(who) & (year == when)).alias(f"kept_{k}") for k, (who, when) in enumerate(pairs)
+    ]
+    refused = [F.count_if(F.col("reason") == name).alias(f"refused_{k}") for k, name in enumerate(reasons(spec))]
+    return pairs, [F.count_if(clean).alias("clean"), *counted, *refused]
+
+
+def reasons(spec: ReadingSpec) -> list[str]:
+    return ["time", *spec.metric_names]
+
+
+def check_expected(data: Dataset) -> None:
+    """Raise ``MissingReadings`` if an expected entity and year has no accepted row (ING-7)."""
+    missing = [pair for pair, rows in data.counts.kept.items() if not rows] if data.counts else []
+    if missing:
+        raise MissingReadings(missing)
+
+
 def ingest(
-    raw: DataFrame, spec: ReadingSpec, path: str, policy: str = "per_metric", layout: str = "compacted"
+    raw: DataFrame,
+    spec: ReadingSpec,
+    path: str,
+    policy: str = "per_metric",
+    layout: str = "compacted",
+    expected: Expected | None = None,
+    text: bool = True,
 ) -> Dataset:
     """Write the clean dataset as Parquet and CSV (ING-2..6, SNK-3).
 
@@ -166,6 +251,9 @@ def ingest(
     table, split by verdict and entity.  The CSV copy is made from that table,
     file by file and without another shuffle.  Nothing of the input's size is
     cached, and losing an executor only repeats its tasks.
+    With ``expected`` (years by entity) the writing pass counts its rows on the way:
+    after the shuffle, where each task's counts are taken once however often it is tried.
+    ``text`` False leaves the CSV copy to a later ``write_text``.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}, use one of {LAYOUTS}")
@@ -174,7 +262,24 @@ def ingest(
     rows = judged(raw, spec, policy)
     if layout == "compacted":
         rows = compacted(rows, "verdict", spec.entity_col)
-    rows.write.partitionBy("verdict", spec.entity_col).parquet(data.table)
+    if expected is None:
+        rows.write.partitionBy("verdict", spec.entity_col).parquet(data.table)
+    else:
+        pairs, aggregates = counters(spec, expected)
+        watch = Observation()
+        rows.observe(watch, *aggregates).write.partitionBy("verdict", spec.entity_col).parquet(data.table)
+        seen = watch.get
+        kept = {pair: seen[f"kept_{k}"] for k, pair in enumerate(pairs)}
+        refused = {name: seen[f"refused_{k}"] for k, name in enumerate(reasons(spec))}
+        data = replace(data, counts=Counts(kept, seen["clean"] - sum(kept.values()), refused))
+    if text:
+        write_text(spark, data)
+    return data
+
+
+def write_text(spark: SparkSession, data: Dataset) -> str:
+    """The CSV copy of a dataset, one folder an entity (ING-6)."""
+    spec = data.spec
     (
         data.clean(spark)
         .withColumn("entity", F.col(quoted(spec.entity_col)))
@@ -183,12 +288,20 @@ def ingest(
         .option("timestampNTZFormat", TIME_FORMAT)
         .csv(data.text)
     )
-    return data
+    return data.text
 
 
 def ingest_report(spark: SparkSession, data: Dataset) -> DataFrame:
-    """Rows kept per entity and year, and rows refused per reason (ING-7, AGG-7)."""
+    """Rows kept per entity and year, and rows refused per reason (ING-7, AGG-7).
+
+    Taken from the counts of the writing pass, if it accepted expected rows only; else the dataset is read.
+    """
     spec = data.spec
+    if data.counts and not data.counts.others:
+        kept = [("clean", who, year, None, rows) for (who, year), rows in data.counts.kept.items() if rows]
+        refused = [("rejected", None, None, reason, rows) for reason, rows in data.counts.refused.items() if rows]
+        schema = f"verdict string, {quoted(spec.entity_name)} string, year int, reason string, rows long"
+        return spark.createDataFrame(kept + refused, schema).orderBy("verdict", spec.entity_name, "year", "reason")
     clean = data.clean(spark).select(
         F.col(quoted(spec.time_col)).alias("time"),
         F.col(quoted(spec.entity_col)).alias(spec.entity_name),

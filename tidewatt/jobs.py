@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import partial
+from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatt.ingest import Dataset, ingest, ingest_report, read_raw
+from tidewatt.ingest import Columns, Dataset, Expected, check_expected, ingest, ingest_report, read_raw, write_text
 from tidewatt.operators.profiles import PROBABILITIES
 from tidewatt.operators.rankings import ranking_order
 from tidewatt.operators.series import single_series, split_series
@@ -18,14 +21,13 @@ from tidewatt.plans import FACES, QUERIES, df, rdd, sql
 from tidewatt.sinks.records import (
     RecordLayout,
     hash_records,
-    one_per_key,
     percentile_layout,
     ranking_layout,
-    upsert_records,
     yearly_layout,
 )
-from tidewatt.sinks.results import check_run_id, new_run_id, write_ordered_csv, write_result
-from tidewatt.sources.files import latest_result, read_result
+from tidewatt.sinks.results import check_run_id, new_run_id, write_result, write_single_csv
+from tidewatt.sinks.store import RecordStore
+from tidewatt.sources.files import read_result
 from tidewatt.sources.readings import as_readings, register_readings
 from tidewatt.spec import ReadingSpec
 
@@ -172,21 +174,34 @@ def chart_series(
 
 
 def store_records(spark: SparkSession, records: DataFrame, base: str, query: str) -> str:
-    """Apply records to the newest stored version and write the outcome as the next one.
+    """Apply records to a query's store under ``base``; its path.
 
-    Versions are numbered in the order they are written, so records of an earlier
-    period that come late are added like any others.
+    Only the buckets that the records touch are read and written (see ``sinks.store``).
+    Records of an earlier period that come late are added like any others.
+    """
+    store = RecordStore(f"{base}/{query}")
+    store.upsert(records)
+    return store.path
+
+
+def together(spark: SparkSession, tasks: Mapping[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run independent outputs at the same time, each a Spark job of its own; what each returned, by name.
+
+    Every thread has its scheduler pool, so that under ``spark.scheduler.mode`` FAIR none waits for
+    another; under FIFO the later ones take the cores that the earlier ones leave.  All
+    outputs end before the first error, if any, is raised.
     """
-    version = 1
-    try:
-        newest = latest_result(spark, base, query, "records")
-        version += int(newest.rsplit("_", 1)[1])
-        records = upsert_records(spark.read.parquet(newest), records)
-    except FileNotFoundError:
-        records = one_per_key(records)
-    path = f"{base}/{query}_records_{version:014d}"
-    records.write.parquet(path)
-    return path
+
+    def pooled(name: str, task: Callable[[], Any]) -> Callable[[], Any]:
+        def run() -> Any:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return task()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
+        started = {name: pool.submit(pooled(name, task)) for name, task in tasks.items()}
+    return {name: future.result() for name, future in started.items()}
 
 
 def run_pipeline(
@@ -198,45 +213,61 @@ def run_pipeline(
     out: str,
     labels: Mapping[str, str],
     entity: str | None = None,
-    columns: Mapping[str, str] | None = None,
+    columns: Columns | None = None,
     policy: str = "per_metric",
     run_id: str | None = None,
+    expected: Expected | None = None,
+    by_file: Mapping[str, Columns] | None = None,
 ) -> dict[str, str]:
     """Ingest raw files, run a query and write every output (JOB-1).
 
     Returns the path of each output: the clean dataset and its report, the result
-    folders, ordered CSV copies, records and chart series.  What was asked for is
-    checked before anything is read.
+    folders, CSV files of one ordered copy each, the store of records, and chart series.  What was
+    asked for is checked before anything is read.  ``expected`` names the years that must
+    have come for each entity: if one has no accepted row, the run ends with
+    ``MissingReadings`` after ingest, before the query (ING-7).  Outputs that only need the
+    results are written at the same time.
     """
     check_choice(query, face, entity)
     run_id = check_run_id(run_id or new_run_id())
     out = out.rstrip("/")
-    data = ingest(read_raw(spark, sources, spec, columns), spec, f"{out}/data/{run_id}", policy)
-    paths = {"data": data.path}
-    paths["report"] = f"{out}/report/{run_id}"
-    ingest_report(spark, data).write.option("header", True).csv(paths["report"])
+    raw = read_raw(spark, sources, spec, columns, by_file=by_file)
+    # The RDD face reads the CSV copy; for the others it is one more output.
+    data = ingest(raw, spec, f"{out}/data/{run_id}", policy, expected=expected, text=face == "rdd")
+    check_expected(data)
     only = entity if query == "q2" else None
     tables = run_query(spark, query, face, _input(spark, face, data, policy, only), spec, entity)
-    with kept(spark, tables):
-        for kind, table in tables.outputs.items():
-            name = None if kind == "result" else kind
-            paths[kind] = write_result(table, f"{out}/output", query, face, run_id, name)
-    results = {
+
+    def report() -> str:
+        path = f"{out}/report/{run_id}"
+        ingest_report(spark, data).write.option("header", True).csv(path)
+        return path
+
+    def results() -> dict[str, str]:
+        with kept(spark, tables):
+            return {
+                kind: write_result(table, f"{out}/output", query, face, run_id, None if kind == "result" else kind)
+                for kind, table in tables.outputs.items()
+            }
+
+    copies = {} if face == "rdd" else {"text": partial(write_text, spark, data)}
+    first = together(spark, {"results": results, "report": report, **copies})
+    paths = {"data": data.path, "report": first["report"], **first["results"]}
+    found = {
         kind: read_result(spark, paths[kind], table.schema, [REQUIRED[kind]])
         for kind, table in tables.outputs.items()
     }
-    for kind, result in results.items():
-        name = f"{query}_{kind}"
+    tasks: dict[str, Callable[[], str]] = {}
+    for kind, result in found.items():
         group = [] if kind == "all" else [ranking_order(spec) if kind == "top" else spec.entity_name]
-        order = [*group, REQUIRED[kind]]
-        path = f"{out}/csv/{run_id}/{name}"
-        paths[f"csv_{kind}"] = write_ordered_csv(result.orderBy(*order), path)
+        copy = result.orderBy(*group, REQUIRED[kind])
+        tasks[f"csv_{kind}"] = partial(write_single_csv, copy, f"{out}/csv/{run_id}/{query}_{kind}.csv")
     kind, layout = record_layout(query, spec, entity)
-    records = hash_records(results[kind], layout)
-    paths["records"] = store_records(spark, records, f"{out}/records", query)
-    for name, series in chart_series(query, results, spec, labels).items():
-        paths[f"series_{name}"] = write_ordered_csv(series, f"{out}/series/{run_id}/{query}_{name}")
-    return paths
+    records = hash_records(found[kind], layout)
+    tasks["records"] = partial(store_records, spark, records, f"{out}/records", query)
+    for name, series in chart_series(query, found, spec, labels).items():
+        tasks[f"series_{name}"] = partial(write_single_csv, series, f"{out}/series/{run_id}/{query}_{name}.csv")
+    return paths | together(spark, tasks)
 
 
 def _input(spark: SparkSession, face: str, data: Dataset, policy: str, entity: str | None) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: yearly source files are named <entity>_<year>_hourly.
-SOURCE_NAME = r"([^/=_]+)_(\d{4})_hourly"
+SOURCE_NAME = r"(?<![^/=_])([^/=_]++)_(\d{4})_hourly"
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +48,55 @@ def discover_sources(spark: SparkSession, path: str, pattern: str = SOURCE_NAME)
     )
 
 
+# How many files the driver looks into at a time.
+OPEN_FILES = 16
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it lies in, as Spark itself sees them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file that is not blank, unpacked where the name says how; no more is read of it."""
+    jvm = spark._jvm
+    path, files = hadoop_path(spark, file)
+    stream = files.open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+        while line is not None and not line.strip("\ufeff \t"):
+            line = reader.readLine()
+    finally:
+        reader.close()
+    return line
+
+
+def source_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The header of every CSV file under ``paths``: the fields of its first line (ING-2).
+
+    The driver, which lists the files for Spark's scan anyway, reads one line of each, several
+    files at a time.  Files without any line hold no rows and are left out.
+    """
+    names = sorted({row.path for path in paths for row in list_files(spark, path).select("path").collect()})
+    with ThreadPoolExecutor(OPEN_FILES) as pool:
+        lines = list(pool.map(lambda name: first_line(spark, name), names))
+    return {
+        name: tuple(field.strip() for field in next(csv.reader([line.removeprefix("\ufeff")])))
+        for name, line in zip(names, lines, strict=True)
+        if line is not None
+    }
+
+
+def literal_path(path: str) -> str:
+    """A file's path with no character read as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def result_name(query: str, face: str, kind: str | None = None) -> str:
     return "_".join(part for part in (query, face, kind) if part)
 

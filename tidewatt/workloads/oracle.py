@@ -9,9 +9,11 @@ from tidewatt.workloads.tables import (
     KIND_LABELS,
     NAN_VALUE,
     ONE_STATUS,
+    RECORD_BUCKETS,
     SHORT_LINE,
     STATUS_LABELS,
     T_TIME,
+    UPDATED_KEY,
     WORD_VALUE,
 )
 
@@ -203,6 +205,20 @@ MISSING = f"""
     WHERE (status, year) NOT IN (SELECT (l_linestatus, year(l_shipdate)) FROM lineitem)"""
 
 
+BUCKET = f"CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % {RECORD_BUCKETS}"
+CHANGED = ", ".join(
+    f"CASE WHEN key = '{UPDATED_KEY}' THEN {m}_mean || '!' ELSE {m}_mean END AS {m}_mean, {m}_min, {m}_max"
+    for m in ("price", "discount")
+)
+TOUCHED = f"""
+    SELECT key, CAST(CASE WHEN {BUCKET} = (SELECT {BUCKET} FROM (SELECT '{UPDATED_KEY}' AS key)) AND seen THEN 2 ELSE 1 END AS INTEGER)
+        AS version, {CHANGED}
+    FROM (SELECT *, bool_or(key = '{UPDATED_KEY}') OVER () AS seen FROM ({yearly_records()}))"""
+MERGED = """
+    SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(*) AS rows, 0 AS headers, 1 AS files
+    FROM lineitem GROUP BY year(l_shipdate) UNION ALL SELECT 'year', 1, 1, 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {}
     for face in ("df", "sql", "rdd"):
@@ -271,6 +287,13 @@ def oracle_sql() -> dict[str, str]:
         "q3_hourly_zoned": hourly(ZONED),
         "records_backfill": yearly_records(),
         "ingest_missing_sources": MISSING,
+        "ingest_two_layouts": """
+            SELECT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate, l_linestatus, l_extendedprice, l_discount
+            FROM lineitem""",
+        "ingest_report_counted": REPORT,
+        "full_run_gate": f"SELECT *, 0 AS results FROM ({MISSING})",
+        "merged_csv": MERGED,
+        "records_buckets": TOUCHED,
         "timing_report_roundtrip": f"SELECT *, runs AS listed FROM ({found['timing_summary']})",
     }
     found["source_inventory"] = found["row_counts"]

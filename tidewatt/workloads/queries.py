@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.ingest import ingest, ingest_report, missing_sources, read_raw, source_inventory
+from tidewatt.ingest import MissingReadings, ingest, ingest_report, missing_sources, read_raw, source_inventory
 from tidewatt.jobs import (
     REQUIRED,
     Tables,
@@ -25,24 +25,31 @@ from tidewatt.operators.timing import run_times, timing_summary
 from tidewatt.plans import df, rdd, sql
 from tidewatt.scratch import scratch_dir
 from tidewatt.sinks.records import flat_records, hash_records, upsert_records
-from tidewatt.sinks.results import write_ordered_csv, write_result, write_timing_report
+from tidewatt.sinks.results import write_result, write_single_csv, write_timing_report
+from tidewatt.sinks.store import RECORD, RecordStore
 from tidewatt.sources.files import discover_sources, latest_result, list_files, read_result
 from tidewatt.sources.readings import as_readings, read_readings, register_readings, union_readings
 from tidewatt.spec import ReadingSpec
 from tidewatt.workloads.tables import (
+    EVENT_YEARS,
     EVENTS,
     EXPECTED_YEARS,
     KIND_LABELS,
     ONE_STATUS,
     RAW_COLUMNS,
+    RECORD_BUCKETS,
+    SHIPMENT_COLUMNS,
+    SHIPMENT_COLUMNS_BY_FILE,
     SHIPMENTS,
     STATUS_LABELS,
+    UPDATED_KEY,
     events,
     raw_folder,
     shipments,
     table,
     write_raw_events,
     write_raw_shipments,
+    write_two_layouts,
     zoned_events,
 )
 
@@ -149,12 +156,27 @@ def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.select(fields.alias("f"), "reason").select("f.*", "reason")
 
 
+def two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of yearly files in two layouts."""
+    folder = raw_folder(spark, sf_dir, write_two_layouts)
+    raw = read_raw(spark, folder, SHIPMENTS, SHIPMENT_COLUMNS, by_file=SHIPMENT_COLUMNS_BY_FILE)
+    return text_time(ingest(raw, SHIPMENTS, scratch_dir(spark, "layouts")).clean(spark), "l_shipdate")
+
+
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept rows per entity and year, refused rows per reason; empty text where not given."""
     report = ingest_report(spark, ingested_events(spark, sf_dir, "strict_row"))
     return report.withColumn("year", F.col("year").cast("string")).fillna("")
 
 
+def report_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report from the counts of the writing pass, for all kinds of the events' year."""
+    raw = read_raw(spark, raw_folder(spark, sf_dir, write_raw_events), EVENTS, RAW_COLUMNS)
+    expected = {kind: EVENT_YEARS for kind in KIND_LABELS}
+    data = ingest(raw, EVENTS, scratch_dir(spark, "events"), "strict_row", expected=expected)
+    return ingest_report(spark, data).withColumn("year", F.col("year").cast("string")).fillna("")
+
+
 def csv_answer(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Q3 by the DataFrame face from the clean CSV copy."""
     data = ingested_events(spark, sf_dir, "per_metric")
@@ -226,14 +248,25 @@ def newest_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A written result copied in order, read back with the number of files."""
+    """A written result copied in order to one file, read back with the number of files."""
     months = written(spark, sf_dir, "q2", "all").orderBy("date")
-    path = write_ordered_csv(months, scratch_dir(spark, "single"))
+    path = write_single_csv(months, scratch_dir(spark, "single") + ".csv")
     rows = spark.read.schema(months.schema).option("header", True).csv(path)
     files = F.lit(list_files(spark, path).count())
     return rows.withColumn("files", files).orderBy("date")
 
 
+def merged_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items written in 40 ranges and merged: rows by year, files, and lines that are a header."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("year"))
+    ranges = lines.repartitionByRange(40, "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey", "l_linenumber")
+    path = write_single_csv(ranges, scratch_dir(spark, "merged") + ".csv")
+    files = F.lit(list_files(spark, path).count()).alias("files")
+    headers = F.count_if(F.col("value") == ",".join(lines.columns)).alias("headers")
+    by_year = spark.read.text(path).groupBy(F.substring_index("value", ",", -1).alias("year"))
+    return by_year.agg(F.count("*").alias("rows"), headers).select("*", files).orderBy("year")
+
+
 # --- records -----------------------------------------------------------------
 
 
@@ -267,7 +300,27 @@ def records_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "records")
     late = F.substring_index("key", ":", -1).cast("int") >= 1998
     store_records(spark, records.filter(late), base, "q1")
-    return flat_records(spark.read.parquet(store_records(spark, records.filter(~late), base, "q1")), fields)
+    return flat_records(RecordStore(store_records(spark, records.filter(~late), base, "q1")).read(spark), fields)
+
+
+def records_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all line items, then new means of one status and year: per record, the version that wrote its bucket.
+
+    The files of the buckets that the update does not touch are those of the first version.
+    """
+    records, fields = records_of(spark, sf_dir, "q1")
+    store = RecordStore(scratch_dir(spark, "records"), RECORD_BUCKETS)
+    store.upsert(records)
+    means = F.map_filter("value", lambda field, _: F.endswith(field, F.lit("_mean")))
+    update = records.filter(F.col("key") == UPDATED_KEY).withColumn("value", F.transform_values(means, lambda _, v: F.concat(v, F.lit("!"))))
+    version = store.upsert(update)
+    folders = store.folders(version)
+    parts = [
+        spark.read.schema(RECORD).parquet(path).withColumn("version", F.lit(version.writes[bucket][1]))
+        for bucket, path in folders.items()
+    ]
+    found = reduce(DataFrame.unionByName, parts)
+    return found.select("key", "version", *[F.col("value")[name].alias(name) for name in fields])
 
 
 # --- chart series, timing, whole run -----------------------------------------
@@ -311,11 +364,28 @@ def full_run(spark: SparkSession, sf_dir: str, query: str, face: str, output: st
     )
     if output == "records":
         kind, layout = record_layout(query, spec, ONE_STATUS)
-        return flat_records(spark.read.parquet(paths["records"]), list(layout.fields))
+        return flat_records(RecordStore(paths["records"]).read(spark), list(layout.fields))
     schema = tables(spark, sf_dir, query).outputs[output].schema
     return spark.read.schema(schema).option("header", True).csv(paths[f"csv_{output}"])
 
 
+def gated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that expects a year too many: what it says is missing, with the number of result files it wrote."""
+    out = scratch_dir(spark, "gated")
+    try:
+        run_pipeline(
+            spark, "q1", "df", raw_folder(spark, sf_dir, write_raw_shipments), SHIPMENTS, out, STATUS_LABELS,
+            columns={"l_linestatus": "not in the files"}, run_id=FIRST_RUN,
+            expected={status: EXPECTED_YEARS for status in STATUS_LABELS},
+        )
+        missing = []
+    except MissingReadings as error:
+        missing = error.missing
+    results = list_files(spark, f"{out}/*").filter("path LIKE '%.csv' AND path NOT LIKE '%/data/%'").count()
+    found = spark.createDataFrame(missing, f"{SHIPMENTS.entity_name} string, year int")
+    return found.withColumn("results", F.lit(results)).orderBy(SHIPMENTS.entity_name, "year")
+
+
 def queries() -> dict[str, Query]:
     faces = ("df", "sql", "rdd")
     found: dict[str, Query] = {}
@@ -365,6 +435,11 @@ def queries() -> dict[str, Query]:
         "q3_hourly_zoned": q3_hourly_zoned,
         "records_backfill": records_backfilled,
         "ingest_missing_sources": sources_missing,
+        "ingest_two_layouts": two_layouts,
+        "ingest_report_counted": report_counted,
+        "full_run_gate": gated_run,
+        "merged_csv": merged_file,
+        "records_buckets": records_touched,
     }
     for face, yearly, ranked in zip(faces, ("result", "records", "records"), ("top", "top", "records"), strict=True):
         found[f"full_run_q1_{face}"] = partial(full_run, query="q1", face=face, output=yearly)

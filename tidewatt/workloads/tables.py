@@ -35,6 +35,11 @@ KIND_LABELS = {
 }
 # The years line items are expected for, one more than there are.
 EXPECTED_YEARS = list(range(1995, 2003))
+# The years of the events.
+EVENT_YEARS = [2024]
+# Buckets of the store of yearly records, and the record that is updated there.
+RECORD_BUCKETS = 8
+UPDATED_KEY = "Q1:O:1998"
 
 # How raw event lines are spoiled, by what they hold: SQL both engines read the same
 # way.  All events are written; refusing some of them is what ingest is there for.
@@ -128,3 +133,31 @@ def write_raw_shipments(spark: SparkSession, sf_dir: str) -> str:
         .csv(path)
     )
     return path
+
+
+# Two layouts of raw line items: the first until this year, then another order, other names and a further column.
+NEW_LAYOUT_FROM = 1998
+SHIPMENT_COLUMNS = {"l_shipdate": ["l_shipdate", "Shipped at"], "l_extendedprice": ["l_extendedprice", "Price (net)"]}
+SHIPMENT_COLUMNS_BY_FILE = {r"_(1998|1999|2\d{3})_hourly": {"l_discount": "Reduction"}}
+
+
+def write_two_layouts(spark: SparkSession, sf_dir: str) -> str:
+    """All line items as raw yearly CSV files per line status, the later years in another layout."""
+    lines = table(spark, sf_dir, "lineitem")
+    source = F.concat("l_linestatus", F.lit("_"), F.year("l_shipdate"), F.lit("_hourly")).alias("source")
+    later = F.year("l_shipdate") >= NEW_LAYOUT_FROM
+    path = scratch_dir(spark, "raw-layouts")
+    parts = [
+        lines.filter(~later).select("l_shipdate", "l_extendedprice", "l_discount", source),
+        lines.filter(later).select(
+            F.col("l_discount").alias("Reduction"), F.col("l_discount").alias("l_discount"),
+            F.lit("a, note").alias("Remark"), F.col("l_extendedprice").alias("Price (net)"),
+            F.col("l_shipdate").alias("Shipped at"), source,
+        ).withColumn("l_discount", -F.col("l_discount")),
+    ]
+    for part in parts:
+        (
+            compacted(part, "source").write.mode("append").partitionBy("source")
+            .option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        )
+    return path
