@@ -1,6 +1,10 @@
 import html
+import random
 import re
+import resource
+import time
 
+import pytest
 from tests.llm.helpers import SF, by_id
 
 from tidewatt.llm import pages as op
@@ -127,3 +131,67 @@ def test_blocks_that_the_reference_lacks_second_layouts_and_copies(spark):
     assert [found[100 + k]["text"] for k in range(5)] == [f"thing {k}" for k in range(5)]
     assert {found[200 + k]["text"] for k in range(40)} == {"a line\n\nthe article"}
     assert [found[300 + k]["text"] for k in range(5)] == [f"other {k}\n\nwords {k}" for k in range(5)]
+
+
+def tree(rng, depth=3):
+    node = op.Node("div", rng.choice(["div", "div x", "p"]), "")
+    node.pieces = [rng.choice(["", "a", "b"])]
+    for _ in range(rng.randrange(4) if depth else 0):
+        child = tree(rng, depth - 1)
+        node.children.append(child)
+        node.pieces.append(child)
+    return node
+
+
+def numbered(root):
+    nodes = op.aligned_nodes(root)
+    return {n.number: op.own_text(n) for n in nodes}
+
+
+def best_weight(a, b, texts, others):
+    """The heaviest of all matchings, every pairing of children in order tried."""
+
+    def pairings(left, right):
+        if not left or not right:
+            return 0
+        best = max(pairings(left[1:], right), pairings(left, right[1:]))
+        if left[0].name == right[0].name:
+            best = max(best, best_weight(left[0], right[0], texts, others) + pairings(left[1:], right[1:]))
+        return best
+
+    return 1 + 0.5 * (texts[a.number] == others[b.number]) + pairings(a.children, b.children)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_matching_is_the_heaviest(seed, monkeypatch):
+    rng = random.Random(seed)
+    one, two = tree(rng), tree(rng)
+    texts, others = numbered(one), numbered(two)
+    expected = best_weight(one, two, texts, others)
+    seen = []
+    for small in (10**9, 0):  # by lists, by arrays
+        monkeypatch.setattr(op, "SMALL_TABLE", small)
+        assert op.weight(one, two, texts, others, {}) == expected
+        pairs = op.matched(one, two, texts, others)
+        assert sum(1 + 0.5 * (texts[a.number] == others[b.number]) for a, b in pairs) == expected
+        seen.append([(a.number, b.number) for a, b in pairs])
+    assert seen[0] == seen[1]
+
+
+def test_large_pages_take_bounded_time_and_memory():
+    page, other = (f"<ul>{''.join(f'<li>item {k * step}' for k in range(20_000))}</ul>" for step in (1, 3))
+    resource.getrusage(resource.RUSAGE_SELF)
+    before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    found = op.same_text_pairs(op.parse(page), op.reference_tree(other))
+    assert len(found) == 6667 and time.process_time() - start < 30
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+    start = time.process_time()
+    op.parse("<i><div>" * 4000 + "</b></p></td>" * 4000)
+    assert time.process_time() - start < 2
+
+
+def test_pages_of_a_layout_have_one_key():
+    page = "<body class='top wide'><div class=box12><article><div class=inner>{}</div></article></div><script>{}</script>"
+    keys = [op.page_keys(op.parse(page.format(text, script))) for text, script in (("a  b", "x"), ("a b", "y"), ("c", "x"))]
+    assert keys[0] == keys[1] != keys[2] and keys[0][0] == keys[2][0]
+    assert op.page_keys(op.parse(page.replace("wide", "slim")))[0] != keys[0][0]

@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(frame: DataFrame, label: str) -> DataFrame:
+def saved(frame: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The frame written to the shared scratch folder and read back, so lineage ends there."""
     spark = frame.sparkSession
     path = scratch_dir(spark, label)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 

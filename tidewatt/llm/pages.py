@@ -25,7 +25,11 @@ host.  Reference pages: the page with the lowest hash of each layout, one of up
 to ``REFERENCE_BYTES`` if there is any.  Pages meet the reference and template of
 their layout in joins; those sides are broadcast up to a counted bound.
 
-Defined results: a null, empty or text-free page gives an empty text.  A page
+A page is parsed once for its keys (host, layout, digest), which are saved beside it.  Matching
+takes the product of two nodes' numbers of children in time, and two bits for each such pair in memory.
+
+Since a heading with the same words on half of a layout's pages ("Summary") is constant, it is template
+and goes from articles too.  Defined results: a null, empty or text-free page gives an empty text.  A page
 without a readable host belongs to the host "".  Repeated pages each get a row.
 Elements may be nested at any depth.
 """
@@ -35,9 +39,11 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +60,8 @@ TOKEN = re.compile(
 )
 DIGIT = re.compile(r"[0-9]")
 NAMED = re.compile(r"""(?:^|[\s/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-CONTAINER = (
-    r"<(?:body|main|article|section|div|table)\s[^<>]*?\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-)
+CONTAINERS = {"body", "main", "section", "div", "table"}
+UNREAD = {"script", "style", "head"}
 # HTML's own element names by their meaning there.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -119,6 +124,7 @@ def parse(page: str) -> Node:
     """The page's tree; missing end tags are read as HTML reads them."""
     root = Node("#page", "", "")
     stack = [root]
+    opened: Counter[str] = Counter()  # elements on the stack, so that no end tag looks for one that is not there
     at = 0
 
     def text(piece: str) -> None:
@@ -126,6 +132,8 @@ def parse(page: str) -> Node:
             stack[-1].pieces.append(entities.unescape(piece) if "&" in piece else piece)
 
     def close(upto: int) -> None:
+        for node in stack[upto:]:
+            opened[node.tag] -= 1
         del stack[upto:]
 
     while m := TOKEN.search(page, at):
@@ -135,6 +143,8 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
+            if not opened[tag]:
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     close(k)
@@ -142,7 +152,7 @@ def parse(page: str) -> Node:
                 if stack[k].tag in {"article", "table", "td", "body"} and tag in INLINE | {"p", "li"}:
                     break
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
                     close(k)
@@ -151,7 +161,7 @@ def parse(page: str) -> Node:
                     break
         if tag in ALIKE:
             same, bounds = ALIKE[tag]
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[x] for x in same) else ():
                 if stack[k].tag in same:
                     close(k)
                     if tag != "tr" or stack[-1].tag not in same:
@@ -172,6 +182,7 @@ def parse(page: str) -> Node:
             at = page.find(">", at) + 1 or len(page)
         elif tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     text(page[at:])
     settle_names(root)
     return root
@@ -267,12 +278,34 @@ def weight(one: Node, two: Node, texts: dict[int, str], others: dict[int, str],
         todo.pop()
         if key not in known:
             total = 1.0 + 0.5 * (texts[a.number] == others[b.number])
-            known[key] = total + (child_table(a, b, texts, others, known)[-1][-1] if a.children and b.children else 0)
+            known[key] = total + (children_weight(a, b, texts, others, known) if a.children and b.children else 0)
     return known[one.number, two.number]
 
 
+def child_rows(one: Node, two: Node, texts, others, known) -> Iterator[np.ndarray]:
+    """Heaviest matchings of the first children of both, one row for each child of ``one``; pairs that both have children are known."""
+    numbers: dict = {}
+    names = np.array([numbers.setdefault(b.name, len(numbers)) for b in two.children])
+    words = np.array([numbers.setdefault((others[b.number],), len(numbers)) for b in two.children])
+    inner = np.flatnonzero([bool(b.children) for b in two.children])
+    row = np.zeros(len(names) + 1)
+    yield row
+    for a in one.children:
+        same = names == numbers.get(a.name, -1)
+        each = 1.0 + 0.5 * (words == numbers.get((texts[a.number],), -1))
+        if a.children:
+            for k in inner[same[inner]]:
+                each[k] = known[a.number, two.children[k].number]
+        best = np.where(same, row[:-1] + each, 0.0)
+        row = np.append(0.0, np.maximum.accumulate(np.maximum(best, row[1:])))
+        yield row
+
+
+SMALL_TABLE = 2048
+
+
 def child_table(one: Node, two: Node, texts, others, known) -> list[list[float]]:
-    """Heaviest matchings of the first children of both; pairs that both have children are known."""
+    """The rows of a small table, without arrays."""
     table = [[0.0] * (len(two.children) + 1)]
     for a in one.children:
         above, row, mine = table[-1], [0.0], texts[a.number]
@@ -287,6 +320,49 @@ def child_table(one: Node, two: Node, texts, others, known) -> list[list[float]]
     return table
 
 
+def is_small(one: Node, two: Node) -> bool:
+    return len(one.children) * len(two.children) <= SMALL_TABLE
+
+
+def children_weight(one: Node, two: Node, texts, others, known) -> float:
+    if is_small(one, two):
+        return child_table(one, two, texts, others, known)[-1][-1]
+    for row in child_rows(one, two, texts, others, known):
+        last = row[-1]
+    return float(last)
+
+
+def child_pairs(one: Node, two: Node, texts, others, known) -> list[tuple[Node, Node]]:
+    """The matched children, last first; of equal matchings the one that leaves out later children of ``one``, then of ``two``.
+
+    A large table is kept as two bits a cell: whether a cell equals the one above, and the one before.
+    """
+    if is_small(one, two):
+        table = child_table(one, two, texts, others, known)
+        above = lambda i, j: table[i][j] == table[i - 1][j]
+        before = lambda i, j: table[i][j] == table[i][j - 1]
+    else:
+        rows, ups, lefts = child_rows(one, two, texts, others, known), [], []
+        last = next(rows)
+        for row in rows:
+            ups.append(np.packbits(row == last))
+            lefts.append(np.packbits(row[1:] == row[:-1]))
+            last = row
+        above = lambda i, j: ups[i - 1][j >> 3] >> (7 - (j & 7)) & 1
+        before = lambda i, j: lefts[i - 1][(j - 1) >> 3] >> (7 - ((j - 1) & 7)) & 1
+    pairs = []
+    i, j = len(one.children), len(two.children)
+    while i and j:
+        if above(i, j):
+            i -= 1
+        elif before(i, j):
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            pairs.append((one.children[i], two.children[j]))
+    return pairs
+
+
 def matched(one: Node, two: Node, texts, others) -> list[tuple[Node, Node]]:
     """Pairs of the heaviest matching, from the roots down."""
     known: dict = {}
@@ -295,18 +371,8 @@ def matched(one: Node, two: Node, texts, others) -> list[tuple[Node, Node]]:
     while todo:
         a, b = todo.pop()
         pairs.append((a, b))
-        if not (a.children and b.children):
-            continue
-        table = child_table(a, b, texts, others, known)
-        i, j = len(a.children), len(b.children)
-        while i and j:
-            if table[i][j] == table[i - 1][j]:
-                i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((a.children[i], b.children[j]))
+        if a.children and b.children:
+            todo += child_pairs(a, b, texts, others, known)
     return pairs
 
 
@@ -400,19 +466,47 @@ def main_text(page: str, reference: str | None, template: list[int]) -> str:
     return "\n\n".join(t for t in texts if t)
 
 
+def code(*parts: str) -> int:
+    """A 64-bit hash."""
+    data = "\0".join(parts).encode("utf-8", "replace")
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "big", signed=True)
+
+
+def page_keys(root: Node) -> tuple[int, int]:
+    """Layout and digest: hashes of the containers' lasting names outside of articles, and of all words."""
+    names: set[str] = set()
+    strings: list[str] = []
+    holds = {"article": False, "main": False}
+    todo: list = [(root, False)]
+    while todo:
+        piece, inside = todo.pop()
+        if isinstance(piece, str):
+            strings.append(piece)
+        elif piece.tag not in UNREAD:
+            if not inside:
+                if piece.tag in holds:
+                    holds[piece.tag] = True
+                inside = piece.tag == "article"
+                if not inside and piece.tag in CONTAINERS:
+                    names.update(piece.name.split()[1:])
+            todo += [(x, inside) for x in reversed(piece.pieces)]
+    layout = code(*sorted(names - NO_CONTENT_NAMES), str(holds["article"]), str(holds["main"]))
+    return layout, code(" ".join(" ".join(strings).split()))
+
+
 def with_layout(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, host, layout, digest: hashes of the containers' names outside of articles, and of all text."""
+    """page_id, url, html, host, layout, digest of every page, each parsed once; saved, since four steps read them."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    page = F.coalesce("html", F.lit(""))
-    seen = F.regexp_replace(page, r"(?is)<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", " ")
-    words = F.trim(F.regexp_replace(F.regexp_replace(seen, "<[^>]*>", " "), r"\s+", " "))
-    frame = F.lower(F.regexp_replace(seen, r"(?is)<article\b.*</article\s*>", "<article>"))
-    named = F.regexp_extract_all(frame, F.lit(CONTAINER), F.lit(1))
-    names = F.flatten(F.transform(named, lambda x: F.split(F.translate(x, "\"'", ""), r"\s+")))
-    lasting = F.filter(names, lambda x: ~x.rlike("[0-9]") & ~x.isin(*sorted(NO_CONTENT_NAMES)))
-    layout = F.xxhash64(F.array_sort(F.array_distinct(lasting)), F.contains(frame, F.lit("<article")), F.contains(frame, F.lit("<main")))
-    return pages.select(
-        "page_id", "url", page.alias("html"), host.alias("host"), layout.alias("layout"), F.xxhash64(words).alias("digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            keys = [page_keys(parse(page)) for page in batch.column(2).to_pylist()]
+            added = [pa.array([key[k] for key in keys], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "layout", "digest"])
+
+    read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    schema = "page_id bigint, url string, html string, host string, layout bigint, digest bigint"
+    return saved(read.mapInArrow(run, schema), "op10-pages", compression="zstd")
 
 
 def layouts(pages: DataFrame) -> DataFrame:
