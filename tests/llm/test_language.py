@@ -1,6 +1,10 @@
 import math
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +74,50 @@ def test_words_of_all_tails_share_one(spark):
     assert math.isclose(sum(math.exp(x) for x in each), 1, rel_tol=1e-4)
 
 
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(op, "PART_TOKENS", 20_000)
+    docs = table(spark, SF, "documents")
+    assert op.part_count(130_000) == 6
+    one, many = (
+        {r.doc_id: r.score for r in op.language_scores(docs.repartition(n)).collect()} for n in (1, 16)
+    )
+    assert all(math.isclose(one[k], many[k], rel_tol=1e-6) for k in one)
+
+
+def test_broadcasts_hold_no_class_of_the_package(spark):
+    import pickle
+    import pickletools
+
+    words = op.Vocabulary(op.counted(documents(spark, ["a b c"] * 3)))
+    assert not any("tidewatt" in str(arg) for _, arg, _ in pickletools.genops(pickle.dumps(vars(words))))
+    again = op.Vocabulary.of(vars(words))
+    assert again.total == 12 and again.look_up(words.hashes, np.zeros(3, np.int64))[1].tolist() == [3, 3, 3]
+
+
+def test_workers_without_the_package(tmp_path):
+    """In a process whose workers cannot import the package, all operators run that send models to tasks."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).config("spark.sql.shuffle.partitions", "2").getOrCreate())
+from tidewatt.llm import registry
+import os
+def has(_):
+    import importlib.util
+    return [importlib.util.find_spec("tidewatt") is not None]
+print("PACKAGE", spark.sparkContext.parallelize([0], 1).mapPartitions(has).collect())
+for name in ("op9_language", "op12_secrets", "op4_quality"):
+    print("ROWS", name, registry.queries()[name](spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    lines = run.stdout.splitlines()
+    assert "PACKAGE [False]" in lines, run.stderr[-2000:]
+    assert [line.split()[2] for line in lines if line.startswith("ROWS")] == ["200"] * 3
+
+
 def rest(weights, symbol):
     """What the end after ``symbol`` adds, by stepping by hand."""
     h = np.zeros((1, gru.HIDDEN), np.float32)
@@ -121,9 +169,10 @@ def test_every_training_document_is_learned_from_once(spark, monkeypatch):
         seen.add(len(starts) - 1)
 
     monkeypatch.setattr(gru.Trainer, "learn", learn)
+    monkeypatch.setattr(op, "PART_TOKENS", 3000)
     words = op.Vocabulary(op.counted(docs))
     weights = op.fit(docs, words)
-    assert seen.value == 4000
+    assert seen.value == 4000 and op.part_count(words.total) > 4
     start = op.started(words)
     assert all(np.allclose(weights[k], start[k], rtol=1e-5) for k in start)
 

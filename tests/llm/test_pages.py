@@ -179,12 +179,11 @@ def test_matching_is_the_heaviest(seed, monkeypatch):
 
 
 def test_large_pages_take_bounded_time_and_memory():
-    page, other = (f"<ul>{''.join(f'<li>item {k * step}' for k in range(20_000))}</ul>" for step in (1, 3))
-    resource.getrusage(resource.RUSAGE_SELF)
+    page, other = (f"<ul>{''.join(f'<li>item {k}' for k in range(0, 20_000, step))}</ul>" for step in (1, 4))
     before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
     found = op.same_text_pairs(op.parse(page), op.reference_tree(other))
-    assert len(found) == 6667 and time.process_time() - start < 30
-    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+    assert len(found) == 5000 and time.process_time() - start < 10
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000
     start = time.process_time()
     op.parse("<i><div>" * 4000 + "</b></p></td>" * 4000)
     assert time.process_time() - start < 2

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,16 @@ def remainder(doc_id, divisor: int):
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % divisor
 
 
+def one_thread() -> None:
+    """Matrix products of this process take one thread, as a task has one core; threads beyond that only wait for each other."""
+    for path in Path(np.__file__).parent.with_name("numpy.libs").glob("*openblas*"):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 # --- words of an Arrow column, hashed without a Python loop over words -------
 
 CHUNK_BYTES = 1 << 18

@@ -12,9 +12,10 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN, CLASSES = 32, 32
-WINDOW, LANES = 32, 64  # in training
+WINDOW, LANES = 32, 256  # in training
+FEW_LANES, LONG_WINDOW = 32, 128  # the end of long sequences, with few lanes beside each other
 SCORE_WINDOW, SCORE_LANES = 64, 256  # fewer, larger array operations
-RATE = 0.006
+RATE = 0.012
 Weights = dict[str, np.ndarray]
 
 
@@ -33,10 +34,6 @@ def initial(symbols: int, seed: int = 1) -> Weights:
     return weights
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
     """Sequences dealt to lanes, longest first to the shortest lane; the longest lane comes first."""
     import heapq
@@ -80,38 +77,62 @@ class Tape:
         return self.lane[: self.width[step]] + step
 
 
-def advance(w: Weights, h: np.ndarray, source: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of all lanes: the new state, and what the way back needs."""
+    def span(self, begin: int, window: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Places of the symbols of some steps, one step after the other, and each step's bounds in that list."""
+        steps = [self.at(t) for t in range(begin, min(begin + window, self.steps))]
+        ends = np.cumsum([len(at) for at in steps]).tolist()
+        return np.concatenate(steps), list(zip([0, *ends], ends, strict=False))
+
+
+def forward(w: Weights, h: np.ndarray, read: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One step of all lanes, from what they read: the new state, and what the way back needs."""
     if first.any():
-        h = np.where(first[:, None], np.float32(0), h)
-    read, kept = w["x"][source], h @ w["u"]
-    gates = sigmoid(read[:, : 2 * HIDDEN] + kept[:, : 2 * HIDDEN])
-    r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    new = np.tanh(read[:, 2 * HIDDEN :] + r * kept[:, 2 * HIDDEN :])
-    return new + z * (h - new), h, r, z, new, kept[:, 2 * HIDDEN :]
+        h = np.where(first[:, None], h.dtype.type(0), h)
+    kept = h @ w["u"]
+    gates = read[:, : 2 * HIDDEN] + kept[:, : 2 * HIDDEN]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    inner = kept[:, 2 * HIDDEN :]
+    new = gates[:, :HIDDEN] * inner
+    new += read[:, 2 * HIDDEN :]
+    np.tanh(new, out=new)
+    state = h - new
+    state *= gates[:, HIDDEN:]
+    state += new
+    return state, h, gates, new, inner
+
+
+def advance(w: Weights, h: np.ndarray, source: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One step of all lanes, from the symbols that they read."""
+    return forward(w, h, w["x"][source], first)
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    """Of each row; ``x`` is used up."""
+    x -= x.max(1, keepdims=True)
+    x -= np.log(np.exp(x).sum(1, keepdims=True))
+    return x
 
 
 def outputs(w: Weights, states: np.ndarray, target: np.ndarray):
-    """Natural log-likelihood of each target; per class, the rows, log-softmax and places for the way back."""
+    """Natural log-likelihood of each target; what the way back needs: log-softmax of the classes, and, in the order
+    of the targets' classes, the states, places in the class, and per class its bounds and log-softmax."""
     members = w["member"].shape[2]
     of, place = target // members, target % members
     classes = log_softmax(states @ w["class"] + w["class_b"])
-    rows = np.arange(len(target))
-    score = classes[rows, of]
-    order = np.argsort(of, kind="stable")
+    score = classes[np.arange(len(target)), of]
+    order = np.argsort(of.astype(np.int16), kind="stable")
+    ordered, place = states[order], place[order]
+    edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
     parts = []
-    for group in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-        if len(group):
-            c = of[group[0]]
-            inside = log_softmax(states[group] @ w["member"][c] + w["member_b"][c])
-            score[group] += inside[np.arange(len(group)), place[group]]
-            parts.append((c, group, inside))
-    return score, classes, of, place, parts
+    for c, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+        if start < end:
+            inside = log_softmax(ordered[start:end] @ w["member"][c] + w["member_b"][c])
+            score[order[start:end]] += inside[np.arange(end - start), place[start:end]]
+            parts.append((c, start, end, inside))
+    return score, classes, of, order, ordered, place, parts
 
 
 def chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -142,20 +163,20 @@ def likelihoods(w: Weights, symbols: np.ndarray, starts: np.ndarray, count: int
     """Natural log-likelihood of each whole sequence."""
     tape = Tape(symbols, starts, count)
     score = np.zeros(len(symbols), np.float64)
-    h = np.zeros((len(tape.lane), HIDDEN), np.float32)
+    h = np.zeros((len(tape.lane), HIDDEN), w["u"].dtype)
     for begin in range(0, tape.steps, SCORE_WINDOW):
-        steps = [tape.at(t) for t in range(begin, min(begin + SCORE_WINDOW, tape.steps))]
-        states = []
-        for at in steps:
-            h = advance(w, h[: len(at)], tape.source[at], tape.first[at])[0]
-            states.append(h)
-        where = np.concatenate(steps)
-        score[tape.place[where]] = target_scores(w, np.concatenate(states), tape.target[where])
+        where, bounds = tape.span(begin, SCORE_WINDOW)
+        read, first = w["x"][tape.source[where]], tape.first[where]
+        states = np.empty((len(where), HIDDEN), h.dtype)
+        for start, end in bounds:
+            h = forward(w, h[: end - start], read[start:end], first[start:end])[0]
+            states[start:end] = h
+        score[tape.place[where]] = target_scores(w, states, tape.target[where])
     return np.add.reduceat(score, starts[:-1]) if len(starts) > 1 else np.zeros(0)
 
 
 class Trainer:
-    """Adam steps on windows of truncated backpropagation."""
+    """Adam steps on windows of truncated backpropagation, from given weights, moments and number of steps."""
 
     def __init__(self, symbols: int) -> None:
         self.w = initial(symbols)
@@ -163,56 +184,92 @@ class Trainer:
         self.square = {k: np.zeros_like(v) for k, v in self.w.items()}
         self.step = 0
 
+    def packed(self) -> np.ndarray:
+        """Weights and moments as one array of fixed size, the number of steps last."""
+        values = [part[k].ravel() for part in (self.w, self.mean, self.square) for k in sorted(part)]
+        return np.append(np.concatenate(values).astype(np.float64), self.step)
+
+    def unpack(self, values: np.ndarray) -> None:
+        at = 0
+        for part in (self.w, self.mean, self.square):
+            for k in sorted(part):
+                part[k] = values[at : at + part[k].size].astype(np.float32).reshape(part[k].shape)
+                at += part[k].size
+        self.step = round(float(values[at]))
+
     def learn(self, symbols: np.ndarray, starts: np.ndarray) -> None:
         tape = Tape(symbols, starts, LANES)
-        h = np.zeros((len(tape.lane), HIDDEN), np.float32)
-        for begin in range(0, tape.steps, WINDOW):
-            h = self.window(tape, h, range(begin, min(begin + WINDOW, tape.steps)))
-
-    def window(self, tape: Tape, h: np.ndarray, steps: range) -> np.ndarray:
-        w, kept = self.w, []
-        for t in steps:
-            at = tape.at(t)
-            h, *rest = advance(w, h[: len(at)], tape.source[at], tape.first[at])
-            kept.append((h, rest))
-        states = np.concatenate([x[0] for x in kept])
-        target = np.concatenate([tape.target[tape.at(t)] for t in steps])
-        _, classes, of, place, parts = outputs(w, states, target)
-        total = np.float32(1 / len(target))
+        h = np.zeros((len(tape.lane), HIDDEN), self.w["u"].dtype)
+        begin = 0
+        while begin < tape.steps:
+            size = WINDOW if tape.width[begin] > FEW_LANES else LONG_WINDOW
+            h = self.window(tape, h, begin, size)
+            begin += size
+
+    def window(self, tape: Tape, h: np.ndarray, begin: int, size: int) -> np.ndarray:
+        w = self.w
+        where, bounds = tape.span(begin, size)
+        source, target, first = tape.source[where], tape.target[where], tape.first[where]
+        read = w["x"][source]
+        states, before, new, inner = (np.empty((len(where), HIDDEN), h.dtype) for _ in range(4))
+        gates = np.empty((len(where), 2 * HIDDEN), h.dtype)
+        for start, end in bounds:
+            h, before[start:end], gates[start:end], new[start:end], inner[start:end] = forward(
+                w, h[: end - start], read[start:end], first[start:end])
+            states[start:end] = h
+        _, classes, of, order, ordered, place, parts = outputs(w, states, target)
+        total = h.dtype.type(1 / len(target))
         grad = {k: np.zeros_like(v) for k, v in w.items()}
-        back = np.exp(classes)
+        back = np.exp(classes, out=classes)
         back[np.arange(len(target)), of] -= 1
         back *= total
         grad["class"], grad["class_b"] = states.T @ back, back.sum(0)
         down = back @ w["class"].T
-        for c, group, inside in parts:
-            back = np.exp(inside)
-            back[np.arange(len(group)), place[group]] -= 1
+        below = np.empty_like(down)
+        for c, start, end, inside in parts:
+            back = np.exp(inside, out=inside)
+            back[np.arange(end - start), place[start:end]] -= 1
             back *= total
-            grad["member"][c], grad["member_b"][c] = states[group].T @ back, back.sum(0)
-            down[group] += back @ w["member"][c].T
-        self.through_time(tape, steps, kept, down, grad)
+            grad["member"][c], grad["member_b"][c] = ordered[start:end].T @ back, back.sum(0)
+            np.matmul(back, w["member"][c].T, out=below[start:end])
+        down[order] += below
+        self.through_time(bounds, source, first, (before, gates, new, inner), down, grad)
         self.apply(grad)
         return h
 
-    def through_time(self, tape: Tape, steps: range, kept: list, down: np.ndarray, grad: Weights) -> None:
-        w, end = self.w, len(down)
-        later = np.zeros((0, HIDDEN), np.float32)
-        for t, (_, (before, r, z, new, inner)) in zip(reversed(steps), reversed(kept), strict=True):
-            n = len(before)
-            dh = down[end - n : end].copy()
-            end -= n
+    def through_time(self, bounds: list, source: np.ndarray, first: np.ndarray, kept: tuple, down: np.ndarray, grad: Weights) -> None:
+        """Factors of all steps at once; only the recursion goes step by step."""
+        before, gates, new, inner = kept
+        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        open_z = 1 - z
+        to_z = before - new
+        to_z *= z
+        to_z *= open_z
+        to_new = np.square(new, out=new)
+        np.subtract(1, to_new, out=to_new)
+        to_new *= open_z
+        to_r = np.subtract(1, r, out=open_z)
+        to_r *= r
+        to_r *= inner
+        read, turned = np.empty((len(source), 3 * HIDDEN), down.dtype), np.ascontiguousarray(self.w["u"].T)
+        state = np.empty_like(read)
+        later = np.zeros((0, HIDDEN), down.dtype)
+        for start, end in reversed(bounds):
+            dh = down[start:end]
             dh[: len(later)] += later
-            dnew = dh * (1 - z) * (1 - new * new)
-            dz = dh * (before - new) * z * (1 - z)
-            dr = dnew * inner * r * (1 - r)
-            dread = np.concatenate([dr, dz, dnew], 1)
-            dkept = np.concatenate([dr, dz, dnew * r], 1)
-            at = tape.at(t)
-            np.add.at(grad["x"], tape.source[at], dread)
-            grad["u"] += before.T @ dkept
-            later = dh * z + dkept @ w["u"].T
-            later[tape.first[at]] = 0
+            dread, dkept = read[start:end], state[start:end]
+            dnew = np.multiply(dh, to_new[start:end], out=dread[:, 2 * HIDDEN :])
+            np.multiply(dh, to_z[start:end], out=dread[:, HIDDEN : 2 * HIDDEN])
+            np.multiply(dnew, to_r[start:end], out=dread[:, :HIDDEN])
+            dkept[:, : 2 * HIDDEN] = dread[:, : 2 * HIDDEN]
+            np.multiply(dnew, r[start:end], out=dkept[:, 2 * HIDDEN :])
+            later = dh * z[start:end]
+            later += dkept @ turned
+            later[first[start:end]] = 0
+        grad["u"] = before.T @ state
+        order = np.argsort(source, kind="stable")
+        edges = np.flatnonzero(np.diff(source[order], prepend=-1))
+        grad["x"][source[order[edges]]] = np.add.reduceat(read[order], edges)
 
     def apply(self, grad: Weights) -> None:
         self.step += 1

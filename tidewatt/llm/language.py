@@ -9,20 +9,27 @@ Counts cover all training documents (crc32 of the id modulo 10 is not 0): one
 aggregate of words counted task by task.  The ``FREQUENT`` most frequent words go
 to all tasks, a fixed bound; counts of all other words meet the documents in a
 join.  The network starts from the symbols' shares and learns from every training
-document once, in ``ROUNDS`` rounds over disjoint parts: each task goes on from
-the same weights, and the tasks' weights, of fixed size, are averaged by tokens.
-So the weights depend on how the rows are dealt to tasks.  Documents are scored
-whole, in lanes, with the state carried from window to window.  Words are told
-apart by 64-bit hashes.
+document once, in ``ROUNDS`` rounds over disjoint shares of the documents.  In a
+round the documents are dealt to parts of about ``PART_TOKENS`` tokens a run, by
+a hash of the row: the number of parts follows the training tokens, not the tasks or files.
+Every part goes on from the same weights and optimiser moments, takes its
+documents in the order of their hashes, and what the parts reach, of fixed size, is
+averaged by tokens.  So the weights do not depend on how the rows are dealt to tasks.
+Rows that agree in id and text go to one part, as symbols of two bytes a token.
+Documents are scored whole, in lanes, with the state carried from window to window.
+Words are told apart by 64-bit hashes.
 
 Defined results: a null or empty text is the end alone.  Repeated rows each get a
 row and are each counted.  Rows with a null id count as those with the id "".
-Without training documents every count is 0.
+Without training documents every count is 0.  Of words with equal counts at the edge
+of the most frequent ones, those with the smaller hash are in.  Further columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatt.llm import gru
-from tidewatt.llm.common import LOWERED, chunks, hash_spans, remainder, saved, split_words, text_bytes
+from tidewatt.llm.common import LOWERED, chunks, hash_spans, one_thread, remainder, saved, split_words, text_bytes
 
 FREQUENT = 1 << 15
 SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
 ROUNDS = 3
-PIECES = 16  # of the weights, to be added up apart
+PART_TOKENS = 4_000_000  # of all rounds together
+LEARN_TOKENS = 1_000_000  # learnt from at a time, so that many lanes are long
+PIECES = 16  # of what the parts reach, to be added up apart
 RUN_BYTES = 1 << 20  # text read at once
 SCORE_TOKENS = 2_000_000  # about as many go through the network at once, whole documents only
 COUNT_RUN = 1 << 23
@@ -107,6 +116,13 @@ class Vocabulary:
         order = np.argsort(hashes)
         self.hashes, self.counts, self.symbols = hashes[order], c[order], symbol[order]
 
+    @classmethod
+    def of(cls, state: dict) -> Vocabulary:
+        """The vocabulary of ``vars()``: tasks get plain arrays, since broadcasts carry no code and executors lack the package."""
+        words = cls.__new__(cls)
+        vars(words).update(state)
+        return words
+
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
@@ -141,74 +157,95 @@ def started(words: Vocabulary) -> gru.Weights:
     return weights
 
 
-def packed(weights: gru.Weights) -> np.ndarray:
-    return np.concatenate([weights[k].ravel() for k in sorted(weights)]).astype(np.float64)
-
+def part_count(tokens: int) -> int:
+    return max(1, round(tokens / PART_TOKENS))
 
-def unpacked(values: np.ndarray) -> gru.Weights:
-    start, at, found = gru.initial(SYMBOLS), 0, {}
-    for k in sorted(start):
-        found[k] = values[at : at + start[k].size].astype(np.float32).reshape(start[k].shape)
-        at += start[k].size
-    return found
 
+def learned(training: DataFrame, words: Vocabulary, state: np.ndarray, parts: int) -> np.ndarray:
+    """Average, by tokens, of what the parts reach from ``state`` on their documents."""
+    spark = training.sparkSession
+    shared = spark.sparkContext.broadcast((vars(words), state))
 
-def learned(training: DataFrame, words: Vocabulary, weights: gru.Weights) -> gru.Weights:
-    """Average, by tokens, of the weights that the tasks reach on their documents, a run of texts at a time."""
-    shared = training.sparkSession.sparkContext.broadcast((words, weights))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = shared.value
-        trainer = gru.Trainer(SYMBOLS)
-        trainer.w = {k: v.copy() for k, v in weights.items()}
-        size = 0
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Vocabulary.of(shared.value[0])
         for batch in batches:
             for part in chunks(batch, "text", RUN_BYTES):
-                hashes, tail, starts = tokens(part.column(0))
-                trainer.learn(words.look_up(hashes, tail)[0].astype(np.int32), starts)
-                size += len(hashes)
-        if size:
-            pieces = np.array_split(packed(trainer.w) * size, PIECES)
-            yield rows(list(range(PIECES)), pieces, [size] * PIECES)
+                hashes, tail, starts = tokens(part.column(2))
+                symbol = words.look_up(hashes, tail)[0].astype(np.int16)
+                pieces = [symbol[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(pieces, pa.large_binary())], names=["part", "place", "symbols"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
+        documents = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
+        for part, group in groupby(documents, key=itemgetter(0)):
+            trainer = gru.Trainer(SYMBOLS)
+            trainer.unpack(shared.value[1])
+            size, held, waiting = 0, [], 0
+            for _, data in group:
+                held.append(np.frombuffer(data, np.int16))
+                size, waiting = size + len(held[-1]), waiting + len(held[-1])
+                if waiting >= LEARN_TOKENS:
+                    learn_from(trainer, held)
+                    held, waiting = [], 0
+            if held:
+                learn_from(trainer, held)
+            pieces = np.array_split(trainer.packed() * size, PIECES)
+            yield rows(list(range(PIECES)), [part] * PIECES, pieces, [size] * PIECES)
+
+    def learn_from(trainer: gru.Trainer, held: list[np.ndarray]) -> None:
+        starts = np.cumsum([0, *map(len, held)])
+        trainer.learn(np.concatenate(held).astype(np.int32), starts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         sizes: dict[int, int] = {}
         for batch in batches:
-            for k, value, size in zip(*batch.columns, strict=True):
+            for k, _, value, size in zip(*batch.columns, strict=True):
                 k = k.as_py()
                 sums[k] = sums.get(k, 0) + np.frombuffer(value.as_py(), np.float64)
                 sizes[k] = sizes.get(k, 0) + size.as_py()
-        yield rows(list(sums), list(sums.values()), [sizes[k] for k in sums])
+        yield rows(list(sums), [0] * len(sums), list(sums.values()), [sizes[k] for k in sums])
 
-    def rows(pieces: list, values: list, sizes: list) -> pa.RecordBatch:
+    def rows(pieces: list, parts: list, values: list, sizes: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.int64()), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(sizes, pa.int64())],
-            names=["piece", "value", "size"])
+            [pa.array(pieces, pa.int64()), pa.array(parts, pa.int64()), pa.array([v.tobytes() for v in values], pa.binary()),
+             pa.array(sizes, pa.int64())], names=["piece", "part", "value", "size"])
 
-    schema = "piece bigint, value binary, size bigint"
-    each = training.select("text").mapInArrow(run, schema)
-    found = sorted(each.repartition(PIECES, "piece").mapInArrow(add, schema).collect())  # PIECES rows of fixed size
-    if not found:
-        return weights
-    return unpacked(np.concatenate([np.frombuffer(r.value, np.float64) / r.size for r in found]))
+    schema = "piece bigint, part bigint, value binary, size bigint"
+    dealt = (
+        training.select("part", "place", "text").mapInArrow(symbols, "part bigint, place bigint, symbols binary")
+        .repartition(parts, "part").sortWithinPartitions("part", "place", "symbols")
+    )
+    each = dealt.mapInArrow(learn, schema).repartition(PIECES, "piece").sortWithinPartitions("piece", "part")
+    found = sorted(each.mapInArrow(add, schema).collect())  # PIECES rows of fixed size
+    return np.concatenate([np.frombuffer(r.value, np.float64) / r.size for r in found]) if found else state
 
 
 def fit(training: DataFrame, words: Vocabulary) -> gru.Weights:
     """Weights from all training documents."""
-    weights = started(words)
+    trainer = gru.Trainer(SYMBOLS)
+    trainer.w = started(words)
+    state, parts = trainer.packed(), part_count(words.total)
+    place = F.xxhash64("doc_id", "text")
+    hashed = training.select(
+        "text", place.alias("place"), F.pmod(place, F.lit(ROUNDS)).alias("round"),
+        F.pmod(F.xxhash64(place), F.lit(parts)).alias("part"),
+    )
     for k in range(ROUNDS):
-        part = training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k)
-        weights = learned(part, words, weights)
-    return weights
+        state = learned(hashed.filter(F.col("round") == k), words, state, parts)
+    trainer.unpack(state)
+    return trainer.w
 
 
 def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> DataFrame:
     """Per row: n_tokens, and sums over the tokens whose counts are known in the task; the others as lists."""
-    shared = documents.sparkSession.sparkContext.broadcast((words, weights))
+    shared = documents.sparkSession.sparkContext.broadcast((vars(words), weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = shared.value
+        one_thread()
+        words, weights = Vocabulary.of(shared.value[0]), shared.value[1]
         held, size = [], 0
         for batch in batches:
             for part in chunks(batch, "text", RUN_BYTES):
