@@ -171,7 +171,7 @@ def test_every_training_document_is_learned_from_once(spark, monkeypatch):
     monkeypatch.setattr(gru.Trainer, "learn", learn)
     monkeypatch.setattr(op, "PART_TOKENS", 3000)
     words = op.Vocabulary(op.counted(docs))
-    weights = op.fit(docs, words)
+    weights = op.fit(op.encoded(docs, words), words)
     assert seen.value == 4000 and op.part_count(words.total) > 4
     start = op.started(words)
     assert all(np.allclose(weights[k], start[k], rtol=1e-5) for k in start)
@@ -187,4 +187,4 @@ def test_rounds_lower_the_loss_and_start_at_the_shares(spark):
     for k in ("class", "member"):
         shares[k] = shares[k] * 0
     assert math.isclose(gru.likelihoods(shares, symbols, starts)[0] / len(symbols), -math.log(4), rel_tol=0.05)
-    assert gru.likelihoods(op.fit(docs, words), symbols, starts)[0] > 0.98 * gru.likelihoods(shares, symbols, starts)[0]
+    assert gru.likelihoods(op.fit(op.encoded(docs, words), words), symbols, starts)[0] > 0.98 * gru.likelihoods(shares, symbols, starts)[0]

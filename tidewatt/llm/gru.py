@@ -61,10 +61,11 @@ class Tape:
         order = np.concatenate([np.array(x, np.int64) for x in dealt]) if dealt else np.zeros(0, np.int64)
         ends = np.cumsum(lengths[order])
         begins = ends - lengths[order]
-        shift = np.repeat(starts[:-1][order] - begins, lengths[order])
-        self.place = np.arange(len(shift)) + shift  # of each symbol in ``symbols``
+        self.place = np.repeat((starts[:-1][order] - begins).astype(np.int32), lengths[order])
+        self.place += np.arange(len(self.place), dtype=np.int32)  # of each symbol in ``symbols``
         self.target = symbols[self.place]
-        self.source = np.append(0, self.target[:-1])[: len(self.target)]
+        self.source = np.empty_like(self.target)
+        self.source[1:] = self.target[:-1]
         self.source[begins] = 0
         self.first = np.zeros(len(self.target), bool)
         self.first[begins] = True
@@ -109,28 +110,33 @@ def advance(w: Weights, h: np.ndarray, source: np.ndarray, first: np.ndarray) ->
     return forward(w, h, w["x"][source], first)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    """Of each row; ``x`` is used up."""
+ONES = np.ones(CLASSES, np.float32)
+
+
+def softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax of each row, and its natural logarithm at one place of the row; ``x`` is used up."""
     x -= x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
-    return x
+    picked = x[np.arange(len(at)), at]
+    np.exp(x, out=x)
+    total = x @ ONES.astype(x.dtype) if x.shape[1] == CLASSES else x.sum(1)
+    x /= total[:, None]
+    return x, picked - np.log(total)
 
 
 def outputs(w: Weights, states: np.ndarray, target: np.ndarray):
-    """Natural log-likelihood of each target; what the way back needs: log-softmax of the classes, and, in the order
-    of the targets' classes, the states, places in the class, and per class its bounds and log-softmax."""
+    """Natural log-likelihood of each target; what the way back needs: softmax of the classes, and, in the order
+    of the targets' classes, the states, places in the class, and per class its bounds and softmax."""
     members = w["member"].shape[2]
     of, place = target // members, target % members
-    classes = log_softmax(states @ w["class"] + w["class_b"])
-    score = classes[np.arange(len(target)), of]
+    classes, score = softmax(states @ w["class"] + w["class_b"], of)
     order = np.argsort(of.astype(np.int16), kind="stable")
     ordered, place = states[order], place[order]
     edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
     parts = []
     for c, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
         if start < end:
-            inside = log_softmax(ordered[start:end] @ w["member"][c] + w["member_b"][c])
-            score[order[start:end]] += inside[np.arange(end - start), place[start:end]]
+            inside, more = softmax(ordered[start:end] @ w["member"][c] + w["member_b"][c], place[start:end])
+            score[order[start:end]] += more
             parts.append((c, start, end, inside))
     return score, classes, of, order, ordered, place, parts
 
@@ -140,7 +146,7 @@ def chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     x -= x.max(1, keepdims=True)
     picked = x[np.arange(len(at)), at]
     np.exp(x, out=x)
-    return picked - np.log(x.sum(1))
+    return picked - np.log(x @ ONES.astype(x.dtype) if x.shape[1] == CLASSES else x.sum(1))
 
 
 def target_scores(w: Weights, states: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -187,7 +193,7 @@ class Trainer:
     def packed(self) -> np.ndarray:
         """Weights and moments as one array of fixed size, the number of steps last."""
         values = [part[k].ravel() for part in (self.w, self.mean, self.square) for k in sorted(part)]
-        return np.append(np.concatenate(values).astype(np.float64), self.step)
+        return np.append(np.concatenate(values), np.float32(self.step))
 
     def unpack(self, values: np.ndarray) -> None:
         at = 0
@@ -220,14 +226,14 @@ class Trainer:
         _, classes, of, order, ordered, place, parts = outputs(w, states, target)
         total = h.dtype.type(1 / len(target))
         grad = {k: np.zeros_like(v) for k, v in w.items()}
-        back = np.exp(classes, out=classes)
+        back = classes
         back[np.arange(len(target)), of] -= 1
         back *= total
         grad["class"], grad["class_b"] = states.T @ back, back.sum(0)
         down = back @ w["class"].T
         below = np.empty_like(down)
         for c, start, end, inside in parts:
-            back = np.exp(inside, out=inside)
+            back = inside
             back[np.arange(end - start), place[start:end]] -= 1
             back *= total
             grad["member"][c], grad["member_b"][c] = ordered[start:end].T @ back, back.sum(0)
@@ -252,21 +258,23 @@ class Trainer:
         to_r *= r
         to_r *= inner
         read, turned = np.empty((len(source), 3 * HIDDEN), down.dtype), np.ascontiguousarray(self.w["u"].T)
-        state = np.empty_like(read)
+        of_gates, of_new = turned[: 2 * HIDDEN], turned[2 * HIDDEN :]
+        through = np.empty_like(down)  # of the inner part, which the reset gate scales
         later = np.zeros((0, HIDDEN), down.dtype)
         for start, end in reversed(bounds):
             dh = down[start:end]
             dh[: len(later)] += later
-            dread, dkept = read[start:end], state[start:end]
+            dread = read[start:end]
             dnew = np.multiply(dh, to_new[start:end], out=dread[:, 2 * HIDDEN :])
             np.multiply(dh, to_z[start:end], out=dread[:, HIDDEN : 2 * HIDDEN])
             np.multiply(dnew, to_r[start:end], out=dread[:, :HIDDEN])
-            dkept[:, : 2 * HIDDEN] = dread[:, : 2 * HIDDEN]
-            np.multiply(dnew, r[start:end], out=dkept[:, 2 * HIDDEN :])
+            inward = np.multiply(dnew, r[start:end], out=through[start:end])
             later = dh * z[start:end]
-            later += dkept @ turned
-            later[first[start:end]] = 0
-        grad["u"] = before.T @ state
+            later += dread[:, : 2 * HIDDEN] @ of_gates
+            later += inward @ of_new
+            if first[start:end].any():
+                later[first[start:end]] = 0
+        grad["u"] = np.concatenate([before.T @ read[:, : 2 * HIDDEN], before.T @ through], 1)
         order = np.argsort(source, kind="stable")
         edges = np.flatnonzero(np.diff(source[order], prepend=-1))
         grad["x"][source[order[edges]]] = np.add.reduceat(read[order], edges)

@@ -43,18 +43,18 @@ FREQUENT = 1 << 15
 SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
 ROUNDS = 3
-PART_TOKENS = 4_000_000  # of all rounds together
-LEARN_TOKENS = 1_000_000  # learnt from at a time, so that many lanes are long
-PIECES = 16  # of what the parts reach, to be added up apart
+PART_TOKENS = 6_000_000  # of all rounds together
+LEARN_TOKENS = 2_000_000  # learnt from at a time, so that the lanes are about as long as long documents
+PIECES = 64  # of what the parts reach, to be added up apart
 RUN_BYTES = 1 << 20  # text read at once
 SCORE_TOKENS = 2_000_000  # about as many go through the network at once, whole documents only
 COUNT_RUN = 1 << 23
 END = np.uint64(0xE0D)
-SCORED = (
-    "doc_id bigint, n_tokens bigint, n_known bigint, base double, "
-    "h array<bigint>, tail array<int>, times array<bigint>, model double"
+ENCODED = (
+    "doc_id bigint, place bigint, n_tokens bigint, n_known bigint, base double, "
+    "h array<bigint>, tail array<int>, times array<bigint>, shares double, symbols binary"
 )
-NAMES = [column.split()[0] for column in SCORED.split(", ")]
+NAMES = [column.split()[0] for column in ENCODED.split(", ")]
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,27 +161,16 @@ def part_count(tokens: int) -> int:
     return max(1, round(tokens / PART_TOKENS))
 
 
-def learned(training: DataFrame, words: Vocabulary, state: np.ndarray, parts: int) -> np.ndarray:
-    """Average, by tokens, of what the parts reach from ``state`` on their documents."""
-    spark = training.sparkSession
-    shared = spark.sparkContext.broadcast((vars(words), state))
-
-    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary.of(shared.value[0])
-        for batch in batches:
-            for part in chunks(batch, "text", RUN_BYTES):
-                hashes, tail, starts = tokens(part.column(2))
-                symbol = words.look_up(hashes, tail)[0].astype(np.int16)
-                pieces = [symbol[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(pieces, pa.large_binary())], names=["part", "place", "symbols"])
+def learned(training: DataFrame, state: np.ndarray, parts: int) -> np.ndarray:
+    """Average, by tokens, of what the parts reach from ``state`` on their documents (part, place, symbols)."""
+    shared = training.sparkSession.sparkContext.broadcast(state)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
         documents = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
         for part, group in groupby(documents, key=itemgetter(0)):
             trainer = gru.Trainer(SYMBOLS)
-            trainer.unpack(shared.value[1])
+            trainer.unpack(shared.value)
             size, held, waiting = 0, [], 0
             for _, data in group:
                 held.append(np.frombuffer(data, np.int16))
@@ -191,7 +180,7 @@ def learned(training: DataFrame, words: Vocabulary, state: np.ndarray, parts: in
                     held, waiting = [], 0
             if held:
                 learn_from(trainer, held)
-            pieces = np.array_split(trainer.packed() * size, PIECES)
+            pieces = np.array_split(trainer.packed(), PIECES)
             yield rows(list(range(PIECES)), [part] * PIECES, pieces, [size] * PIECES)
 
     def learn_from(trainer: gru.Trainer, held: list[np.ndarray]) -> None:
@@ -204,73 +193,75 @@ def learned(training: DataFrame, words: Vocabulary, state: np.ndarray, parts: in
         for batch in batches:
             for k, _, value, size in zip(*batch.columns, strict=True):
                 k = k.as_py()
-                sums[k] = sums.get(k, 0) + np.frombuffer(value.as_py(), np.float64)
+                sums[k] = sums.get(k, 0) + np.frombuffer(value.as_py(), np.float32).astype(np.float64) * size.as_py()
                 sizes[k] = sizes.get(k, 0) + size.as_py()
-        yield rows(list(sums), [0] * len(sums), list(sums.values()), [sizes[k] for k in sums])
+        yield rows(list(sums), [0] * len(sums), [sums[k] / sizes[k] for k in sums], list(sizes.values()))
 
     def rows(pieces: list, parts: list, values: list, sizes: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(pieces, pa.int64()), pa.array(parts, pa.int64()), pa.array([v.tobytes() for v in values], pa.binary()),
+            [pa.array(pieces, pa.int64()), pa.array(parts, pa.int64()), pa.array([v.astype(np.float32).tobytes() for v in values], pa.binary()),
              pa.array(sizes, pa.int64())], names=["piece", "part", "value", "size"])
 
     schema = "piece bigint, part bigint, value binary, size bigint"
-    dealt = (
-        training.select("part", "place", "text").mapInArrow(symbols, "part bigint, place bigint, symbols binary")
-        .repartition(parts, "part").sortWithinPartitions("part", "place", "symbols")
-    )
+    dealt = training.repartition(parts, "part").sortWithinPartitions("part", "place", "symbols")
     each = dealt.mapInArrow(learn, schema).repartition(PIECES, "piece").sortWithinPartitions("piece", "part")
     found = sorted(each.mapInArrow(add, schema).collect())  # PIECES rows of fixed size
-    return np.concatenate([np.frombuffer(r.value, np.float64) / r.size for r in found]) if found else state
+    return np.concatenate([np.frombuffer(r.value, np.float32) for r in found]) if found else state
 
 
 def fit(training: DataFrame, words: Vocabulary) -> gru.Weights:
-    """Weights from all training documents."""
+    """Weights from all training documents, given as ``encoded`` has them."""
     trainer = gru.Trainer(SYMBOLS)
     trainer.w = started(words)
     state, parts = trainer.packed(), part_count(words.total)
-    place = F.xxhash64("doc_id", "text")
-    hashed = training.select(
-        "text", place.alias("place"), F.pmod(place, F.lit(ROUNDS)).alias("round"),
-        F.pmod(F.xxhash64(place), F.lit(parts)).alias("part"),
-    )
+    place = F.col("place")
+    hashed = training.select(F.pmod(F.xxhash64(place), F.lit(parts)).alias("part"), "place", "symbols")
     for k in range(ROUNDS):
-        state = learned(hashed.filter(F.col("round") == k), words, state, parts)
+        state = learned(hashed.filter(F.pmod(place, F.lit(ROUNDS)) == k), state, parts)
     trainer.unpack(state)
     return trainer.w
 
 
-def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> DataFrame:
-    """Per row: n_tokens, and sums over the tokens whose counts are known in the task; the others as lists."""
-    shared = documents.sparkSession.sparkContext.broadcast((vars(words), weights))
+def scored(rows: DataFrame, weights: gru.Weights) -> DataFrame:
+    """row and ``model``, what the network gives the document's symbols (log10)."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
-        words, weights = Vocabulary.of(shared.value[0]), shared.value[1]
         held, size = [], 0
         for batch in batches:
-            for part in chunks(batch, "text", RUN_BYTES):
-                held.append(known_part(part, words))
-                size += len(held[-1][0])
+            for row, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                held.append((row, np.frombuffer(data, np.int16)))
+                size += len(held[-1][1])
                 if size >= SCORE_TOKENS:
-                    yield from scores(held, weights)
+                    yield scores(held)
                     held, size = [], 0
         if held:
-            yield from scores(held, weights)
-
-    def scores(held: list, weights: gru.Weights) -> Iterator[pa.RecordBatch]:
-        """What the network says is added to the sums that need no network."""
-        symbols = np.concatenate([x[0] for x in held])
-        starts = np.append(0, np.cumsum(np.concatenate([x[1] for x in held])))
-        model = gru.likelihoods(weights, symbols, starts) / np.log(10)
-        at = 0
-        for _, sizes, columns, shares in held:
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(shares + model[at : at + len(sizes)])], names=NAMES)
-            at += len(sizes)
-
-    def known_part(part: pa.RecordBatch, words: Vocabulary) -> tuple:
-        """Symbols, documents' lengths, finished columns, and shares of tails, of a run of documents."""
-        hashes, tail, starts = tokens(part.column(1))
+            yield scores(held)
+
+    def scores(held: list) -> pa.RecordBatch:
+        symbols = np.concatenate([x[1] for x in held])
+        model = gru.likelihoods(shared.value, symbols, np.cumsum([0] + [len(x[1]) for x in held])) / np.log(10)
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array(model)], names=["row", "model"])
+
+    return rows.select("row", "symbols").mapInArrow(run, "row bigint, model double")
+
+
+def encoded(documents: DataFrame, words: Vocabulary) -> DataFrame:
+    """Per document: its symbols, n_tokens, and sums over the tokens whose counts are known in the task; the others as
+    lists.  Saved, so that texts are split into words once for the network's training and scores."""
+    shared = documents.sparkSession.sparkContext.broadcast(vars(words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Vocabulary.of(shared.value)
+        for batch in batches:
+            for part in chunks(batch, "text", RUN_BYTES):
+                yield known_part(part, words)
+
+    def known_part(part: pa.RecordBatch, words: Vocabulary) -> pa.RecordBatch:
+        hashes, tail, starts = tokens(part.column(2))
         symbol, count, known = words.look_up(hashes, tail)
+        symbol = symbol.astype(np.int16)
         sizes = np.diff(starts)
         row = np.repeat(np.arange(len(sizes)), sizes)
 
@@ -288,13 +279,16 @@ def scored(documents: DataFrame, words: Vocabulary, weights: gru.Weights) -> Dat
         ends = np.append(0, np.cumsum(np.bincount(row[of], minlength=len(sizes)))).astype(np.int32)
         lists = [hashes[of].view(np.int64), tail[of].astype(np.int32), times.astype(np.int64)]
         columns = [
-            part.column(0), pa.array(sizes.astype(np.int64)), pa.array(per_row(known & (count > 0)).astype(np.int64)),
+            part.column(0), part.column(1), pa.array(sizes.astype(np.int64)), pa.array(per_row(known & (count > 0)).astype(np.int64)),
             pa.array(per_row(np.where(known, words.base(count), 0.0))),
-            *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists],
+            *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists], pa.array(shares),
+            pa.array([symbol[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)], pa.binary()),
         ]
-        return symbol.astype(np.int16), sizes, columns, shares
+        return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
-    return documents.select("doc_id", "text").mapInArrow(run, SCORED)
+    place = F.xxhash64("doc_id", "text").alias("place")
+    rows = documents.select("doc_id", place, "text").mapInArrow(run, ENCODED)
+    return saved(rows.withColumn("row", F.monotonically_increasing_id()), "op9-rows")
 
 
 def language_scores(documents: DataFrame) -> DataFrame:
@@ -302,9 +296,8 @@ def language_scores(documents: DataFrame) -> DataFrame:
     training = documents.filter(remainder(F.col("doc_id"), 10) != 0)
     counts = saved(counted(training), "op9-counts")
     words = Vocabulary(counts)
-    rows = saved(
-        scored(documents, words, fit(training, words)).withColumn("row", F.monotonically_increasing_id()), "op9-rows"
-    )
+    rows = encoded(documents, words)
+    weights = fit(rows.filter(remainder(F.col("doc_id"), 10) != 0), words)
     tails = documents.sparkSession.createDataFrame(
         [(k, float(np.log10(n + 0.1 * (d + 1)))) for k, (n, d) in enumerate(words.tails)], "tail int, whole double"
     )
@@ -318,10 +311,11 @@ def language_scores(documents: DataFrame) -> DataFrame:
         F.sum(F.col("times") * (seen - F.col("whole"))).alias("more_model"),
     )
     zero = F.lit(0.0)
-    return rows.drop("h", "tail", "times").join(sums, "row", "left").select(
+    read = rows.drop("h", "tail", "times", "symbols").join(scored(rows, weights), "row")
+    return read.join(sums, "row", "left").select(
         "doc_id", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(words.total).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("more_model", zero)).alias("score"),
+        (F.col("model") + F.col("shares") + F.coalesce("more_model", zero)).alias("score"),
     )
