@@ -311,7 +311,7 @@ def language_scores(documents: DataFrame) -> DataFrame:
         F.sum(F.col("times") * (seen - F.col("whole"))).alias("more_model"),
     )
     zero = F.lit(0.0)
-    read = rows.drop("h", "tail", "times", "symbols").join(scored(rows, weights), "row")
+    read = rows.drop("h", "tail", "times", "symbols").join(saved(scored(rows, weights), "op9-scores"), "row")
     return read.join(sums, "row", "left").select(
         "doc_id", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
