@@ -45,6 +45,14 @@ def test_rules_are_ordered_sequences():
     assert names(NAME + first) == []  # sentences of a rule in another order, or too few, are no licence
 
 
+def test_narrow_columns():
+    import textwrap
+
+    body = " ".join(MIT.split("\n\n", 2)[2].split())
+    for width in range(16, 121, 8):
+        assert names("MIT License\n\n" + textwrap.fill(body, width)) == ["MIT"], width
+
+
 def test_spans_and_spelling():
     text = "é intro.\nLicensed under the Apache  Licence,\nVersion 2.0.\nother words. All rights reserved."
     assert [(n, text[s:e]) for n, s, e in op.licences(op.sentences(text))] == [

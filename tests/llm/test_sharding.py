@@ -1,7 +1,7 @@
 import zlib
 from collections import defaultdict
 
-from tests.llm.helpers import SF, awkward, documents, empty
+from tests.llm.helpers import SF, awkward, documents, empty, rows_of
 
 from tidewatt.llm import sharding as op
 from tidewatt.llm.common import table
@@ -54,3 +54,16 @@ def test_small_runs_number_the_same_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = op.kd_shards(table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "MapInArrow", "ExistingRDD"))
+
+
+def test_equal_rows_are_dealt_evenly(spark):
+    """Half of all rows equal in everything: the law of near equal bytes holds."""
+    same = documents(spark, ["the same text"]).crossJoin(spark.range(1500)).drop("id")
+    others = documents(spark, [f"text {k:08d}" for k in range(1500)], first=10)
+    found = rows_of(op.kd_shards(same.unionByName(others), shards=10))
+    sizes = [sum(r["size"] for r in found if r["shard"] == k) for k in range(10)]
+    largest = max(r["size"] for r in found)
+    assert max(sizes) - min(sizes) <= 10 * largest and min(sizes) > 0
+    for k in range(10):
+        slots = sorted(r["slot"] for r in found if r["shard"] == k)
+        assert slots == list(range(len(slots)))

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from tidewatt.llm.common import slices
 
 GAP = 3
-LONGEST = 12  # pieces in one sentence: known sentences wrapped at a few words a line still fit
 WORD = re.compile(r"[a-z0-9]+")
 PIECE = re.compile(r"[^\n]+?(?:(?<=[.!?:;])(?=\s)|(?=\n)|\Z)")
 
@@ -162,10 +161,10 @@ def sentences(text: str) -> list[Sentence]:
     found, k = [], 0
     while k < len(pieces):
         best, joined = None, ""
-        for j in range(k, min(k + LONGEST, len(pieces))):
+        for j in range(k, len(pieces)):
             start, end = pieces[j]
             joined = f"{joined} {normalised(text[start:end])}".strip()
-            if joined and joined not in PREFIXES:
+            if joined not in PREFIXES:  # so a sentence ends where no known one goes on, however it is wrapped
                 break
             if joined in KNOWN:
                 best = (KNOWN[joined], pieces[k][0], end, k, j)

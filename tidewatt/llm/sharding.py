@@ -42,8 +42,11 @@ def metadata(documents: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS) ->
         text = isinstance(base.schema[name].dataType, type(base.schema["text"].dataType))
         value = F.crc32(F.encode(name, "UTF-8")) if text else F.col(name).cast("bigint")
         numbers.append(F.coalesce(value, F.lit(0)).alias(f"d{k}"))
-    tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size"), 34).alias("tie")
-    return base.select("doc_id", "size", "text_crc32", tie, *numbers)
+    numbered = saved(
+        base.select("doc_id", "size", "text_crc32", F.monotonically_increasing_id().alias("row"), *numbers), "op6-rows")
+    # Of the row's number too, so that equal rows are told apart.
+    tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size", "row"), 34).alias("tie")
+    return numbered.withColumn("tie", tie).drop("row")
 
 
 def per_node(rows: DataFrame, values: list[tuple], schema: str) -> DataFrame:
@@ -137,7 +140,7 @@ def slots(rows: DataFrame, run_rows: int = ROWS_PER_RUN) -> DataFrame:
     """
     n, shards = rows.agg(F.count("*"), F.count_distinct("shard")).first()
     runs = max(1, n // (max(1, shards) * run_rows))
-    dealt = rows.withColumn("run", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(runs)))
+    dealt = rows.withColumn("run", F.pmod(F.xxhash64(*rows.columns), F.lit(runs)))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy("shard", "run").agg(F.count("*").alias("n"))
     starts = counts.select("shard", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
