@@ -75,6 +75,18 @@ def test_deduplicated_keeps_one_of_each_group_and_all_columns(spark):
     assert ids == sorted([None, *[r.doc_id for r in docs.collect() if r.doc_id not in (None, 6, 7)]], key=str)
 
 
+def test_other_texts_of_a_shared_id_stay(spark):
+    story, tale = (" ".join(f"{k}{n}" for n in range(60)) for k in ("s", "t"))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "wholly other words that stay here"),
+            (3, story), (4, story + " end"), (4, tale), (5, tale + " end"), (5, tale + " end"), (4, tale)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = sorted(tuple(r) for r in op.deduplicated(docs).collect())
+    assert kept == sorted([rows[0], rows[2], rows[3], rows[5], rows[8]])
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in op.near_duplicates(docs).collect())
+    assert found == [(1, 1, True), (2, 1, False), (2, 2, True), (3, 3, True), (4, 3, False), (4, 4, True), (4, 4, True),
+                     (5, 4, False), (5, 4, False)]
+
+
 def test_words_and_shingles_are_those_of_the_contract():
     texts = ["A b\x0bC", " x y", None, "", "É é", "a b c d e", "one"]
     values, rows = op.distinct_shingles(pa.array(texts), 4)

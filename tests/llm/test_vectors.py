@@ -65,6 +65,19 @@ def test_no_rows_no_usable_rows_and_further_columns(spark):
     assert [r.kept for r in found if r.vec_id is None] == [True, True]
 
 
+def test_null_and_shared_ids_lose_no_link(spark):
+    rows = [(1, [1.0, 0.0], 0), (None, [1.0, 0.01], 0),  # a neighbour that no id names
+            (5, [0.0, 1.0], 0), (None, [-0.4, 1.0], 0), (6, [-0.8, 1.0], 0),  # 5 and 6 meet by it alone
+            (8, [-1.0, 0.0], 0), (8, [0.0, -1.0], 0), (9, [0.0, -2.0], 0), (7, [-1.0, 0.1], 0),  # two rows of one id
+            (None, [-1.0, -1.0], 0), (None, [-1.0, -1.0], 0)]
+    found = op.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found if r.vec_id)) == [
+        (1, 1, 1), (5, 1, 5), (6, 1, 5), (7, 1, 7), (8, 1, 7), (8, 1, 8), (9, 1, 8)]
+    nameless = [r for r in found if r.vec_id is None]
+    assert sorted(r.n_links for r in nameless) == [1, 1, 1, 2]
+    assert all(r.component_id is None and r.kept for r in nameless)
+
+
 def test_tree_covers_its_points():
     points = op.unit_vectors(np.array(made(2, 6, 40, 9, 0.3)))
     nodes, cover = op.cover_tree(points)

@@ -11,9 +11,8 @@ found with the windows' own words, so that no other window counts as a hit.  The
 ``MAX_BROADCAST`` windows.  A larger benchmark is joined by hash instead.
 
 Defined results: a null or empty text has no words and no hits.  Null ids are
-kept.  Rows equal in id and text count as one document in ``item_hits``;
-``with_hits`` and ``decontaminate`` keep every row.  An empty benchmark hits
-nothing.  Other columns of the documents are carried along whatever their names.
+kept.  Every row is a document of its own, rows that share an id or are equal in all
+too.  An empty benchmark hits nothing.  Other columns of the documents are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -130,14 +129,16 @@ def item_hits(documents: DataFrame, benchmark: DataFrame, size: int = SIZE) -> D
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
     grams = saved(windows(benchmark, size), "op1-windows")
     docs = with_hits(documents.select("doc_id", "text"), grams).select(
-        "doc_id", F.xxhash64("text").alias("version"), "n_words", n_hit().alias("n_hit"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", n_hit().alias("n_hit"),
         F.array_distinct(F.transform("hits", lambda x: x.gram)).alias("found"),
     )
-    spread = docs.withColumn("gram", F.explode_outer("found")).drop("found")
-    items = spread.join(grams.select("gram", "item_id"), "gram", "left")
+    docs = saved(docs, "op1-rows")  # a row keeps its number whatever is computed again
+    spread = docs.filter("n_hit > 0").withColumn("gram", F.explode("found"))
+    items = spread.join(grams.select("gram", "item_id"), "gram")
     ids = F.collect_set(F.col("item_id").cast("string"))
-    per_document = items.groupBy("doc_id", "version", "n_words", "n_hit").agg(ids.alias("items"))
-    return per_document.select(
+    hit = items.groupBy("row", "doc_id", "n_words", "n_hit").agg(ids.alias("items")).drop("row")
+    clean = docs.filter("n_hit = 0").select("doc_id", "n_words", "n_hit", F.array().cast("array<string>").alias("items"))
+    return hit.unionByName(clean).select(
         "doc_id", "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),

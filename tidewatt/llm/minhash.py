@@ -19,8 +19,8 @@ components are those that all pairs within buckets would give.
 
 Defined results: a null or empty text, or one of white space only, has an empty
 set, links with nothing and is kept.  A null id links with nothing and is kept.
-Ids are meant to be unique: rows that share one are each placed by their own
-text, and equal rows stay as many rows.  Only doc_id and text are read.
+Rows that share an id are documents of their own: each is placed, and kept or removed,
+by its own text, and equal rows stay as many rows.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from tidewatt.llm.components import components
 SIZE = 5
 PERCENT = 80
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
-SIGNATURE = "doc_id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>"
+SIGNATURE = "doc_id bigint, version bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>"
 
 
 def multipliers(count: int) -> np.ndarray:
@@ -83,6 +83,11 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
+def versions(documents: DataFrame) -> DataFrame:
+    """doc_id, text, and a hash of the text that tells texts of one id apart."""
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("version"))
+
+
 def signatures(documents: DataFrame, size: int = SIZE) -> DataFrame:
     """Set size, two hashes of the whole set, and band keys of every document."""
 
@@ -108,23 +113,23 @@ def signatures(documents: DataFrame, size: int = SIZE) -> DataFrame:
         ends[1:] = np.cumsum(np.where(n > 0, BANDS, 0))
         lists = pa.ListArray.from_arrays(pa.array(ends), signed(keys.reshape(-1)))
         return pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(n.astype(np.int64)), signed(sums[0]), signed(sums[1]), lists],
-            names=["doc_id", "n_shingles", "s1", "s2", "bands"],
+            [part.column(0), part.column(2), pa.array(n.astype(np.int64)), signed(sums[0]), signed(sums[1]), lists],
+            names=["doc_id", "version", "n_shingles", "s1", "s2", "bands"],
         )
 
-    return documents.select("doc_id", "text").mapInArrow(run, SIGNATURE)
+    return versions(documents).mapInArrow(run, SIGNATURE)
 
 
-def packed_texts(documents: DataFrame) -> DataFrame:
-    """doc_id and the compressed text, which is what gets shuffled; no text is empty."""
+def packed_texts(texts: DataFrame) -> DataFrame:
+    """rep and the compressed text, which is what gets shuffled; no text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor().compress
         for batch in slices(batches):
             packed = [None if t is None else pack(t.encode()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["rep", "packed"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
+    return texts.select("rep", "text").mapInArrow(run, "rep bigint, packed binary")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -158,35 +163,43 @@ def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
              lists(alone & from_v), lists(alone & ~from_v)],
             names=["u", "v", "d", "linked", "gone", "more"])
 
-    left = texts.select(F.col("doc_id").alias("u"), F.col("packed").alias("left_text"))
-    right = texts.select(F.col("doc_id").alias("v"), F.col("packed").alias("right_text"))
+    left = texts.select(F.col("rep").alias("u"), F.col("packed").alias("left_text"))
+    right = texts.select(F.col("rep").alias("v"), F.col("packed").alias("right_text"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "left_text", "right_text")
     return both.mapInArrow(run, "u bigint, v bigint, d double, linked boolean, gone array<bigint>, more array<bigint>")
 
 
 def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) and kept, for every row."""
+    return placed(documents, size, percent).drop("version")
+
+
+def placed(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """The same with ``version``; classes bear saved numbers, and the smallest id of a component names it."""
     base = saved(signatures(documents, size), "op5-signatures")
     filled = base.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("s1", "s2", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")
+        F.min(F.struct("doc_id", "version")).alias("first"), F.min_by("bands", "doc_id").alias("bands")
     )
-    classes = saved(classes, "op5-classes")
+    classes = saved(
+        classes.select("s1", "s2", "n_shingles", "first.*", "bands", F.monotonically_increasing_id().alias("rep")), "op5-classes")
     members = saved(bucket_members(classes), "op5-members")
-    candidates = saved(members.select(F.col("rep").alias("doc_id")).distinct(), "op5-candidates")
-    texts = saved(
-        packed_texts(documents.select("doc_id", "text").join(id_set(candidates), "doc_id", "left_semi")), "op5-texts"
-    )
+    firsts = classes.select("rep", "doc_id", "version").join(members.select("rep").distinct(), "rep", "left_semi")
+    firsts = saved(firsts, "op5-candidates")
+    chosen = versions(documents).join(id_set(firsts), ["doc_id", "version"])
+    texts = saved(packed_texts(chosen).dropDuplicates(["rep"]), "op5-texts")
     links = links_of(members, texts, size, percent)
     labels = components(links).select(F.col("node").alias("rep"), "label")
-    of_class = classes.drop("bands").join(labels, "rep", "left").select(
-        "s1", "s2", "n_shingles", F.coalesce("label", "rep").alias("component_id")
+    labels = saved(labels.join(classes.select("rep", "doc_id"), "rep"), "op5-labels")
+    names = labels.groupBy("label").agg(F.min("doc_id").alias("name"))
+    of_class = classes.drop("bands").join(labels.drop("doc_id").join(names, "label"), "rep", "left").select(
+        "s1", "s2", "n_shingles", F.coalesce("name", "doc_id").alias("component_id")
     )
     joined = base.drop("bands").join(of_class, ["s1", "s2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
     component = F.coalesce(component, F.col("doc_id"))
     return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
+        "doc_id", "version", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
@@ -233,7 +246,11 @@ def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 
 def deduplicated(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """Documents without those whose component has a smaller id; of equal rows of one id, all stay."""
-    removed = near_duplicates(documents, size, percent).filter("NOT kept").select("doc_id").distinct()
+    """Documents without those whose component has a smaller id; of equal rows of one id, all stay.
+
+    What goes is known by id and text, so another text of the same id stays.
+    """
+    removed = placed(documents, size, percent).filter("NOT kept").select("doc_id", "version").distinct()
     removed = id_set(saved(removed, "op5-removed"))
-    return documents.join(removed, "doc_id", "left_anti").select(*documents.columns)
+    same = (documents["doc_id"] == removed["doc_id"]) & (F.xxhash64(documents["text"]) == removed["version"])
+    return documents.join(removed, same, "left_anti")

@@ -89,30 +89,31 @@ LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuv
 
 OP1 = rf"""
 WITH d AS (
-    SELECT doc_id, coalesce(list_filter(regexp_split_to_array({LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> ''), []) AS w
+    SELECT row_number() OVER () AS r, doc_id,
+           coalesce(list_filter(regexp_split_to_array({LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> ''), []) AS w
     FROM documents),
 b AS (
     SELECT item_id, list_filter(regexp_split_to_array({LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
     FROM benchmark WHERE text IS NOT NULL),
 grams AS (
     SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
-    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(i) WHERE len(w) > 0),
 lengths AS (SELECT DISTINCT n FROM grams),
 spans AS (
-    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
-    FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS r(i) WHERE len(w) >= n),
-hits AS (SELECT s.doc_id, s.i, s.n, g.item_id FROM spans s JOIN grams g ON s.n = g.n AND s.gram = g.gram),
+    SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+    FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS u(i) WHERE len(w) >= n),
+hits AS (SELECT s.r, s.i, s.n, g.item_id FROM spans s JOIN grams g ON s.n = g.n AND s.gram = g.gram),
 covered AS (
-    SELECT doc_id, count(DISTINCT p) AS n_hit
-    FROM (SELECT DISTINCT doc_id, i, n FROM hits) h, unnest(range(i, i + n)) AS r(p) GROUP BY doc_id),
+    SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT r, i, n FROM hits) h, unnest(range(i, i + n)) AS u(p) GROUP BY r),
 items AS (
-    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    SELECT r, count(DISTINCT item_id) AS n_items,
            string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-    FROM hits GROUP BY doc_id)
+    FROM hits GROUP BY r)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 """
 
 

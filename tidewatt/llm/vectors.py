@@ -15,9 +15,10 @@ one link to a smaller id of the same component, never the pairs themselves.
 
 Defined results: a vector that is null, empty, zero or holds a null or
 non-finite number links with nothing.  Only vectors of equal length are compared.
-Equal vectors are linked.  Null ids: such rows take part in counts, but as no
-component can be named by them they are their own (null) component and kept; of
-rows that share an id, each gets the row's own counts.
+Equal vectors are linked.  Every row is a vector of its own, rows that share an id
+too.  Rows with a null id are linked and counted like others and connect their
+neighbours, but name no component; they are themselves of the null component and kept.
+Only vec_id and embedding are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -188,7 +189,7 @@ class Found:
             apart = one != two
             u, v, one, two = u[apart], v[apart], one[apart], two[apart]
             np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
-            while (jumped := label[label]).tolist() != label.tolist():
+            while not np.array_equal(jumped := label[label], label):
                 label[:] = jumped
 
     def rows(self) -> pd.DataFrame:
@@ -202,12 +203,12 @@ class Found:
 
 
 def valid_classes(vectors: DataFrame) -> DataFrame:
-    """code, rep, size, dim, x: the classes of equal vectors that can link."""
+    """x, name (the smallest id) and size: the classes of equal vectors that can link."""
     fine = "exists(embedding, x -> x <> 0) AND NOT exists(embedding, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))"
     return (
         vectors.filter("embedding IS NOT NULL AND size(embedding) > 0").filter(fine)
         .select("vec_id", F.transform("embedding", lambda x: x.cast("double") + 0.0).alias("x"))
-        .groupBy("x").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
+        .groupBy("x").agg(F.min("vec_id").alias("name"), F.count("*").alias("size"))
     )
 
 
@@ -254,7 +255,7 @@ def blocks(classes: DataFrame, block: int) -> DataFrame:
         return pd.DataFrame({
             "block": [0], "dim": [key[0]], "size": [len(rows)], "centre": [middle_],
             "radius": [float(np.sqrt(((points - middle_) ** 2).sum(1).max()))],
-            "ids": [rows["rep"].to_numpy(np.int64, na_value=np.iinfo(np.int64).min).tobytes()],
+            "ids": [rows["rep"].to_numpy(np.int64).tobytes()],
             "sizes": [rows["size"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()],
             "nodes": [nodes.tobytes()], "cover": [cover.tobytes()],
         })
@@ -305,14 +306,16 @@ def links(trees: DataFrame, cosine: float) -> DataFrame:
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
-    classes = saved(valid_classes(vectors), "op8-classes")
-    named = classes.filter("rep IS NOT NULL")
-    found = saved(links(blocks(named, block), cosine), "op8-links")
+    classes = saved(valid_classes(vectors).withColumn("rep", F.monotonically_increasing_id()), "op8-classes")
+    found = saved(links(blocks(classes, block), cosine), "op8-links")
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     labels = components(found.select(F.col("rep").alias("u"), F.col("other").alias("v")))
+    labels = saved(labels.withColumnRenamed("node", "rep").join(classes.select("rep", "name"), "rep"), "op8-labels")
+    names = labels.groupBy("label").agg(F.min("name").alias("component"))
+    of_component = labels.drop("name").join(names, "label")
     of_class = (
-        classes.join(counts, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("x", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("label", "rep").alias("component"))
+        classes.join(counts, "rep", "left").join(of_component, "rep", "left")
+        .select("x", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "name").alias("component"))
     )
     rows = vectors.select("vec_id", F.transform("embedding", lambda x: x.cast("double") + 0.0).alias("x"))
     joined = rows.join(of_class, "x", "left")
