@@ -15,8 +15,14 @@ shape, label given the word before, labels of a chain link, labels of a skip
 link), from the units of all documents, in one aggregate of bounded size: feature
 values are hashed into ``BUCKETS``.
 
+Two features have a reach: chain links join units at most ``NEAR`` code points apart
+(skip links any two), and of an address with a written-out at sign the local part has
+at most 64 code points, as mail allows.  Base spans have neither.
+
 Defined results: a null text is empty; an empty text has no spans.  Equal rows
-give equal results.  Offsets count code points, ends are exclusive.
+give equal results.  Of equally likely labels the first in the order of ``KINDS`` is
+taken, other last.  Offsets count code points, ends are exclusive.  Only doc_id and
+text are read; ``masked`` carries other columns along.
 """
 
 from __future__ import annotations
