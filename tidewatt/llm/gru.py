@@ -5,6 +5,9 @@ The state starts at zero with each sequence and is carried from window to window
 so a sequence's likelihood does not depend on where windows end; only gradients
 stop there (truncated backpropagation).  The output is factored: a class, then a
 symbol of that class.  Symbol 0 ends every sequence and is also read at its start.
+States have a lane, or a place on the tape, in each row, and the reset gate, the update
+gate and the inner part are arrays of their own; softmaxes have a place in each column.
+So nearly all operations go over whole runs of memory.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ HIDDEN, CLASSES = 32, 32
 WINDOW, LANES = 32, 256  # in training
 FEW_LANES, LONG_WINDOW = 32, 128  # the end of long sequences, with few lanes beside each other
 SCORE_WINDOW, SCORE_LANES = 64, 256  # fewer, larger array operations
+FEW_ROWS = 16  # added up beside each other
 RATE = 0.012
 Weights = dict[str, np.ndarray]
 
@@ -23,7 +27,7 @@ def initial(symbols: int, seed: int = 1) -> Weights:
     rng = np.random.default_rng(seed)
     members = -(-symbols // CLASSES)
     shapes = {
-        "x": (symbols, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "class": (HIDDEN, CLASSES), "class_b": (CLASSES,),
+        "x": (3, symbols, HIDDEN), "u": (3, HIDDEN, HIDDEN), "class": (HIDDEN, CLASSES), "class_b": (CLASSES,),
         "member": (CLASSES, HIDDEN, members), "member_b": (CLASSES, members),
     }
     weights = {k: rng.normal(0, 0.1, shape).astype(np.float32) for k, shape in shapes.items()}
@@ -85,41 +89,41 @@ class Tape:
         return np.concatenate(steps), list(zip([0, *ends], ends, strict=False))
 
 
-def forward(w: Weights, h: np.ndarray, read: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of all lanes, from what they read: the new state, and what the way back needs."""
+def forward(w: Weights, h: np.ndarray, read: np.ndarray, first: np.ndarray, kept: np.ndarray, new: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """One step of all lanes, from what they read: the state before it, and in the last three arrays, which it
+    fills, both gates and the inner part, the candidate, and the new state."""
     if first.any():
         h = np.where(first[:, None], h.dtype.type(0), h)
-    kept = h @ w["u"]
-    gates = read[:, : 2 * HIDDEN] + kept[:, : 2 * HIDDEN]
+    np.matmul(h, w["u"], out=kept)
+    gates = kept[:2]
+    gates += read[:2]
     np.negative(gates, out=gates)
     np.exp(gates, out=gates)
     gates += 1
     np.reciprocal(gates, out=gates)
-    inner = kept[:, 2 * HIDDEN :]
-    new = gates[:, :HIDDEN] * inner
-    new += read[:, 2 * HIDDEN :]
+    np.multiply(kept[0], kept[2], out=new)
+    new += read[2]
     np.tanh(new, out=new)
-    state = h - new
-    state *= gates[:, HIDDEN:]
+    np.subtract(h, new, out=state)
+    state *= kept[1]
     state += new
-    return state, h, gates, new, inner
+    return h
 
 
 def advance(w: Weights, h: np.ndarray, source: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of all lanes, from the symbols that they read."""
-    return forward(w, h, w["x"][source], first)
-
-
-ONES = np.ones(CLASSES, np.float32)
+    """One step of all lanes, from the symbols that they read: the new state, and the one before."""
+    new, state = np.empty_like(h), np.empty_like(h)
+    before = forward(w, h, w["x"][:, source], first, np.empty((3, *h.shape), h.dtype), new, state)
+    return state, before
 
 
 def softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The softmax of each row, and its natural logarithm at one place of the row; ``x`` is used up."""
-    x -= x.max(1, keepdims=True)
-    picked = x[np.arange(len(at)), at]
+    """The softmax of each column, and its natural logarithm at one place of the column; ``x`` is used up."""
+    x -= x.max(0)
+    picked = x[at, np.arange(len(at))]
     np.exp(x, out=x)
-    total = x @ ONES.astype(x.dtype) if x.shape[1] == CLASSES else x.sum(1)
-    x /= total[:, None]
+    total = x.sum(0)
+    x /= total
     return x, picked - np.log(total)
 
 
@@ -128,39 +132,39 @@ def outputs(w: Weights, states: np.ndarray, target: np.ndarray):
     of the targets' classes, the states, places in the class, and per class its bounds and softmax."""
     members = w["member"].shape[2]
     of, place = target // members, target % members
-    classes, score = softmax(states @ w["class"] + w["class_b"], of)
+    classes, score = softmax(w["class"].T @ states.T + w["class_b"][:, None], of)
     order = np.argsort(of.astype(np.int16), kind="stable")
     ordered, place = states[order], place[order]
     edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
     parts = []
     for c, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
         if start < end:
-            inside, more = softmax(ordered[start:end] @ w["member"][c] + w["member_b"][c], place[start:end])
+            inside, more = softmax(w["member"][c].T @ ordered[start:end].T + w["member_b"][c][:, None], place[start:end])
             score[order[start:end]] += more
             parts.append((c, start, end, inside))
     return score, classes, of, order, ordered, place, parts
 
 
 def chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of each row at one place; ``x`` is used up."""
-    x -= x.max(1, keepdims=True)
-    picked = x[np.arange(len(at)), at]
+    """The log-softmax of each column at one place; ``x`` is used up."""
+    x -= x.max(0)
+    picked = x[at, np.arange(len(at))]
     np.exp(x, out=x)
-    return picked - np.log(x @ ONES.astype(x.dtype) if x.shape[1] == CLASSES else x.sum(1))
+    return picked - np.log(x.sum(0))
 
 
 def target_scores(w: Weights, states: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log-likelihood of each target, as in ``outputs`` but without what the way back needs."""
     members = w["member"].shape[2]
     of, place = target // members, target % members
-    score = chosen(states @ w["class"] + w["class_b"], of)
+    score = chosen(w["class"].T @ states.T + w["class_b"][:, None], of)
     order = np.argsort(of.astype(np.int16), kind="stable")
     states, place = states[order], place[order]
     inside = np.empty(len(target), score.dtype)
     edges = np.searchsorted(of[order], np.arange(CLASSES + 1))
     for c, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
         if start < end:
-            inside[start:end] = chosen(states[start:end] @ w["member"][c] + w["member_b"][c], place[start:end])
+            inside[start:end] = chosen(w["member"][c].T @ states[start:end].T + w["member_b"][c][:, None], place[start:end])
     score[order] += inside
     return score
 
@@ -170,17 +174,42 @@ def likelihoods(w: Weights, symbols: np.ndarray, starts: np.ndarray, count: int
     tape = Tape(symbols, starts, count)
     score = np.zeros(len(symbols), np.float64)
     h = np.zeros((len(tape.lane), HIDDEN), w["u"].dtype)
+    kept, new = np.empty((3, *h.shape), h.dtype), np.empty_like(h)
     for begin in range(0, tape.steps, SCORE_WINDOW):
         where, bounds = tape.span(begin, SCORE_WINDOW)
-        read, first = w["x"][tape.source[where]], tape.first[where]
+        read, first = np.take(w["x"], tape.source[where], axis=1), tape.first[where]
         states = np.empty((len(where), HIDDEN), h.dtype)
         for start, end in bounds:
-            h = forward(w, h[: end - start], read[start:end], first[start:end])[0]
-            states[start:end] = h
+            n = end - start
+            forward(w, h[:n], read[:, start:end], first[start:end], kept[:, :n], new[:n], states[start:end])
+            h = states[start:end]
         score[tape.place[where]] = target_scores(w, states, tape.target[where])
     return np.add.reduceat(score, starts[:-1]) if len(starts) > 1 else np.zeros(0)
 
 
+def sums_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, and for each the sum of its rows (the middle axis): by turns, the rows of each key are cut
+    into pieces of a few, and the pieces of all keys are added up beside each other."""
+    places = np.argsort(keys.astype(np.int16), kind="stable")
+    edges = np.flatnonzero(np.diff(keys[places], prepend=-1))
+    found, sizes = keys[places[edges]], np.diff(edges, append=len(keys))
+    while True:
+        pieces = -(-sizes // FEW_ROWS)
+        begins = np.cumsum(pieces) - pieces
+        before = (np.arange(pieces.sum()) - np.repeat(begins, pieces)) * FEW_ROWS
+        size = np.minimum(np.repeat(sizes, pieces) - before, FEW_ROWS)
+        order = np.argsort(-size, kind="stable")
+        at = (np.repeat(edges, pieces) + before)[order]
+        sums = np.take(rows, places[at], axis=1)
+        for k, having in enumerate(np.searchsorted(-size[order], -np.arange(2, size.max() + 1), side="right"), 1):
+            sums[:, :having] += np.take(rows, places[at[:having] + k], axis=1)
+        places = np.empty_like(order)
+        places[order] = np.arange(len(order))
+        if len(order) == len(found):
+            return found, np.take(sums, places, axis=1)
+        rows, edges, sizes = sums, begins, pieces
+
+
 class Trainer:
     """Adam steps on windows of truncated backpropagation, from given weights, moments and number of steps."""
 
@@ -216,37 +245,36 @@ class Trainer:
         w = self.w
         where, bounds = tape.span(begin, size)
         source, target, first = tape.source[where], tape.target[where], tape.first[where]
-        read = w["x"][source]
-        states, before, new, inner = (np.empty((len(where), HIDDEN), h.dtype) for _ in range(4))
-        gates = np.empty((len(where), 2 * HIDDEN), h.dtype)
+        read = np.take(w["x"], source, axis=1)
+        states, before, new = (np.empty((len(where), HIDDEN), h.dtype) for _ in range(3))
+        kept = np.empty_like(read)
         for start, end in bounds:
-            h, before[start:end], gates[start:end], new[start:end], inner[start:end] = forward(
-                w, h[: end - start], read[start:end], first[start:end])
-            states[start:end] = h
+            before[start:end] = forward(
+                w, h[: end - start], read[:, start:end], first[start:end], kept[:, start:end], new[start:end], states[start:end])
+            h = states[start:end]
         _, classes, of, order, ordered, place, parts = outputs(w, states, target)
         total = h.dtype.type(1 / len(target))
         grad = {k: np.zeros_like(v) for k, v in w.items()}
         back = classes
-        back[np.arange(len(target)), of] -= 1
+        back[of, np.arange(len(target))] -= 1
         back *= total
-        grad["class"], grad["class_b"] = states.T @ back, back.sum(0)
-        down = back @ w["class"].T
+        grad["class"], grad["class_b"] = (back @ states).T, back.sum(1)
+        down = back.T @ w["class"].T
         below = np.empty_like(down)
         for c, start, end, inside in parts:
             back = inside
-            back[np.arange(end - start), place[start:end]] -= 1
+            back[place[start:end], np.arange(end - start)] -= 1
             back *= total
-            grad["member"][c], grad["member_b"][c] = ordered[start:end].T @ back, back.sum(0)
-            np.matmul(back, w["member"][c].T, out=below[start:end])
+            grad["member"][c], grad["member_b"][c] = (back @ ordered[start:end]).T, back.sum(1)
+            np.matmul(back.T, w["member"][c].T, out=below[start:end])
         down[order] += below
-        self.through_time(bounds, source, first, (before, gates, new, inner), down, grad)
+        self.through_time(bounds, source, first, (before, kept, new, read), down, grad)
         self.apply(grad)
         return h
 
-    def through_time(self, bounds: list, source: np.ndarray, first: np.ndarray, kept: tuple, down: np.ndarray, grad: Weights) -> None:
-        """Factors of all steps at once; only the recursion goes step by step."""
-        before, gates, new, inner = kept
-        r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
+    def through_time(self, bounds: list, source: np.ndarray, first: np.ndarray, arrays: tuple, down: np.ndarray, grad: Weights) -> None:
+        """Factors of all steps at once; only the recursion goes step by step.  What was read is used up."""
+        before, (r, z, inner), new, read = arrays
         open_z = 1 - z
         to_z = before - new
         to_z *= z
@@ -257,27 +285,27 @@ class Trainer:
         to_r = np.subtract(1, r, out=open_z)
         to_r *= r
         to_r *= inner
-        read, turned = np.empty((len(source), 3 * HIDDEN), down.dtype), np.ascontiguousarray(self.w["u"].T)
-        of_gates, of_new = turned[: 2 * HIDDEN], turned[2 * HIDDEN :]
-        through = np.empty_like(down)  # of the inner part, which the reset gate scales
+        turned = np.ascontiguousarray(self.w["u"].transpose(0, 2, 1))
+        through = inner  # of the inner part, which the reset gate scales
         later = np.zeros((0, HIDDEN), down.dtype)
         for start, end in reversed(bounds):
             dh = down[start:end]
             dh[: len(later)] += later
-            dread = read[start:end]
-            dnew = np.multiply(dh, to_new[start:end], out=dread[:, 2 * HIDDEN :])
-            np.multiply(dh, to_z[start:end], out=dread[:, HIDDEN : 2 * HIDDEN])
-            np.multiply(dnew, to_r[start:end], out=dread[:, :HIDDEN])
+            dread = read[:, start:end]
+            dnew = np.multiply(dh, to_new[start:end], out=dread[2])
+            np.multiply(dh, to_z[start:end], out=dread[1])
+            np.multiply(dnew, to_r[start:end], out=dread[0])
             inward = np.multiply(dnew, r[start:end], out=through[start:end])
             later = dh * z[start:end]
-            later += dread[:, : 2 * HIDDEN] @ of_gates
-            later += inward @ of_new
+            later += dread[0] @ turned[0]
+            later += dread[1] @ turned[1]
+            later += inward @ turned[2]
             if first[start:end].any():
                 later[first[start:end]] = 0
-        grad["u"] = np.concatenate([before.T @ read[:, : 2 * HIDDEN], before.T @ through], 1)
-        order = np.argsort(source, kind="stable")
-        edges = np.flatnonzero(np.diff(source[order], prepend=-1))
-        grad["x"][source[order[edges]]] = np.add.reduceat(read[order], edges)
+        for k, part in enumerate((read[0], read[1], through)):
+            grad["u"][k] = before.T @ part
+        symbols, sums = sums_by(source, read)
+        grad["x"][:, symbols] = sums
 
     def apply(self, grad: Weights) -> None:
         self.step += 1
