@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 from hypothesis import given, settings
@@ -49,6 +50,54 @@ def test_distant_repeats_are_labelled_alike():
     assert set(base) <= set(every)
 
 
+def test_marginals_are_exact_on_trees():
+    rng = op.np.random.default_rng(0)
+    for edges in ([(0, 1), (1, 2), (2, 3)], [(0, 1), (0, 2), (0, 3)], [(0, 2)]):
+        nodes, tables = rng.normal(size=(4, 3)), rng.normal(size=(len(edges), 3, 3))
+        want = op.np.zeros((4, 3))
+        for ys in itertools.product(range(3), repeat=4):
+            total = sum(nodes[k, y] for k, y in enumerate(ys)) + sum(t[ys[a], ys[b]] for (a, b), t in zip(edges, tables, strict=True))
+            for k, y in enumerate(ys):
+                want[k, y] += op.np.exp(total)
+        found = op.marginals(nodes, op.np.array(edges), tables)
+        assert op.np.allclose(found, want / want.sum(1, keepdims=True), atol=0.01)
+
+
+def test_pieces_that_fail_their_check():
+    assert all(map(op.refused, ["4111111111111112", "300.100.100.100", "+49 30 12", "4111 1111 1111 1112"]))
+    assert not any(map(op.refused, ["4111111111111111", "200.100.100.100", "+49 30 1234567", "49 30 1234567", "me [at] home.org"]))
+
+
+def planted(times):
+    """Numbers of one shape: phones repeated without their plus, and ten times as many that are something else."""
+    texts, wanted = [], []
+    for k in range(20 * times):
+        number = f"49 30 {1000000 + 7919 * k}"
+        texts.append(f"Call +{number} today. " + "word " * 60 + f"Or later {number} at home.")
+        wanted.append((3, len(texts[-1]) - len(f"{number} at home."), len(texts[-1]) - len(" at home.")))
+    for k in range(200 * times):
+        texts.append(f"Order 17 82 {2000000 + 104729 * k % 7000000} was sent.")
+        wanted.append(None)
+    texts += [f"Card {4000000000000000 + 7 * k} was used." for k in range(60 * times)]  # one in ten passes Luhn
+    return texts, wanted + [None] * 60 * times
+
+
+def test_learned_factors_add_linked_numbers_only(spark):
+    for times in (1, 5):
+        texts, wanted = planted(times)
+        model = op.learn(documents(spark, texts))
+        for text, span in zip(texts, wanted, strict=True):
+            base, every = op.all_spans(text, model)
+            assert sorted(set(every) - set(base)) == ([span] if span else [])
+
+
+def test_linked_ends_that_are_refused_tell_against_a_link(spark):
+    """Where pieces that fail their check share digits with cards, the skip table learns it."""
+    texts = [f"Card 4111 1111 1111 1111 and again {9000 + k} 1111 1111 1111 here." for k in range(300)]
+    skip, start = op.learn(documents(spark, texts))[3], op.learn(empty(spark))[3]
+    assert skip[2, 2] - skip[2, op.OTHER] < start[2, 2] - start[2, op.OTHER] - 3
+
+
 def test_query_columns_and_awkward_rows(spark):
     docs = awkward(spark)
     found = op.private_spans(docs).collect()

@@ -12,8 +12,16 @@ personal data becomes a span of that kind.
 
 The factors are count tables, each learned as a piece of its own (label given
 shape, label given the word before, labels of a chain link, labels of a skip
-link), from the units of all documents, in one aggregate of bounded size: feature
-values are hashed into ``BUCKETS``.
+link), from the units of all documents, in aggregates of bounded size: feature
+values are hashed into ``BUCKETS``.  In learning, base spans bear their kind, and pieces
+that a pattern matches whole but whose check fails (a number that fails Luhn, say) bear
+other and have shapes of their own.  All further units are unobserved: a first pass counts
+them as other and leaves their links out, a second one counts them by the marginals that the
+first one's factors give them, at both ends of links.  Shapes and words before never say more than ``NOISE`` and ``TILT``
+allow, however often they occur, and the skip table starts as ``SAME`` links of equal labels
+and ``DIFFERENT`` ones of each other pair.  So a link with a given span outweighs a
+shape that is mostly something else, at every size of the corpus, until linked ends that bear
+other tell against it.
 
 Two features have a reach: chain links join units at most ``NEAR`` code points apart
 (skip links any two), and of an address with a written-out at sign the local part has
@@ -46,6 +54,10 @@ BUCKETS = 1024
 ROUNDS = 12
 NEAR = 40
 SMOOTH = 0.5
+NOISE = 0.02  # the share of any shape's units whose labels are taken at random
+TILT = 0.2  # how far the word before may lower a label's odds
+SAME, DIFFERENT = 100.0, 0.05
+WHOLE = 1000  # counts are in thousandths, so that sums do not depend on their order
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -102,6 +114,14 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def refused(piece: str) -> bool:
+    """Whether a pattern matches the whole piece, but its check fails."""
+    digits = "".join(DIGITS.findall(piece))
+    return bool(
+        IP.fullmatch(piece) and not small_parts(piece)
+        or 16 <= len(digits) <= 19 and CARD.fullmatch(piece) and not luhn(digits)
+        or not 8 <= len(digits) <= 15 and PHONE.fullmatch(piece))
+
 
 def units(text: str, base: list[Span]) -> list[tuple[int, int, int, str]]:
     """(start, end, label, key) by start; label -1 where it is not given."""
@@ -132,9 +152,9 @@ def units(text: str, base: list[Span]) -> list[tuple[int, int, int, str]]:
 
 
 def shape(text: str) -> str:
-    """Digits as 0, letters as a, runs shortened; the plus of a phone number is left out."""
+    """Digits as 0, letters as a, runs shortened; the plus of a phone number is left out.  Refused pieces are marked."""
     plain = re.sub(r"[A-Za-z]+", "a", DIGITS.sub("0", text.lstrip("+")))
-    return re.sub(r"@|\s?[\[(]at[\])]\s?", "@", plain)
+    return re.sub(r"@|\s?[\[(]at[\])]\s?", "@", plain) + "!" * refused(text)
 
 
 def bucket(value: str) -> int:
@@ -158,21 +178,32 @@ def links(found: list[tuple[int, int, int, str]]) -> tuple[list[tuple[int, int]]
     return chain, skip
 
 
-def counts_of(text: str) -> Counter:
-    """(factor, feature, label) counts of one text; a unit without a given label counts as other."""
+def counts_of(text: str, model: list[np.ndarray] | None) -> Counter:
+    """(factor, feature, label) counts of one text, in thousandths; without a model, units without a label count as other,
+    and their links not at all."""
     found = units(text, base_spans(text))
-    label = [u[2] if u[2] >= 0 else OTHER for u in found]
+    label = np.zeros((len(found), OTHER + 1))
+    for k, unit in enumerate(found):
+        label[k, unit[2] if unit[2] >= 0 else OTHER] = 1
+    unseen = [k for k, unit in enumerate(found) if unit[2] < 0 and not refused(text[unit[0] : unit[1]])]
+    if model and unseen:
+        label[unseen] = labels(text, found, model)[unseen]
     out: Counter = Counter()
+
+    def add(factor: int, feature: int, amounts: np.ndarray) -> None:
+        for y in np.flatnonzero(amounts > 0.5 / WHOLE).tolist():
+            out[factor, feature, y] += round(float(amounts[y]) * WHOLE)
+
     for unit, y in zip(found, label, strict=True):
         one, two = features(text, unit)
-        out[0, one, y] += 1
-        out[1, two, y] += 1
-    chain, skip = links(found)
-    for a, b in chain:
-        out[2, label[a], label[b]] += 1
-    for a, b in skip:
-        if found[a][2] >= 0 and found[b][2] >= 0:
-            out[3, label[a], label[b]] += 1
+        add(0, one, y)
+        add(1, two, y)
+    if not model:
+        label[unseen] = 0
+    for factor, pairs in enumerate(links(found), 2):
+        for a, b in pairs:
+            for y in range(OTHER + 1):
+                add(factor, y, label[a, y] * label[b])
     return out
 
 
@@ -180,15 +211,16 @@ def texts_of(batch: pa.RecordBatch, at: int) -> list[str]:
     return [x or "" for x in batch.column(at).to_pylist()]
 
 
-def factor_counts(documents: DataFrame) -> DataFrame:
+def factor_counts(documents: DataFrame, model: list[np.ndarray] | None) -> DataFrame:
     """factor, feature, label, n over all documents: at most 2 * BUCKETS + 10 features of 5 labels."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in slices(batches):
             for text in texts_of(batch, 0):
                 if CLUE.search(text):
-                    total += counts_of(text)
+                    total += counts_of(text, shared.value)
         rows = [(*key, n) for key, n in total.items()]
         names = ["factor", "feature", "label", "n"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=names)
@@ -199,23 +231,30 @@ def factor_counts(documents: DataFrame) -> DataFrame:
 
 def learn(documents: DataFrame) -> list[np.ndarray]:
     """Log factors: shape, word before, chain, skip."""
+    return factors(documents, factors(documents, None))
+
+
+def factors(documents: DataFrame, model: list[np.ndarray] | None) -> list[np.ndarray]:
     tables = [np.zeros((BUCKETS, OTHER + 1)), np.zeros((BUCKETS, OTHER + 1)),
               np.zeros((OTHER + 1, OTHER + 1)), np.zeros((OTHER + 1, OTHER + 1))]
-    for row in factor_counts(documents).collect():
-        tables[row.factor][row.feature, row.label] += row.n
+    for row in factor_counts(documents, model).collect():
+        tables[row.factor][row.feature, row.label] += row.n / WHOLE
     shape_, word, chain, skip = tables
     prior = shape_.sum(0) + SMOOTH
     prior /= prior.sum()
-    shape_ = np.log((shape_ + SMOOTH * prior) / (shape_ + SMOOTH * prior).sum(1, keepdims=True))
+    shape_ = (shape_ + SMOOTH * prior) / (shape_ + SMOOTH * prior).sum(1, keepdims=True)
+    shape_ = np.log((1 - NOISE) * shape_ + NOISE / len(prior))
     pull = len(prior) * 4.0  # the word before only tilts what the shape says
-    word = np.log((word + pull * prior) / (word + pull * prior).sum(1, keepdims=True) / prior)
+    word = (word + pull * prior) / (word + pull * prior).sum(1, keepdims=True) / prior
+    word = np.log((1 - TILT) * word + TILT)
 
-    def ratio(table: np.ndarray, own: float) -> np.ndarray:
-        table = (table + table.T) / 2 + 1.0 + own * np.eye(OTHER + 1)
+    def ratio(table: np.ndarray, start: np.ndarray) -> np.ndarray:
+        table = (table + table.T) / 2 + start
         table /= table.sum()
         return np.log(table / np.outer(table.sum(0), table.sum(0)))
 
-    return [shape_, word, 0.5 * ratio(chain, 0.0), ratio(skip, 20.0)]
+    own = np.eye(OTHER + 1)
+    return [shape_, word, 0.5 * ratio(chain, np.ones_like(own)), ratio(skip, np.where(own, SAME, DIFFERENT))]
 
 
 def marginals(nodes: np.ndarray, edges: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -241,11 +280,8 @@ def marginals(nodes: np.ndarray, edges: np.ndarray, factors: np.ndarray) -> np.n
     return belief / belief.sum(1, keepdims=True)
 
 
-def added_spans(text: str, base: list[Span], model: list[np.ndarray]) -> list[Span]:
-    """Spans that the field adds to the base spans."""
-    found = units(text, base)
-    if all(unit[2] >= 0 for unit in found):
-        return []
+def labels(text: str, found: list[tuple[int, int, int, str]], model: list[np.ndarray]) -> np.ndarray:
+    """The marginals of every unit; those of base spans are certain."""
     nodes = np.full((len(found), OTHER + 1), -50.0)
     for k, unit in enumerate(found):
         if unit[2] >= 0:
@@ -256,7 +292,15 @@ def added_spans(text: str, base: list[Span], model: list[np.ndarray]) -> list[Sp
     chain, skip = links(found)
     edges = np.array(chain + skip, np.int64).reshape(-1, 2)
     tables = np.concatenate([np.broadcast_to(model[2], (len(chain), *model[2].shape)), np.broadcast_to(model[3], (len(skip), *model[3].shape))])
-    best = marginals(nodes, edges, tables).argmax(1)
+    return marginals(nodes, edges, tables)
+
+
+def added_spans(text: str, base: list[Span], model: list[np.ndarray]) -> list[Span]:
+    """Spans that the field adds to the base spans."""
+    found = units(text, base)
+    if all(unit[2] >= 0 for unit in found):
+        return []
+    best = labels(text, found, model).argmax(1)
     return [(int(y), u[0], u[1]) for u, y in zip(found, best, strict=True) if u[2] < 0 and y != OTHER]
 
 
