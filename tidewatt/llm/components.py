@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewatt.llm.common import saved
 
+HOT, MOST_HOT = 1000, 100_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``links`` (u, v) reaches.
@@ -21,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
         "edges",
     )
     while not are_stars(edges):
-        edges = saved(small_star(large_star(edges)), "edges")
+        edges = saved(small_star(large_star(edges, edges.count())), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 
@@ -34,12 +36,19 @@ def are_stars(edges: DataFrame) -> bool:
     return kinds.filter("n > 1 OR n = 1 AND least = 0").isEmpty()
 
 
-def large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of its neighbourhood."""
+def large_star(edges: DataFrame, size: int) -> DataFrame:
+    """Every larger neighbour of a node is linked to the smallest of its neighbourhood.
+
+    Nodes with more neighbours than ``HOT`` and than the ``MOST_HOT``-th part of the ``size`` edges, of which there
+    are at most twice ``MOST_HOT``, are broadcast, so that their neighbours stay where they are.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    smallest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    moved = both.filter("v > u").join(smallest, "u")
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    smallest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+    hot = F.col("n") > max(HOT, size // MOST_HOT)
+    larger = both.filter("v > u").join(F.broadcast(smallest.filter(hot).select("u", F.col("m").alias("known"))), "u", "left")
+    met = larger.filter("known IS NULL").join(smallest.filter(~hot).select("u", "m"), "u")
+    return larger.filter("known IS NOT NULL").select(F.col("v").alias("u"), F.col("known").alias("v")).unionByName(
+        met.select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
