@@ -27,10 +27,12 @@ def initial(symbols: int, seed: int = 1) -> Weights:
     rng = np.random.default_rng(seed)
     members = -(-symbols // CLASSES)
     shapes = {
-        "x": (3, symbols, HIDDEN), "u": (3, HIDDEN, HIDDEN), "class": (HIDDEN, CLASSES), "class_b": (CLASSES,),
+        "x": (symbols, 3, HIDDEN), "u": (HIDDEN, 3, HIDDEN), "class": (HIDDEN, CLASSES), "class_b": (CLASSES,),
         "member": (CLASSES, HIDDEN, members), "member_b": (CLASSES, members),
     }
     weights = {k: rng.normal(0, 0.1, shape).astype(np.float32) for k, shape in shapes.items()}
+    for k in ("x", "u"):
+        weights[k] = np.ascontiguousarray(weights[k].transpose(1, 0, 2))
     weights["class_b"][:] = 0
     weights["member_b"][:] = 0
     # Places of the last class that no symbol has are never chosen.
