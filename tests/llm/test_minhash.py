@@ -57,6 +57,42 @@ def test_same_components_as_all_pairs(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found.values())
 
 
+def test_a_large_group_near_the_threshold_gives_no_rows_for_its_pairs(spark, monkeypatch):
+    """A fifth of all pairs are linked; rows stay in proportion to the members of buckets, in blocks of any size."""
+    rng = random.Random(8)
+    texts = []
+    for k, count in enumerate((160, 40)):
+        base = [f"g{k}w{n}" for n in range(150)]
+        for _ in range(count):
+            at = set(rng.sample(range(0, 150, 15), 3))
+            texts.append(" ".join(f"x{rng.randrange(10**6)}" if n in at else w for n, w in enumerate(base)))
+    labels, _ = brute(texts, 4)
+    assert 1 < len(set(labels)) < len(texts) / 4
+    seen = []
+    for cost in (op.BLOCK_COST, 20 * op.MEMBER_COST):
+        monkeypatch.setattr(op, "BLOCK_COST", cost)
+        monkeypatch.setattr(op, "components", lambda links: seen.append(links.count()) or components(links))
+        found = by_id(op.near_duplicates(documents(spark, texts), size=4))
+        assert [found[k]["component_id"] for k in range(len(texts))] == labels
+    assert max(seen) < 5 * len(texts), seen
+
+
+def test_shared_differences_are_counted_whatever_their_number():
+    rng = np.random.default_rng(0)
+
+    def block(count):
+        sets = [set(rng.integers(0, 60, rng.integers(0, 20)).tolist()) | set(rng.integers(100, 9000, 30).tolist()) for _ in range(count)]
+        made = op.Members.__new__(op.Members)
+        made.n, made.values = np.ones(count), np.array([v for s in sets for v in s], np.int64)
+        made.rows = np.repeat(np.arange(count), [len(s) for s in sets])
+        return made, sets
+
+    for sizes in ((1, 1), (50, 80), (200, 7)):
+        (one, ours), (two, theirs) = map(block, sizes)
+        assert op.common([one, two]).tolist() == [[len(a & b) for b in theirs] for a in ours]
+        assert np.array_equal(np.triu(op.common([one]), 1), np.triu([[len(a & b) for b in ours] for a in ours], 1))
+
+
 def test_awkward_rows_and_empty_table(spark):
     docs = awkward(spark)
     found = op.near_duplicates(docs).collect()

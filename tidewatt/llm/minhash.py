@@ -12,10 +12,12 @@ of classes are confirmed on their full sets.  Every member of a bucket is compar
 with the bucket's pivot, the member with most companions in all its buckets; two
 members linked to one pivot are in one component already.  A comparison leaves
 what a set lacks and has beside the pivot's, and from the differences of two
-members the similarity of their full sets follows.  That is tested where the
-members of a bucket meet, for pairs whose sizes and distances to the pivot allow
-a link at all (Jaccard distance is a metric), and only links leave the join.  So
-components are those that all pairs within buckets would give.
+members the similarity of their full sets follows.  The members of such a bucket are
+dealt into blocks of bounded size; a task takes two blocks, counts what the differences
+share for all pairs whose sizes and distances to the pivot allow a link at all
+(Jaccard distance is a metric), and returns a forest of the labels that links join, never
+pairs.  So components are those that all pairs within buckets would give, rows stay in
+proportion to the members, and only a bucket of many blocks meets itself more than once.
 
 Defined results: a null or empty text, or one of white space only, has an empty
 set, links with nothing and is kept.  A null id links with nothing and is kept.
@@ -33,12 +35,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.common import chunks, hashed_words, id_set, mix, saved, shingles, slices
+from tidewatt.llm.common import chunks, hashed_words, id_set, mix, one_thread, saved, shingles, slices
 from tidewatt.llm.components import components
 
 SIZE = 5
 PERCENT = 80
 PERMUTATIONS, BANDS, ROWS = 80, 32, 5
+BLOCK_COST, MEMBER_COST = 1 << 18, 512  # of a block, in hashes; about 500 members at most
+FEW_TIMES, COLUMNS = 16, 1024
 SIGNATURE = "doc_id bigint, version bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>"
 
 
@@ -214,12 +218,7 @@ def bucket_members(classes: DataFrame) -> DataFrame:
 
 
 def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v) that give the components all pairs within buckets would give."""
-    reach = 1 - percent / 100 + 1e-9
-
-    def fits(a: str, b: str) -> str:
-        return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-
+    """Pairs (u, v) of one component each, which give the components that all pairs within buckets would give."""
     best = F.max_by(F.struct("rep", "n"), F.struct("degree", -F.col("rep")))
     pivots = members.groupBy("key").agg(best.alias("p")).select("key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("p_n"))
     first = saved(members.join(pivots, "key").drop("degree").filter("rep != pivot"), "op5-first")
@@ -234,15 +233,106 @@ def links_of(members: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     rest = known.join(open_keys.select("key"), "key").join(labels, "rep", "left")
     sets = one.select(F.col("u").alias("rep"), F.col("v").alias("pivot"), "gone", "more")
     rest = saved(rest.withColumn("label", F.coalesce("label", "rep")).join(sets, ["rep", "pivot"]), "op5-rest")
-    columns = ["rep", "n", "p_n", "label", "d", "gone", "more"]
-    left = rest.select("key", *[F.col(c).alias(f"{c}_u") for c in columns])
-    right = rest.select("key", *[F.col(c).alias(f"{c}_v") for c in columns])
-    shared = "p_n_u - size(array_union(gone_u, gone_v)) + size(array_intersect(more_u, more_v))"
-    two = left.join(right, "key").filter("rep_u < rep_v AND label_u != label_v").filter(fits("n_u", "n_v")).filter(
-        f"abs(d_u - d_v) <= {reach}").filter(f"{100 + percent} * ({shared}) >= {percent} * (n_u + n_v)")
-    return one.filter("linked").select("u", "v").unionByName(
-        two.select(F.col("rep_u").alias("u"), F.col("rep_v").alias("v"))
-    )
+    return one.filter("linked").select("u", "v").unionByName(label_links(rest, percent))
+
+
+def label_links(rest: DataFrame, percent: int) -> DataFrame:
+    """(u, v): labels that links between members of a bucket join, as forests of two blocks each."""
+    member = F.struct("rep", "n", "label", "d", "gone", "more")
+    cost = F.lit(MEMBER_COST) + F.size("gone") + F.size("more")
+    parts = rest.groupBy("key").agg(F.ceil(F.sum(cost) / BLOCK_COST).alias("parts"))
+    dealt = rest.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("rep"), "parts"))
+    blocks = saved(dealt.groupBy("key", "part").agg(
+        F.first("parts").alias("parts"), F.first("p_n").alias("p_n"), F.collect_list(member).alias("members")), "op5-blocks")
+    several = blocks.filter("parts > 1")
+    left = several.select("key", F.explode(F.sequence(F.col("part") + 1, F.col("parts"))).alias("part"), "p_n", "members")
+    right = several.select("key", "part", F.col("members").alias("others"))
+    apart = left.join(right, ["key", "part"])
+    kind = blocks.schema["members"].dataType
+    alone = blocks.select("p_n", "members", F.lit(None).cast(kind).alias("others"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
+        for batch in batches:
+            found = [np.zeros((2, 0), np.int64)]
+            for row in range(batch.num_rows):
+                sides = [batch.column(k)[row].values for k in (1, 2) if batch.column(k)[row].is_valid]
+                found.append(forest(batch.column(0)[row].as_py(), [Members(side) for side in sides], percent))
+            u, v = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    pairs = alone.unionByName(apart.select("p_n", "members", "others"))
+    return pairs.mapInArrow(run, "u bigint, v bigint").distinct()
+
+
+class Members:
+    """Members of a block, and their differences from the pivot's set: hashes, and the member of each."""
+
+    def __init__(self, rows: pa.StructArray) -> None:
+        self.n, self.label, self.d = (rows.field(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+        lists = [rows.field(k) for k in (4, 5)]
+        sizes = [np.diff(x.offsets.to_numpy()) for x in lists]
+        self.gone = sizes[0].astype(np.int64)
+        self.values = np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in lists])
+        self.rows = np.concatenate([np.repeat(np.arange(len(rows)), x) for x in sizes])
+
+
+def forest(p_n: int, sides: list[Members], percent: int) -> np.ndarray:
+    """Labels, and the smaller ones that links of one block's members, or of two blocks' members, join them to."""
+    one, two = sides[0], sides[-1]
+    fit = one.label[:, None] != two.label
+    fit &= 100 * np.minimum(one.n[:, None], two.n) >= percent * np.maximum(one.n[:, None], two.n)
+    fit &= np.abs(one.d[:, None] - two.d) <= 1 - percent / 100 + 1e-9
+    if one is two:
+        fit = np.triu(fit)
+    a, b = np.nonzero(fit)
+    if not len(a):
+        return np.zeros((2, 0), np.int64)
+    shared = common(sides)[a, b] + p_n - one.gone[a] - two.gone[b]
+    linked = (100 + percent) * shared >= percent * (one.n[a] + two.n[b])
+    names, ends = np.unique(np.concatenate([one.label[a[linked]], two.label[b[linked]]]), return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    root = np.arange(len(names))
+    while len(u):
+        low, high = np.minimum(root[u], root[v]), np.maximum(root[u], root[v])
+        np.minimum.at(root, high, low)
+        while not np.array_equal(jumped := root[root], root):
+            root = jumped
+        apart = root[u] != root[v]
+        u, v = u[apart], v[apart]
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    return np.stack([names[moved], names[root[moved]]])
+
+
+def common(sides: list[Members]) -> np.ndarray:
+    """How many hashes each member of the first block shares with each of the last."""
+    one, two = sides[0], sides[-1]
+    shift = 0 if one is two else len(one.n)
+    total = shift + len(two.n)
+    values = np.concatenate([x.values for x in sides])
+    rows = np.concatenate([one.rows, two.rows + shift] if shift else [one.rows])
+    order = np.argsort(values, kind="stable")
+    values, rows = values[order], rows[order]
+    starts = np.flatnonzero(np.diff(values, prepend=values[:1] - 1)) if len(values) else np.zeros(0, np.int64)
+    times = np.diff(starts, append=len(values))
+    out = np.zeros((len(one.n), len(two.n)), np.int64)
+    each = np.repeat(times, times)
+    few = each <= FEW_TIMES
+    some, of = rows[few], np.repeat(starts, times)[few]
+    for lag in range(1, min(FEW_TIMES, len(some))):
+        same = np.flatnonzero(of[lag:] == of[:-lag])
+        if not len(same):
+            break
+        low, high = np.minimum(some[same], some[same + lag]), np.maximum(some[same], some[same + lag]) - shift
+        inside = (low < len(one.n)) & (high >= 0)
+        np.add.at(out, (low[inside], high[inside]), 1)
+    many, column = rows[~few], np.repeat(np.cumsum(times > FEW_TIMES) - 1, times)[~few]
+    edges = np.searchsorted(column, np.arange(0, column[-1] + 1 + COLUMNS, COLUMNS)) if len(column) else []
+    for k, (start, end) in enumerate(zip(edges, edges[1:], strict=False)):
+        held = np.zeros((total, COLUMNS), np.float32)
+        held[many[start:end], column[start:end] - k * COLUMNS] = 1
+        out += (held[: len(one.n)] @ held[shift:].T).astype(np.int64)
+    return out
 
 
 def deduplicated(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
