@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 
@@ -88,3 +90,22 @@ def test_tree_covers_its_points():
         gap = np.sqrt(((points[below[k]] - points[centre]) ** 2).sum(1)).max()
         assert gap <= cover[k] + 1e-6
     assert sorted(below[0]) == list(range(len(points)))
+
+
+def test_small_nodes_go_on_together(monkeypatch):
+    """The steps of a traversal follow the points, not the pairs of small nodes; the links are those of all pairs."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(300, 24))
+    points = np.repeat(centres, 3, axis=0) + rng.normal(size=(900, 24)) * 0.2 * rng.random((900, 1))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    nodes, cover = op.cover_tree(points)
+    row = SimpleNamespace(
+        ids_a=np.arange(900).tobytes(), sizes_a=np.ones(900, np.int64).tobytes(), points_a=points.tobytes(),
+        nodes_a=nodes.tobytes(), cover_a=cover.tobytes())
+    calls, children = [], op.Block.children
+    monkeypatch.setattr(op.Block, "children", lambda block, nodes: calls.append(len(nodes)) or children(block, nodes))
+    one = op.Block(row, "a")
+    found = op.Found(one, one, True, 0.9)
+    found.visit(np.zeros(1, np.int64), np.zeros(1, np.int64))
+    assert found.count_one.tolist() == ((points @ points.T >= 0.9).sum(1) - 1).tolist()
+    assert len(calls) < (cover > 0).sum() / 3

@@ -39,6 +39,7 @@ SAMPLE = 2048
 CENTRES = 256
 BUCKET = 16
 ROWS_AT_ONCE = 512
+TOGETHER = 64
 SLACK = 1e-4  # single precision prunes; it may only keep too much
 TREE = (
     "block int, dim int, size int, centre array<double>, radius double, "
@@ -119,9 +120,9 @@ class Block:
         self.short = self.points.astype(np.float32)
 
     def children(self, nodes: np.ndarray) -> np.ndarray:
-        if not len(nodes):
-            return nodes
-        return np.concatenate([np.arange(first, end) for _, first, end in self.nodes[nodes]])
+        first, end = self.nodes[nodes, 1], self.nodes[nodes, 2]
+        sizes = end - first
+        return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
 class Found:
@@ -140,18 +141,16 @@ class Found:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            b_points, wide = two.short[two.nodes[b, 0]], two.cover[b].astype(np.float32)
-            b_single, b_wide = two.single[b], np.flatnonzero(wide > 0)
+            b_points, reach = two.short[two.nodes[b, 0]], two.cover[b].astype(np.float32) + np.float32(self.reach)
+            b_single, least = two.single[b], 1 - reach * reach / 2 - np.float32(SLACK)
             for start in range(0, len(a), ROWS_AT_ONCE):
                 rows = a[start : start + ROWS_AT_ONCE]
                 cosine = one.short[one.nodes[rows, 0]] @ b_points.T
                 own = one.cover[rows].astype(np.float32)
-                alive = cosine >= self.cosine - SLACK
+                alive = cosine >= least
                 for k in np.flatnonzero(own > 0):
-                    alive[k] = cosine[k] >= 1 - (own[k] + wide + self.reach) ** 2 / 2 - SLACK
-                if len(b_wide):
-                    bound = (own[:, None] + wide[b_wide][None] + np.float32(self.reach)) ** 2
-                    alive[:, b_wide] = cosine[:, b_wide] >= 1 - bound / 2 - SLACK
+                    bound = reach + own[k]
+                    alive[k] = cosine[k] >= 1 - bound * bound / 2 - np.float32(SLACK)
                 some = alive.any(1)
                 points = some & one.single[rows]
                 if points.any():
@@ -162,10 +161,15 @@ class Found:
                     if deeper.any():
                         near = deeper.any(1)
                         todo.append((rows[points][near], two.children(b[~b_single][deeper.any(0)])))
-                for k in np.flatnonzero(some & ~one.single[rows]):
-                    mine = b[alive[k]]
-                    leaf = two.single[mine]
-                    todo.append((one.children(rows[k : k + 1]), np.concatenate([mine[leaf], two.children(mine[~leaf])])))
+                inner = np.flatnonzero(some & ~one.single[rows])
+                if len(inner):
+                    # Nodes of few children go on together against the nodes any of them is near.
+                    first, end = one.nodes[rows[inner], 1], one.nodes[rows[inner], 2]
+                    group = np.cumsum(end - first) // TOGETHER
+                    for nodes in np.split(inner, np.flatnonzero(np.diff(group)) + 1):
+                        mine = b[alive[nodes].any(0)]
+                        leaf = two.single[mine]
+                        todo.append((one.children(rows[nodes]), np.concatenate([mine[leaf], two.children(mine[~leaf])])))
 
     def compare(self, a: np.ndarray, b: np.ndarray) -> None:
         """Points against points, in double precision."""
