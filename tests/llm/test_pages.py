@@ -194,3 +194,21 @@ def test_pages_of_a_layout_have_one_key():
     keys = [op.page_keys(op.parse(page.format(text, script))) for text, script in (("a  b", "x"), ("a b", "y"), ("c", "x"))]
     assert keys[0] == keys[1] != keys[2] and keys[0][0] == keys[2][0]
     assert op.page_keys(op.parse(page.replace("wide", "slim")))[0] != keys[0][0]
+
+
+def test_pages_carry_no_reference_text_and_texts_are_the_same_either_way(spark, monkeypatch):
+    """Below the bound a reference goes to each process once; beyond it, beside the pages, with the same texts."""
+    schema = "page_id bigint, url string, html string"
+    rows = [(k, f"http://{'ab'[k % 2]}.example/{k}", host_page(k)) for k in range(24)] + [(99, None, None)]
+    pages = spark.createDataFrame(rows, schema).repartition(3)
+    groups = spark.createDataFrame([("h", 0, 7, "<p>a reference")], "host string, kind bigint, id bigint, reference string")
+    page = spark.createDataFrame([("h", 0, "<p>x")], "host string, kind bigint, html string")
+    texts, seen = [], []
+    for bound in (op.MAX_BROADCAST_BYTES, 0):
+        monkeypatch.setattr(op, "MAX_BROADCAST_BYTES", bound)
+        met, read = op.with_group(page, groups, ["html", "id", "reference"])
+        row = met.first()
+        seen.append((row.reference, read(row.id, row.reference)))
+        texts.append(sorted((r.page_id, r.url, r.text, r.n_chars) for r in op.main_texts(pages).collect()))
+    assert texts[0] == texts[1] and len(texts[0]) == 25
+    assert seen == [(None, "<p>a reference"), ("<p>a reference", "<p>a reference")]

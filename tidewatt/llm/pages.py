@@ -23,7 +23,8 @@ All pages are counted, those with the same text once; fewer than ``LEAST_PAGES``
 are no evidence.  Layouts with fewer different texts are taken together, host by
 host.  Reference pages: the page with the lowest hash of each layout, one of up
 to ``REFERENCE_BYTES`` if there is any.  Pages meet the reference and template of
-their layout in joins; those sides are broadcast up to a counted bound.
+their layout in joins; those sides are broadcast up to a counted bound, and up to it no page carries its
+reference's text with it.
 
 A page is parsed once for its keys (host, layout, digest), which are saved beside it.  Matching
 takes the product of two nodes' numbers of children in time, and two bits for each such pair in memory.
@@ -40,7 +41,7 @@ import html as entities
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -530,35 +531,44 @@ def references(pages: DataFrame) -> DataFrame:
     return saved(chosen.join(counted, of).withColumn("id", F.monotonically_increasing_id()), "op10-references")
 
 
-def met_by_pages(groups: DataFrame) -> DataFrame:
-    """The groups, to be broadcast if they take ``MAX_BROADCAST_BYTES`` at most."""
+def with_group(pages: DataFrame, groups: DataFrame, columns: list[str]) -> tuple[DataFrame, Callable[[int, str | None], str | None]]:
+    """The pages with ``columns`` of their groups, among them id and reference, and how a task reads a reference from these two.
+
+    Up to ``MAX_BROADCAST_BYTES`` the groups are broadcast, and the reference pages go to each Python process once
+    instead of beside every page, where they would make up most of what tasks hold; the column is null then.
+    """
     size = groups.agg(F.sum(F.octet_length("reference") + 100)).first()[0] or 0
-    return F.broadcast(groups) if size <= MAX_BROADCAST_BYTES else groups
+    if size > MAX_BROADCAST_BYTES:
+        return pages.join(groups, ["host", "kind"]).select(*columns), lambda _, text: text
+    texts = {row.id: row.reference for row in groups.select("id", "reference").collect()}
+    shared = groups.sparkSession.sparkContext.broadcast(texts)
+    short = F.broadcast(groups.withColumn("reference", F.lit(None).cast("string")))
+    return pages.join(short, ["host", "kind"]).select(*columns), lambda number, _: shared.value[number]
 
 
 def templates(pages: DataFrame, reference: DataFrame) -> DataFrame:
-    """host, kind, reference, template: the marks that are constant in the group."""
+    """host, kind, id, reference, template: the marks that are constant in the group."""
+
+    met, read = with_group(pages, reference.filter(f"n >= {LEAST_PAGES}"), ["html", "digest", "id", "reference"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [
                 (group, mark, digest)
                 for page, digest, group, other in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-                for mark in {m for m, _ in marks(parse(page), reference_tree(other))}
+                for mark in {m for m, _ in marks(parse(page), reference_tree(read(group, other)))}
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in found], pa.int64()) for k in range(3)], names=["id", "mark", "digest"])
 
-    joined = pages.select("html", "digest", "host", "kind").join(
-        met_by_pages(reference.filter(f"n >= {LEAST_PAGES}")), ["host", "kind"])
-    counted = joined.select("html", "digest", "id", "reference").mapInArrow(run, "id bigint, mark bigint, digest bigint")
+    counted = met.mapInArrow(run, "id bigint, mark bigint, digest bigint")
     constant = counted.distinct().groupBy("id", "mark").agg(F.count("*").alias("same")).join(
         reference.select("id", "n"), "id"
     ).filter(f"same >= {LEAST_PAGES} AND same >= {CONSTANT} * n")
     lists = constant.groupBy("id").agg(F.collect_list("mark").alias("template"))  # about two pages' nodes at most
     empty = F.array().cast("array<bigint>")
     return saved(
-        reference.join(lists, "id", "left").select("host", "kind", "reference", F.coalesce("template", empty).alias("template")),
+        reference.join(lists, "id", "left").select("host", "kind", "id", "reference", F.coalesce("template", empty).alias("template")),
         "op10-templates",
     )
 
@@ -569,12 +579,14 @@ def main_texts(pages: DataFrame) -> DataFrame:
     kinds = with_kind(every, layouts(every))
     template = templates(kinds, references(kinds))
 
+    joined, read = with_group(kinds, template, ["page_id", "url", "html", "id", "reference", "template"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [main_text(*row) for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
+            rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)
+            texts = [main_text(page, read(group, other), marked) for page, group, other, marked in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    joined = kinds.join(met_by_pages(template), ["host", "kind"]).select("page_id", "url", "html", "reference", "template")
     return joined.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
