@@ -188,3 +188,18 @@ def test_rounds_lower_the_loss_and_start_at_the_shares(spark):
         shares[k] = shares[k] * 0
     assert math.isclose(gru.likelihoods(shares, symbols, starts)[0] / len(symbols), -math.log(4), rel_tol=0.05)
     assert gru.likelihoods(op.fit(op.encoded(docs, words), words), symbols, starts)[0] > 0.98 * gru.likelihoods(shares, symbols, starts)[0]
+
+
+def test_known_words_have_their_base_and_share_ready():
+    """They are worked out once for each word of the vocabulary, not for each token; symbols of their own have no share."""
+    words = op.Vocabulary.__new__(op.Vocabulary)
+    words.hashes, words.counts = np.array([3, 8, 20], np.uint64), np.array([5, 2, 7])
+    words.symbols, words.tails = np.array([1, op.HEADS + 4, 2]), np.full((op.TAILS, 2), 9.0)
+    words.total, words.distinct, words.ends = 30, 6, 4
+    words.bases, words.shares = words.base(words.counts), np.array([0.0, -1.5, 0.0])
+    hashes = np.array([8, 1, 20, int(op.END), 8, 99, 3], np.uint64)
+    symbol, count, known, base, share = words.look_up(hashes, np.full(7, 4))
+    assert symbol.tolist() == [op.HEADS + 4, op.HEADS + 4, 2, 0, op.HEADS + 4, op.HEADS + 4, 1]
+    assert count.tolist() == [2, 0, 7, 4, 2, 0, 5] and known.tolist() == [True, False, True, True, True, False, True]
+    assert base.tolist() == np.where(known, words.base(count), 0.0).tolist()
+    assert share.tolist() == [-1.5, 0, 0, 0, -1.5, 0, 0]

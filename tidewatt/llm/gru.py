@@ -310,12 +310,22 @@ class Trainer:
         grad["x"][:, symbols] = sums
 
     def apply(self, grad: Weights) -> None:
+        """One step; the gradients are used up."""
         self.step += 1
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         rate = RATE * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step)
         for k, g in grad.items():
-            g = g * scale
-            self.mean[k] += (g - self.mean[k]) * np.float32(0.1)
-            self.square[k] += (g * g - self.square[k]) * np.float32(0.001)
-            self.w[k] -= np.float32(rate) * self.mean[k] / (np.sqrt(self.square[k]) + np.float32(1e-8))
+            g *= scale
+            mean, square, part = self.mean[k], self.square[k], np.subtract(g, self.mean[k])
+            part *= np.float32(0.1)
+            mean += part
+            g *= g
+            g -= square
+            g *= np.float32(0.001)
+            square += g
+            np.sqrt(square, out=g)
+            g += np.float32(1e-8)
+            np.multiply(mean, np.float32(rate), out=part)
+            part /= g
+            self.w[k] -= part

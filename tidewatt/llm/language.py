@@ -115,6 +115,8 @@ class Vocabulary:
             self.tails[t] -= n, 1
         order = np.argsort(hashes)
         self.hashes, self.counts, self.symbols = hashes[order], c[order], symbol[order]
+        self.bases = self.base(self.counts)
+        self.shares = np.where(self.symbols < HEADS, 0.0, self.share(self.counts, tail[order]))
 
     @classmethod
     def of(cls, state: dict) -> Vocabulary:
@@ -130,17 +132,20 @@ class Vocabulary:
         """log10 of a word's share of its tail."""
         return np.log10((c + 0.1) / (self.tails[tail, 0] + 0.1 * (self.tails[tail, 1] + 1)))
 
-    def look_up(self, hashes: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbol and count of each token; whether the count is known here."""
-        at = np.searchsorted(self.hashes, hashes)
+    def look_up(self, hashes: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Symbol and count of each token; whether the count is known here, and its base and share of its tail then."""
+        at = np.empty(len(hashes), np.int64)
+        order = np.argsort(hashes)  # words in order are found much faster
+        at[order] = np.searchsorted(self.hashes, hashes[order])
         at[at == len(self.hashes)] = 0
         found = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
         symbol = HEADS + tail
-        count = np.zeros(len(hashes), np.int64)
-        symbol[found], count[found] = self.symbols[at[found]], self.counts[at[found]]
+        count, base, share = np.zeros(len(hashes), np.int64), np.zeros(len(hashes)), np.zeros(len(hashes))
+        at = at[found]
+        symbol[found], count[found], base[found], share[found] = self.symbols[at], self.counts[at], self.bases[at], self.shares[at]
         is_end = hashes == END
-        symbol[is_end], count[is_end] = 0, self.ends
-        return symbol, count, found | is_end
+        symbol[is_end], count[is_end], base[is_end] = 0, self.ends, self.base(np.array(self.ends))
+        return symbol, count, found | is_end, base, share
 
 
 def started(words: Vocabulary) -> gru.Weights:
@@ -260,7 +265,7 @@ def encoded(documents: DataFrame, words: Vocabulary) -> DataFrame:
 
     def known_part(part: pa.RecordBatch, words: Vocabulary) -> pa.RecordBatch:
         hashes, tail, starts = tokens(part.column(2))
-        symbol, count, known = words.look_up(hashes, tail)
+        symbol, count, known, base, share = words.look_up(hashes, tail)
         symbol = symbol.astype(np.int16)
         sizes = np.diff(starts)
         row = np.repeat(np.arange(len(sizes)), sizes)
@@ -268,9 +273,9 @@ def encoded(documents: DataFrame, words: Vocabulary) -> DataFrame:
         def per_row(values: np.ndarray) -> np.ndarray:
             return np.bincount(row, values, minlength=len(sizes))
 
-        shares = per_row(np.where(known & (symbol >= HEADS), words.share(count, tail), 0.0))
         rare = np.flatnonzero(~known)
-        order = rare[np.lexsort((hashes[rare], row[rare]))]
+        rare = rare[np.argsort(hashes[rare])]
+        order = rare[np.argsort(row[rare].astype(np.min_scalar_type(len(sizes))), kind="stable")]  # few rows sort by their digits
         new = np.ones(len(order), bool)
         new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
         first = np.flatnonzero(new)
@@ -279,9 +284,8 @@ def encoded(documents: DataFrame, words: Vocabulary) -> DataFrame:
         ends = np.append(0, np.cumsum(np.bincount(row[of], minlength=len(sizes)))).astype(np.int32)
         lists = [hashes[of].view(np.int64), tail[of].astype(np.int32), times.astype(np.int64)]
         columns = [
-            part.column(0), part.column(1), pa.array(sizes.astype(np.int64)), pa.array(per_row(known & (count > 0)).astype(np.int64)),
-            pa.array(per_row(np.where(known, words.base(count), 0.0))),
-            *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists], pa.array(shares),
+            part.column(0), part.column(1), pa.array(sizes.astype(np.int64)), pa.array(per_row(count > 0).astype(np.int64)), pa.array(per_row(base)),
+            *[pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists], pa.array(per_row(share)),
             pa.array([symbol[a:b].tobytes() for a, b in zip(starts, starts[1:], strict=False)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=NAMES)
