@@ -417,3 +417,23 @@ def test_source_names(spark):
 def test_raw_files_without_a_column(spark, raw_folder):
     with pytest.raises(ValueError, match="no column"):
         read_raw(spark, f"{raw_folder}/*_hourly.csv", ELECTRICITY)
+
+
+def test_names_of_files_meet_their_rows(spark, tmp_path):
+    """Paths and entities are worked out once a file, also where a URI writes the name otherwise."""
+    names = ["A+B", "C D", "E%2BF", "G%H", "I[j]", "Kö", "L,{m}"]
+    for k, name in enumerate(names):
+        write_raw(tmp_path / "raw +%", f"{name}_2021_hourly.csv", [f"2021-01-01 00:00:00,z,{k},{k}"] * 2)
+    raw = read_raw(spark, str(tmp_path / "raw +%"), ELECTRICITY, RAW)
+    assert sorted((r.country_code, r.cfe_percent) for r in raw.collect()) == sorted((n, str(k)) for k, n in enumerate(names) for _ in range(2))
+    assert {r.source.rsplit("/", 2)[1] for r in raw.collect()} == {"raw +%"}
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
+    assert plan.index("regexp_extract") > plan.index(scan) and "BroadcastHashJoin" in plan  # on the side of the files only
+
+
+@pytest.mark.parametrize("policy,numbers", [("per_metric", 2), ("strict_row", 2)])
+def test_text_is_parsed_once(spark, csv_file, policy, numbers):
+    readings = read_readings(spark, csv_file, "csv", ELECTRICITY, policy)
+    plan = readings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(?!0000)") == 1 and plan.count("[eE]") == numbers

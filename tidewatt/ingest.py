@@ -61,25 +61,28 @@ def read_raw(
     same places are one scan, and the scans are united by name.  A file that lacks a
     column, or has it twice, is an error that names it, before any row is read.
     ``source`` is the file's path; an entity column that a file lacks is taken from its name.
+    Both are worked out once a file and meet the rows by the file's URI, in a broadcast join.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     layouts: dict[tuple, list[str]] = {}
-    for file, header in source_headers(spark, paths).items():
+    headers = source_headers(spark, paths)
+    for (file, _), header in headers.items():
         places = column_places(header, file, spec, columns or {}, by_file or {})
         layouts.setdefault((len(header), places), []).append(file)
     if not layouts:
         raise ValueError(f"no raw file with a header line under {paths}")
-    # Spark gives the path as a URI.
-    source = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    source = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+    files = spark.createDataFrame([(uri,) for _, uri in headers], "uri string")
+    named = F.broadcast(files.select("uri", source.alias("source"), source_entity(source, pattern).alias("entity")))
     scans = []
-    for (width, places), files in layouts.items():
+    for (width, places), own in layouts.items():
         schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width)])
-        scan = spark.read.schema(schema).option("header", True).csv([literal_path(file) for file in files])
+        scan = spark.read.schema(schema).option("header", True).csv([literal_path(file) for file in own])
         picked = [
-            (source_entity(source, pattern) if place is None else F.col(f"c{place}")).alias(column)
+            F.col("entity" if place is None else f"c{place}").alias(column)
             for column, place in zip(spec.source_columns, places, strict=True)
         ]
-        scans.append(scan.select(*picked, source.alias("source")))
+        scans.append(scan.select("*", F.col("_metadata.file_path").alias("uri")).join(named, "uri", "left").select(*picked, "source"))
     return reduce(DataFrame.unionByName, scans)
 
 

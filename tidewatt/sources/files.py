@@ -76,15 +76,16 @@ def first_line(spark: SparkSession, file: str) -> str | None:
     return line
 
 
-def source_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """The header of every CSV file under ``paths``: the fields of its first line (ING-2).
+def source_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], tuple[str, ...]]:
+    """The header of every CSV file under ``paths``, by its path and its URI: the fields of its first line (ING-2).
 
     The driver, which lists the files for Spark's scan anyway, reads one line of each, several
     files at a time.  Files without any line hold no rows and are left out.
     """
-    names = sorted({row.path for path in paths for row in list_files(spark, path).select("path").collect()})
+    found = [list_files(spark, path).select("path", "_metadata.file_path") for path in paths]
+    names = sorted({tuple(row) for files in found for row in files.collect()})
     with ThreadPoolExecutor(OPEN_FILES) as pool:
-        lines = list(pool.map(lambda name: first_line(spark, name), names))
+        lines = list(pool.map(lambda name: first_line(spark, name[0]), names))
     return {
         name: tuple(field.strip() for field in next(csv.reader([line.removeprefix("\ufeff")])))
         for name, line in zip(names, lines, strict=True)

@@ -55,13 +55,29 @@ def as_readings(
     NULLs; ``strict_row`` needs every metric as well.
     """
     check_policy(policy)
-    shaped = typed(df, spec, entity).filter(F.col("time").isNotNull())
+    sources = {"time": spec.time_col}
     if policy == "strict_row":
-        for name in spec.metric_names:
-            shaped = shaped.filter(F.col(name).isNotNull())
+        sources |= {m.name: m.source for m in spec.metrics}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    from_text = [name for name, source in sources.items() if isinstance(types[source], T.StringType)]
+    shaped = parsed_once(typed(df, spec, entity), from_text)
+    for name in sources:
+        shaped = shaped.filter(F.col(name).isNotNull())
     return shaped
 
 
+def parsed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows, the columns ``names`` worked out before any filter on them.
+
+    Spark would put the expressions behind a column into the filter as well, and text
+    would be parsed for the filter and again for the row.  It puts none through a generator.
+    """
+    if not names:
+        return df
+    others = [name for name in df.columns if name not in names]
+    return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
 def csv_text(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """CSV files as text columns by position (SRC-2, FLT-3).
 
