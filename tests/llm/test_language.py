@@ -203,3 +203,22 @@ def test_known_words_have_their_base_and_share_ready():
     assert count.tolist() == [2, 0, 7, 4, 2, 0, 5] and known.tolist() == [True, False, True, True, True, False, True]
     assert base.tolist() == np.where(known, words.base(count), 0.0).tolist()
     assert share.tolist() == [-1.5, 0, 0, 0, -1.5, 0, 0]
+
+
+def test_most_frequent_words_sort_only_words_of_their_counts(spark, monkeypatch):
+    """Nearly all of the words of a large corpus are rare; they are left out before the sort, ties at the edge are not."""
+    rows = [(h, 0, 1 + 9 * (h % 50 == 0) + 3 * (h % 10 == 0)) for h in range(-1000, 1000)]
+    counts = spark.createDataFrame(rows, "h bigint, tail int, c bigint")
+    best = sorted(rows, key=lambda r: (-r[2], r[0]))
+    for size in (0, 1, 39, 40, 41, 150, 200, 201, 1999, 2000, 5000):
+        assert [tuple(r) for r in op.frequent(counts, size).collect()] == best[:size]
+    plan = op.frequent(counts, 150)._jdf.queryExecution().optimizedPlan().toString()
+    assert "(c#" in plan and ">= 4)" in plan
+
+
+def test_frequent_words_do_not_go_through_the_join(spark):
+    """Some 200,000 words are known in the tasks, so that few meet their counts by a shuffle."""
+    docs = documents(spark, [" ".join(f"w{k}" for k in range(start, start + 1000)) for start in range(0, 40_000, 1000)])
+    words = op.Vocabulary(op.counted(docs))
+    assert len(words.hashes) == 40_000
+    assert op.encoded(docs, words).filter("size(h) > 0").count() == 0

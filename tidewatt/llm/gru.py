@@ -95,7 +95,8 @@ def forward(w: Weights, h: np.ndarray, read: np.ndarray, first: np.ndarray, kept
     """One step of all lanes, from what they read: the state before it, and in the last three arrays, which it
     fills, both gates and the inner part, the candidate, and the new state."""
     if first.any():
-        h = np.where(first[:, None], h.dtype.type(0), h)
+        h = h.copy()
+        h[first] = 0
     np.matmul(h, w["u"], out=kept)
     gates = kept[:2]
     gates += read[:2]

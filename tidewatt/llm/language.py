@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewatt.llm import gru
 from tidewatt.llm.common import LOWERED, chunks, hash_spans, one_thread, remainder, saved, split_words, text_bytes
 
-FREQUENT = 1 << 15
+FREQUENT = 1 << 18
 SYMBOLS, TAILS = 1024, 64
 HEADS = SYMBOLS - TAILS  # the end, and the most frequent words
 ROUNDS = 3
@@ -60,7 +60,7 @@ NAMES = [column.split()[0] for column in ENCODED.split(", ")]
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and tail of every token, each row's end included, and where rows begin."""
     raw, offsets = text_bytes(texts)
-    raw = LOWERED[raw]
+    raw = np.take(LOWERED, raw)
     starts, ends, rows = split_words(raw, offsets)
     hashes = hash_spans(raw, starts, ends)
     before = np.where(ends - starts > 1, raw[np.maximum(ends - 2, 0)], 0).astype(np.int64)
@@ -95,12 +95,24 @@ def counted(documents: DataFrame) -> DataFrame:
     return part.groupBy("h").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
 
+def frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The ``size`` words of largest count, of equal ones those with the smaller hash.
+
+    Only words that reach the count of the last of them are sorted, so that one task does not meet ``size`` words
+    of every other.  There are few different counts: their sum is that of the training words at most.
+    """
+    by_count = counts.groupBy("c").agg(F.count("*").alias("n")).toPandas().sort_values("c", ascending=False)
+    enough = by_count["c"][by_count["n"].cumsum() >= size]
+    least = int(enough.iloc[0]) if len(enough) else 0
+    return counts.filter(F.col("c") >= least).orderBy(F.desc("c"), "h").limit(size)
+
+
 class Vocabulary:
     """What every task holds: frequent words, totals of the tails; ``FREQUENT`` and ``TAILS`` entries."""
 
     def __init__(self, counts: DataFrame) -> None:
         end = int(END)
-        rows = counts.filter(F.col("h") != end).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
+        rows = frequent(counts.filter(F.col("h") != end), FREQUENT).toPandas()
         totals = counts.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("h") == end, F.col("c")))).first()
         self.total, self.distinct, self.ends = (int(x or 0) for x in totals)
         hashes, c = rows["h"].to_numpy(np.int64).view(np.uint64), rows["c"].to_numpy(np.int64)
